@@ -18,10 +18,17 @@ plans ``Exchange SinglePartition``):
 Rows to be numbered may be restricted with ``keep``: they are sorted ahead
 of the others in every partition, so their positions stay dense and one
 materialisation also serves the rejected rows (quarantine, audit).
+
+When the caller has *measured* the row count and it is at most
+``SMALL_KEY_ROWS``, a plain ``row_number()`` over the ordered (single
+partition) window is cheaper: no sampling job, no checkpoint, and a sort of
+at most that many rows in one task.  The bound is checked, never assumed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +39,9 @@ _MID = "_ts_mid"
 _KEEP = "_ts_keep"
 _ROW_BITS = 33  # lower bits of monotonically_increasing_id hold the row index
 
+# Largest measured row count numbered in a single task.
+SMALL_KEY_ROWS = 1_000_000
+
 # Default bound for broadcasting a dimension lookup: (key, sk) pairs are a
 # few dozen bytes, so 2M rows stay well below a 100 MB broadcast.
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -46,12 +56,17 @@ def dense_key(
     order: list[str | Column],
     key_name: str,
     keep: Column | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``key_name`` = 1..n in ``order`` (NULL for rows not kept).
 
     ``order`` should be a total order; ties get consecutive keys in an
-    unspecified but equal-valued arrangement.
+    unspecified but equal-valued arrangement.  ``rows`` is a measured row
+    count of ``df`` (see :func:`count_rows`), enabling the small path.
     """
+    if keep is None and rows is not None and rows <= SMALL_KEY_ROWS:
+        window = Window.orderBy(*_sort_cols(order))
+        return df.withColumn(key_name, F.row_number().over(window).cast("long"))
     ensure_checkpoint_dir(df.sparkSession)
     keep_expr = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with_keep = df.withColumn(_KEEP, keep_expr)
@@ -70,14 +85,25 @@ def dense_key(
     return numbered.drop(_PID, _MID, "_off", _KEEP)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its measured row count is at most ``max_rows``.
+def count_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Exact row counts of several (small or materialised) frames in one job.
+
+    One aggregate row per frame, so the driver receives ``len(frames)``
+    numbers, never data.
+    """
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in frames.items()]
+    return {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, parts).collect()}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when its row count is at most ``max_rows``.
 
-    Meant for materialised dimension lookups, where the count is cheap.
-    Above the bound the frame is returned unchanged and the planner (with
-    AQE) chooses a shuffled join, splitting skewed partitions.
+    ``rows`` is a measured upper bound of the row count (e.g. the count of
+    the dimension a lookup is derived from); without it the frame is
+    counted.  Above the bound the frame is returned unchanged and the
+    planner (with AQE) chooses a shuffled join, splitting skewed partitions.
     """
-    n = df.count()
+    n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -22,28 +22,30 @@ NO_CATEGORY = "SEM_CATEGORIA"
 PRODUCT_PREFIX = "PRODUTO "
 
 
-def dim_tempo(fx_clean: DataFrame) -> DataFrame:
+def base_tempo(fx_clean: DataFrame) -> DataFrame:
+    return fx_clean.select("data").distinct()
+
+
+def dim_tempo(fx_clean: DataFrame, rows: int | None = None) -> DataFrame:
     """One row per distinct FX timestamp, keyed in ascending time.
 
     ``data`` (the full timestamp) stays as the internal natural key of the
     fact lookup; ``data_referencia`` is its date.
     """
-    dates = fx_clean.select("data").distinct()
-    keyed = dense_key(dates, ["data"], "sk_tempo")
+    keyed = dense_key(base_tempo(fx_clean), ["data"], "sk_tempo", rows=rows)
     attrs = time_attributes(F.col("data"))
     return keyed.select("sk_tempo", *[v.alias(k) for k, v in attrs.items()], "data")
 
 
-def _country_base(paises: DataFrame, blocos: DataFrame) -> DataFrame:
+def base_paises(paises: DataFrame, blocos: DataFrame) -> DataFrame:
     blocs = blocos.select(F.col("id").alias("_bloco_id"), F.col("nome").alias("bloco_nome"))
     enriched = paises.join(blocs, paises["bloco_id"] == blocs["_bloco_id"], "left")
-    base = enriched.select("id", "nome", "codigo_iso", "bloco_nome").distinct()
-    return dense_key(base, ["id", "nome", "codigo_iso", "bloco_nome"], "_sk")
+    return enriched.select("id", "nome", "codigo_iso", "bloco_nome").distinct()
 
 
-def dim_paises(paises: DataFrame, blocos: DataFrame) -> tuple[DataFrame, DataFrame]:
+def dim_paises(paises: DataFrame, blocos: DataFrame, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(origin, destination) country dimensions with their economic bloc."""
-    base = _country_base(paises, blocos)
+    base = dense_key(base_paises(paises, blocos), ["id", "nome", "codigo_iso", "bloco_nome"], "_sk", rows=rows)
 
     def role(r: str) -> DataFrame:
         return base.select(
@@ -57,8 +59,7 @@ def dim_paises(paises: DataFrame, blocos: DataFrame) -> tuple[DataFrame, DataFra
     return role("origem"), role("destino")
 
 
-def dim_categoria_produto(spark: SparkSession, categorias: DataFrame | None) -> DataFrame:
-    """Categories by id; a single ``(0, SEM_CATEGORIA)`` row when the file is absent."""
+def base_categoria(spark: SparkSession, categorias: DataFrame | None) -> DataFrame:
     if categorias is None:
         base = spark.createDataFrame(
             [(0, NO_CATEGORY)],
@@ -73,18 +74,18 @@ def dim_categoria_produto(spark: SparkSession, categorias: DataFrame | None) ->
         base = categorias.select(
             F.col("id").alias("id_categoria_produto"), F.col("descricao").alias("descricao_categoria_produto")
         ).distinct()
-    keyed = dense_key(base, ["id_categoria_produto", "descricao_categoria_produto"], "sk_categoria_produto")
-    return keyed.select("sk_categoria_produto", "id_categoria_produto", "descricao_categoria_produto")
+    return base
 
 
-def dim_produto(produtos: DataFrame | None, categorias_dim: DataFrame, transacoes_clean: DataFrame) -> DataFrame:
-    """Products, one row per id (the first in column order), keyed by id.
+def dim_categoria_produto(spark: SparkSession, categorias: DataFrame | None, rows: int | None = None) -> DataFrame:
+    """Categories by id; a single ``(0, SEM_CATEGORIA)`` row when the file is absent."""
+    base = base_categoria(spark, categorias)
+    keyed = dense_key(base, ["id_categoria_produto", "descricao_categoria_produto"], "sk_categoria_produto", rows=rows)
+    return keyed.select("sk_categoria_produto", "id_categoria_produto", "descricao_categoria_produto")
 
-    Without a product file the products are the distinct product ids of the
-    cleaned transactions, named ``PRODUTO <id>`` with category 0.  A product
-    with no category gets category id 0; its category name (not stored) is
-    ``SEM_CATEGORIA`` when id 0 is not a known category.
-    """
+
+def base_produto(produtos: DataFrame | None, categorias_dim: DataFrame, transacoes_clean: DataFrame) -> DataFrame:
+    """One row per product id, before keys (see :func:`dim_produto`)."""
     if produtos is not None:
         norm = produtos.select(
             F.col("id").alias("id_produto"),
@@ -111,8 +112,21 @@ def dim_produto(produtos: DataFrame | None, categorias_dim: DataFrame, transacoe
     first = with_cat.groupBy("id_produto").agg(
         F.min(F.struct("descricao_produto", "codigo_ncm", "id_categoria_produto", "categoria_produto")).alias("_p")
     )
-    one = first.select("id_produto", "_p.*")
-    keyed = dense_key(one, ["id_produto"], "sk_produto")
+    return first.select("id_produto", "_p.*")
+
+
+def dim_produto(
+    produtos: DataFrame | None, categorias_dim: DataFrame, transacoes_clean: DataFrame, rows: int | None = None
+) -> DataFrame:
+    """Products, one row per id (the first in column order), keyed by id.
+
+    Without a product file the products are the distinct product ids of the
+    cleaned transactions, named ``PRODUTO <id>`` with category 0.  A product
+    with no category gets category id 0; its category name (not stored) is
+    ``SEM_CATEGORIA`` when id 0 is not a known category.
+    """
+    one = base_produto(produtos, categorias_dim, transacoes_clean)
+    keyed = dense_key(one, ["id_produto"], "sk_produto", rows=rows)
     return keyed.select(
         "sk_produto",
         "id_produto",
@@ -124,10 +138,13 @@ def dim_produto(produtos: DataFrame | None, categorias_dim: DataFrame, transacoe
     )
 
 
-def dim_moedas(moedas: DataFrame) -> tuple[DataFrame, DataFrame]:
+def base_moedas(moedas: DataFrame) -> DataFrame:
+    return moedas.select("id", "descricao", "pais").distinct()
+
+
+def dim_moedas(moedas: DataFrame, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(origin, destination) currency dimensions."""
-    base = moedas.select("id", "descricao", "pais").distinct()
-    keyed = dense_key(base, ["id", "descricao", "pais"], "_sk")
+    keyed = dense_key(base_moedas(moedas), ["id", "descricao", "pais"], "_sk", rows=rows)
 
     def role(r: str) -> DataFrame:
         return keyed.select(
@@ -140,15 +157,18 @@ def dim_moedas(moedas: DataFrame) -> tuple[DataFrame, DataFrame]:
     return role("origem"), role("destino")
 
 
-def _simple_dim(src: DataFrame, name: str) -> DataFrame:
-    base = src.select(F.col("id").alias(f"id_{name}"), F.col("descricao").alias(f"descricao_{name}")).distinct()
-    keyed = dense_key(base, [f"id_{name}", f"descricao_{name}"], f"sk_{name}")
+def base_simple(src: DataFrame, name: str) -> DataFrame:
+    return src.select(F.col("id").alias(f"id_{name}"), F.col("descricao").alias(f"descricao_{name}")).distinct()
+
+
+def _simple_dim(src: DataFrame, name: str, rows: int | None) -> DataFrame:
+    keyed = dense_key(base_simple(src, name), [f"id_{name}", f"descricao_{name}"], f"sk_{name}", rows=rows)
     return keyed.select(f"sk_{name}", f"id_{name}", f"descricao_{name}")
 
 
-def dim_tipo_transacao(tipos: DataFrame) -> DataFrame:
-    return _simple_dim(tipos, "tipo_transacao")
+def dim_tipo_transacao(tipos: DataFrame, rows: int | None = None) -> DataFrame:
+    return _simple_dim(tipos, "tipo_transacao", rows)
 
 
-def dim_transporte(transportes: DataFrame) -> DataFrame:
-    return _simple_dim(transportes, "transporte")
+def dim_transporte(transportes: DataFrame, rows: int | None = None) -> DataFrame:
+    return _simple_dim(transportes, "transporte", rows)

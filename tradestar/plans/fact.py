@@ -76,12 +76,17 @@ def fx_join(transacoes_clean: DataFrame, fx_clean: DataFrame, fx_bcast: DataFram
     ).withColumn("_fx_ok", F.col("data").isNotNull() & F.col("taxa_cambio").isNotNull())
 
 
-def key_lookups(dims: dict[str, DataFrame], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
+def key_lookups(
+    dims: dict[str, DataFrame], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, bounds: dict[str, int] | None = None
+) -> dict[str, DataFrame]:
     """Slim ``natural key -> sk`` frames, size-checked for broadcast.
 
-    The product lookup also carries the category key (product -> category id
-    -> category sk), so two fact keys cost one join.
+    ``bounds`` are measured row counts of the dimensions (a lookup has at
+    most as many rows as its dimension); a dimension without a bound is
+    counted.  The product lookup also carries the category key (product ->
+    category id -> category sk), so two fact keys cost one join.
     """
+    b = bounds or {}
     cat = lookup_frame(dims["dim_categoria_produto"], "id_categoria_produto", "sk_categoria_produto")
     prod = lookup_frame(dims["dim_produto"], "id_produto", "sk_produto", extra=["id_categoria_produto"])
     prod = prod.join(cat, "id_categoria_produto", "left").select(
@@ -97,7 +102,17 @@ def key_lookups(dims: dict[str, DataFrame], max_broadcast_rows: int = DEFAULT_BR
         "tipo": lookup_frame(dims["dim_tipo_transacao"], "id_tipo_transacao", "sk_tipo_transacao", "tipo_id"),
         "transporte": lookup_frame(dims["dim_transporte"], "id_transporte", "sk_transporte", "transporte_id"),
     }
-    return {k: bounded_broadcast(v, max_broadcast_rows) for k, v in frames.items()}
+    dim_of = {
+        "tempo": "dim_tempo",
+        "pais_origem": "dim_pais_origem",
+        "pais_destino": "dim_pais_destino",
+        "produto": "dim_produto",
+        "moeda_origem": "dim_moeda_origem",
+        "moeda_destino": "dim_moeda_destino",
+        "tipo": "dim_tipo_transacao",
+        "transporte": "dim_transporte",
+    }
+    return {k: bounded_broadcast(v, max_broadcast_rows, rows=b.get(dim_of[k])) for k, v in frames.items()}
 
 
 _LOOKUP_KEYS = {

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradestar.operators.clean import clean_cambios, clean_transacoes
-from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, bounded_broadcast, count_rows
 from tradestar.plans import dimensions as D
 from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
@@ -51,31 +51,71 @@ class Star:
         return self.fato_transacoes_internacionais
 
 
-def build_dimensions(spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame) -> dict[str, DataFrame]:
-    pais_o, pais_d = D.dim_paises(bronze.paises, bronze.blocos_economicos)
-    moeda_o, moeda_d = D.dim_moedas(bronze.moedas)
-    cat = D.dim_categoria_produto(spark, bronze.categoria_produtos)
+def dimension_bases(spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame) -> dict[str, DataFrame]:
+    """Each dimension before keys: what :func:`count_rows` measures."""
+    cat = D.base_categoria(spark, bronze.categoria_produtos)
     return {
-        "dim_tempo": D.dim_tempo(fx_clean),
+        "tempo": D.base_tempo(fx_clean),
+        "paises": D.base_paises(bronze.paises, bronze.blocos_economicos),
+        "categoria": cat,
+        "produto": D.base_produto(bronze.produtos, cat, transacoes_clean),
+        "moedas": D.base_moedas(bronze.moedas),
+        "tipo": D.base_simple(bronze.tipos_transacoes, "tipo_transacao"),
+        "transporte": D.base_simple(bronze.transportes, "transporte"),
+    }
+
+
+def build_dimensions(
+    spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame, rows: dict[str, int] | None = None
+) -> dict[str, DataFrame]:
+    """The nine dimensions; ``rows`` are measured base counts (small path)."""
+    n = rows or {}
+    pais_o, pais_d = D.dim_paises(bronze.paises, bronze.blocos_economicos, rows=n.get("paises"))
+    moeda_o, moeda_d = D.dim_moedas(bronze.moedas, rows=n.get("moedas"))
+    cat = D.dim_categoria_produto(spark, bronze.categoria_produtos, rows=n.get("categoria"))
+    return {
+        "dim_tempo": D.dim_tempo(fx_clean, rows=n.get("tempo")),
         "dim_pais_origem": pais_o,
         "dim_pais_destino": pais_d,
         "dim_categoria_produto": cat,
-        "dim_produto": D.dim_produto(bronze.produtos, cat, transacoes_clean),
+        "dim_produto": D.dim_produto(bronze.produtos, cat, transacoes_clean, rows=n.get("produto")),
         "dim_moeda_origem": moeda_o,
         "dim_moeda_destino": moeda_d,
-        "dim_tipo_transacao": D.dim_tipo_transacao(bronze.tipos_transacoes),
-        "dim_transporte": D.dim_transporte(bronze.transportes),
+        "dim_tipo_transacao": D.dim_tipo_transacao(bronze.tipos_transacoes, rows=n.get("tipo")),
+        "dim_transporte": D.dim_transporte(bronze.transportes, rows=n.get("transporte")),
     }
 
 
+# dimension table -> its base in dimension_bases (row bound of its lookup)
+_DIM_BASE = {
+    "dim_tempo": "tempo",
+    "dim_pais_origem": "paises",
+    "dim_pais_destino": "paises",
+    "dim_categoria_produto": "categoria",
+    "dim_produto": "produto",
+    "dim_moeda_origem": "moedas",
+    "dim_moeda_destino": "moedas",
+    "dim_tipo_transacao": "tipo",
+    "dim_transporte": "transporte",
+}
+
+
 def build_star(spark: SparkSession, bronze: Bronze, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> Star:
-    """Bronze -> cleaned tables -> nine dimensions -> numbered fact."""
+    """Bronze -> cleaned tables -> nine dimensions -> numbered fact.
+
+    Jobs: FX checkpoint, one job counting the FX table and every dimension
+    base, then the fact numbering (range sample, checkpoint); large
+    dimensions (above the measured small bound) add their own numbering.
+    """
     ensure_checkpoint_dir(spark)
     transacoes = clean_transacoes(bronze.transacoes)
     fx = clean_cambios(bronze.cambios).checkpoint(eager=True)
-    dims = build_dimensions(spark, bronze, fx, transacoes)
-    joined = FT.fx_join(transacoes, fx, bounded_broadcast(fx, max_broadcast_rows))
-    staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows))
+    bases = dimension_bases(spark, bronze, fx, transacoes)
+    rows = count_rows({"fx": fx, **bases})
+    dims = build_dimensions(spark, bronze, fx, transacoes, rows)
+    bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
+    joined = FT.fx_join(transacoes, fx, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
+    staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
     numbered = FT.number_fact(staged)
     return Star(
         **dims,
