@@ -26,13 +26,13 @@ def base_tempo(fx_clean: DataFrame) -> DataFrame:
     return fx_clean.select("data").distinct()
 
 
-def dim_tempo(fx_clean: DataFrame, rows: int | None = None) -> DataFrame:
+def dim_tempo(fx_clean: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> DataFrame:
     """One row per distinct FX timestamp, keyed in ascending time.
 
     ``data`` (the full timestamp) stays as the internal natural key of the
     fact lookup; ``data_referencia`` is its date.
     """
-    keyed = dense_key(base_tempo(fx_clean), ["data"], "sk_tempo", rows=rows)
+    keyed = dense_key(base if base is not None else base_tempo(fx_clean), ["data"], "sk_tempo", rows=rows)
     attrs = time_attributes(F.col("data"))
     return keyed.select("sk_tempo", *[v.alias(k) for k, v in attrs.items()], "data")
 
@@ -43,9 +43,12 @@ def base_paises(paises: DataFrame, blocos: DataFrame) -> DataFrame:
     return enriched.select("id", "nome", "codigo_iso", "bloco_nome").distinct()
 
 
-def dim_paises(paises: DataFrame, blocos: DataFrame, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def dim_paises(
+    paises: DataFrame, blocos: DataFrame, rows: int | None = None, base: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(origin, destination) country dimensions with their economic bloc."""
-    base = dense_key(base_paises(paises, blocos), ["id", "nome", "codigo_iso", "bloco_nome"], "_sk", rows=rows)
+    src = base if base is not None else base_paises(paises, blocos)
+    base = dense_key(src, ["id", "nome", "codigo_iso", "bloco_nome"], "_sk", rows=rows)
 
     def role(r: str) -> DataFrame:
         return base.select(
@@ -77,9 +80,11 @@ def base_categoria(spark: SparkSession, categorias: DataFrame | None) -> DataFra
     return base
 
 
-def dim_categoria_produto(spark: SparkSession, categorias: DataFrame | None, rows: int | None = None) -> DataFrame:
+def dim_categoria_produto(
+    spark: SparkSession, categorias: DataFrame | None, rows: int | None = None, base: DataFrame | None = None
+) -> DataFrame:
     """Categories by id; a single ``(0, SEM_CATEGORIA)`` row when the file is absent."""
-    base = base_categoria(spark, categorias)
+    base = base if base is not None else base_categoria(spark, categorias)
     keyed = dense_key(base, ["id_categoria_produto", "descricao_categoria_produto"], "sk_categoria_produto", rows=rows)
     return keyed.select("sk_categoria_produto", "id_categoria_produto", "descricao_categoria_produto")
 
@@ -116,7 +121,11 @@ def base_produto(produtos: DataFrame | None, categorias_dim: DataFrame, transaco
 
 
 def dim_produto(
-    produtos: DataFrame | None, categorias_dim: DataFrame, transacoes_clean: DataFrame, rows: int | None = None
+    produtos: DataFrame | None,
+    categorias_dim: DataFrame,
+    transacoes_clean: DataFrame,
+    rows: int | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Products, one row per id (the first in column order), keyed by id.
 
@@ -125,7 +134,7 @@ def dim_produto(
     with no category gets category id 0; its category name (not stored) is
     ``SEM_CATEGORIA`` when id 0 is not a known category.
     """
-    one = base_produto(produtos, categorias_dim, transacoes_clean)
+    one = base if base is not None else base_produto(produtos, categorias_dim, transacoes_clean)
     keyed = dense_key(one, ["id_produto"], "sk_produto", rows=rows)
     return keyed.select(
         "sk_produto",
@@ -142,9 +151,10 @@ def base_moedas(moedas: DataFrame) -> DataFrame:
     return moedas.select("id", "descricao", "pais").distinct()
 
 
-def dim_moedas(moedas: DataFrame, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def dim_moedas(moedas: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(origin, destination) currency dimensions."""
-    keyed = dense_key(base_moedas(moedas), ["id", "descricao", "pais"], "_sk", rows=rows)
+    src = base if base is not None else base_moedas(moedas)
+    keyed = dense_key(src, ["id", "descricao", "pais"], "_sk", rows=rows)
 
     def role(r: str) -> DataFrame:
         return keyed.select(
@@ -161,14 +171,15 @@ def base_simple(src: DataFrame, name: str) -> DataFrame:
     return src.select(F.col("id").alias(f"id_{name}"), F.col("descricao").alias(f"descricao_{name}")).distinct()
 
 
-def _simple_dim(src: DataFrame, name: str, rows: int | None) -> DataFrame:
-    keyed = dense_key(base_simple(src, name), [f"id_{name}", f"descricao_{name}"], f"sk_{name}", rows=rows)
+def _simple_dim(src: DataFrame, name: str, rows: int | None, base: DataFrame | None) -> DataFrame:
+    b = base if base is not None else base_simple(src, name)
+    keyed = dense_key(b, [f"id_{name}", f"descricao_{name}"], f"sk_{name}", rows=rows)
     return keyed.select(f"sk_{name}", f"id_{name}", f"descricao_{name}")
 
 
-def dim_tipo_transacao(tipos: DataFrame, rows: int | None = None) -> DataFrame:
-    return _simple_dim(tipos, "tipo_transacao", rows)
+def dim_tipo_transacao(tipos: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> DataFrame:
+    return _simple_dim(tipos, "tipo_transacao", rows, base)
 
 
-def dim_transporte(transportes: DataFrame, rows: int | None = None) -> DataFrame:
-    return _simple_dim(transportes, "transporte", rows)
+def dim_transporte(transportes: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> DataFrame:
+    return _simple_dim(transportes, "transporte", rows, base)

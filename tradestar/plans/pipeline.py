@@ -1,4 +1,4 @@
-"""End-to-end job: test tables -> bronze -> star -> stored warehouse.
+"""End-to-end job: test tables -> bronze (Parquet) -> star -> stored warehouse.
 
 ``warehouse_for`` builds the star once per (application, input folder) and
 keeps it for the session: the written warehouse (Parquet, under the
@@ -16,7 +16,7 @@ from tradestar.operators.clean import clean_transacoes
 from tradestar.plans.star import Star, build_star, read_star, write_star
 from tradestar.session import scratch_path
 from tradestar.sources.bronze import Bronze
-from tradestar.sources.fixture import fixture_bronze
+from tradestar.sources.fixture import extract_bronze
 
 
 @dataclass
@@ -34,7 +34,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Built:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     built = _MEMO.get(key)
     if built is None:
-        bronze = fixture_bronze(spark, sf_dir)
+        bronze = extract_bronze(spark, sf_dir, scratch_path(spark, "bronze"))
         star = build_star(spark, bronze)
         path = scratch_path(spark, "warehouse")
         write_star(star, path)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradestar.operators.clean import clean_cambios, clean_transacoes
-from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, bounded_broadcast, count_rows
+from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, SMALL_KEY_ROWS, bounded_broadcast, count_rows
 from tradestar.plans import dimensions as D
 from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
@@ -66,23 +66,30 @@ def dimension_bases(spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, tr
 
 
 def build_dimensions(
-    spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame, rows: dict[str, int] | None = None
+    spark: SparkSession,
+    bronze: Bronze,
+    fx_clean: DataFrame,
+    transacoes_clean: DataFrame,
+    rows: dict[str, int] | None = None,
+    bases: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """The nine dimensions; ``rows`` are measured base counts (small path)."""
+    """The nine dimensions; ``rows`` are measured base counts (small path),
+    ``bases`` the (persisted) frames they were measured on."""
     n = rows or {}
-    pais_o, pais_d = D.dim_paises(bronze.paises, bronze.blocos_economicos, rows=n.get("paises"))
-    moeda_o, moeda_d = D.dim_moedas(bronze.moedas, rows=n.get("moedas"))
-    cat = D.dim_categoria_produto(spark, bronze.categoria_produtos, rows=n.get("categoria"))
+    bs = bases or {}
+    pais_o, pais_d = D.dim_paises(bronze.paises, bronze.blocos_economicos, rows=n.get("paises"), base=bs.get("paises"))
+    moeda_o, moeda_d = D.dim_moedas(bronze.moedas, rows=n.get("moedas"), base=bs.get("moedas"))
+    cat = D.dim_categoria_produto(spark, bronze.categoria_produtos, rows=n.get("categoria"), base=bs.get("categoria"))
     return {
-        "dim_tempo": D.dim_tempo(fx_clean, rows=n.get("tempo")),
+        "dim_tempo": D.dim_tempo(fx_clean, rows=n.get("tempo"), base=bs.get("tempo")),
         "dim_pais_origem": pais_o,
         "dim_pais_destino": pais_d,
         "dim_categoria_produto": cat,
-        "dim_produto": D.dim_produto(bronze.produtos, cat, transacoes_clean, rows=n.get("produto")),
+        "dim_produto": D.dim_produto(bronze.produtos, cat, transacoes_clean, rows=n.get("produto"), base=bs.get("produto")),
         "dim_moeda_origem": moeda_o,
         "dim_moeda_destino": moeda_d,
-        "dim_tipo_transacao": D.dim_tipo_transacao(bronze.tipos_transacoes, rows=n.get("tipo")),
-        "dim_transporte": D.dim_transporte(bronze.transportes, rows=n.get("transporte")),
+        "dim_tipo_transacao": D.dim_tipo_transacao(bronze.tipos_transacoes, rows=n.get("tipo"), base=bs.get("tipo")),
+        "dim_transporte": D.dim_transporte(bronze.transportes, rows=n.get("transporte"), base=bs.get("transporte")),
     }
 
 
@@ -110,9 +117,16 @@ def build_star(spark: SparkSession, bronze: Bronze, max_broadcast_rows: int = DE
     ensure_checkpoint_dir(spark)
     transacoes = clean_transacoes(bronze.transacoes)
     fx = clean_cambios(bronze.cambios).checkpoint(eager=True)
-    bases = dimension_bases(spark, bronze, fx, transacoes)
+    # bases are persisted while measured: every consumer (keys, lookups,
+    # writes) then reads them instead of recomputing; a lost block is
+    # recomputed from lineage, so this is safe against executor loss
+    bases = {k: v.persist() for k, v in dimension_bases(spark, bronze, fx, transacoes).items()}
     rows = count_rows({"fx": fx, **bases})
-    dims = build_dimensions(spark, bronze, fx, transacoes, rows)
+    for k, v in bases.items():
+        if rows[k] > SMALL_KEY_ROWS:  # large bases go through a checkpoint instead
+            v.unpersist()
+    dims = build_dimensions(spark, bronze, fx, transacoes, rows, bases)
+    dims = {k: (v.persist() if rows[_DIM_BASE[k]] <= SMALL_KEY_ROWS else v) for k, v in dims.items()}
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
     joined = FT.fx_join(transacoes, fx, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
     staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))

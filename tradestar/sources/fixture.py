@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tradestar.sources.bronze import Bronze, standardize_bronze
+from tradestar.sources.bronze import Bronze, read_bronze_parquet, standardize_bronze, write_bronze
 
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
@@ -121,3 +121,13 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, with_products: bool = True,
     if not with_categories:
         frames["categoria_produtos"] = None
     return standardize_bronze(frames)
+
+
+def extract_bronze(spark: SparkSession, sf_dir: str, out_dir: str) -> Bronze:
+    """Extract step: write the nine bronze tables as Parquet and read them back.
+
+    The transform then scans plain files (column-pruned, no re-evaluation of
+    the source joins by each consumer), like an extract to the bronze layer.
+    """
+    write_bronze(fixture_bronze(spark, sf_dir), out_dir, fmt="parquet")
+    return read_bronze_parquet(spark, out_dir)
