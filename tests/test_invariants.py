@@ -91,3 +91,26 @@ def test_mart_plans_prune_and_never_ship_the_fact_to_one_task(built):
 def test_fact_build_plan_has_partial_aggregates(built):
     plan = _plan(clean_transacoes(built.bronze.transacoes))
     assert "partial" in plan.lower() or "HashAggregate" in plan
+
+
+def test_warehouse_sql_views(spark, built):
+    """BI SQL written against the warehouse tables runs unchanged in spark.sql."""
+    built.warehouse.register_views()
+    by_sql = spark.sql(
+        """
+        SELECT p.nome_pais_destino AS pais, SUM(f.valor_convertido_transacao) AS valor_total
+        FROM fato_transacoes_internacionais f
+        JOIN dim_pais_destino p ON f.sk_pais_destino = p.sk_pais_destino
+        GROUP BY p.nome_pais_destino
+        ORDER BY valor_total DESC, pais
+        LIMIT 10
+        """
+    ).collect()
+    by_api = M.top_destination_countries(built.warehouse).collect()
+    assert [(r["pais"], r["valor_total"]) for r in by_sql] == [(r["pais"], r["valor_total"]) for r in by_api]
+
+
+def test_views_cover_six_bi_views(built):
+    names = {n: sorted(M.view(built.warehouse, n)) for n in range(1, 7)}
+    assert names[1] == ["anual", "mensal", "trimestral"]
+    assert names[6] == ["cartoes", "kpis", "serie", "top5", "variacao"]

@@ -248,6 +248,12 @@ def executive_top5(star: Star, n: int = 5, replace: dict[str, str] | None = None
     return top
 
 
+def executive_rank_labels(star: Star, n: int = 5) -> DataFrame:
+    """Top destination countries with the bar label ``1.234 (20.6%)``."""
+    top = executive_top5(star, n)
+    return top.select("pais", "valor_total", "participacao_pct", fmt.rank_label(F.col("valor_total"), F.col("participacao_pct")).alias("rotulo"))
+
+
 def month_over_month(star: Star) -> DataFrame:
     """Last month present vs the previous month present (one row).
 
@@ -324,3 +330,38 @@ def executive_cards(star: Star) -> DataFrame:
         fmt.money_text(cur).alias("ultimo_mes_txt"),
         fmt.signed_pct(change).alias("variacao_txt"),
     )
+
+
+# --- the six BI views ------------------------------------------------------
+
+VIEWS = {
+    1: "evolucao financeira no tempo",
+    2: "paises que mais movimentam",
+    3: "blocos economicos",
+    4: "produtos e categorias",
+    5: "impacto cambial",
+    6: "visao executiva",
+}
+
+
+def view(star: Star, number: int) -> dict[str, DataFrame]:
+    """The result frames behind BI view ``number`` (1-6), by name."""
+    if number == 1:
+        return temporal_view(star)
+    if number == 2:
+        return {"origem": top_origin_countries(star), "destino": top_destination_countries(star)}
+    if number == 3:
+        return {"blocos": blocs(star)}
+    if number == 4:
+        return {"produtos": top_products(star), "categorias": categories(star)}
+    if number == 5:
+        return {"moedas": top_currencies(star), "mensal": monthly_rate(star)}
+    if number == 6:
+        return {
+            "kpis": kpis(star),
+            "serie": executive_series(star),
+            "top5": executive_top5(star),
+            "variacao": month_over_month(star),
+            "cartoes": executive_cards(star),
+        }
+    raise ValueError(f"view must be 1-6, got {number}")

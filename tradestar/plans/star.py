@@ -50,6 +50,12 @@ class Star:
     def fact(self) -> DataFrame:
         return self.fato_transacoes_internacionais
 
+    def register_views(self) -> None:
+        """Expose the ten tables as temp views under their warehouse names,
+        so BI SQL written for the warehouse runs unchanged in ``spark.sql``."""
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(name)
+
 
 def dimension_bases(spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame) -> dict[str, DataFrame]:
     """Each dimension before keys: what :func:`count_rows` measures."""
