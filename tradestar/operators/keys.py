@@ -4,16 +4,18 @@
 through one task (a plain ``row_number()`` over an unpartitioned window
 plans ``Exchange SinglePartition``):
 
-1. range-partition and sort by the order, then ``checkpoint()`` so that the
-   counted frame and the numbered frame are the same bytes (range bounds are
-   sampled, a recomputation could move rows between partitions; a reliable
-   checkpoint also survives the loss of an executor);
-2. count rows per partition (one row per partition: bounded by the
-   partition count, not by the data) and turn the counts into running
+1. range-partition and sort by the order; record each row's partition index
+   and its ``monotonically_increasing_id`` (partition index in the upper
+   bits, row index in the lower 33), and write the result as a Parquet
+   table in the checkpoint folder.  Range bounds are sampled, so a
+   recomputation could move rows between partitions: the counted rows and
+   the numbered rows must be the same stored rows.  The written table also
+   cuts the lineage (an executor loss does not recompute the joins above it),
+   and later readers get column pruning;
+2. count rows per stored partition index (reads two small columns; one row
+   per partition reaches the next step) and turn the counts into running
    offsets;
-3. key = offset of the partition + position inside it, with the position
-   taken from ``monotonically_increasing_id`` (partition index in the upper
-   bits, row index in the lower 33 bits).
+3. key = offset of the partition + stored position inside it.
 
 Rows to be numbered may be restricted with ``keep``: they are sorted ahead
 of the others in every partition, so their positions stay dense and one
@@ -21,8 +23,8 @@ materialisation also serves the rejected rows (quarantine, audit).
 
 When the caller has *measured* the row count and it is at most
 ``SMALL_KEY_ROWS``, a plain ``row_number()`` over the ordered (single
-partition) window is cheaper: no sampling job, no checkpoint, and a sort of
-at most that many rows in one task.  The bound is checked, never assumed.
+partition) window is cheaper: no sampling job, no write, and a sort of at
+most that many rows in one task.  The bound is checked, never assumed.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradestar.session import ensure_checkpoint_dir
+from tradestar.session import scratch_path
 
 _PID = "_ts_pid"
 _MID = "_ts_mid"
@@ -67,19 +69,22 @@ def dense_key(
     if keep is None and rows is not None and rows <= SMALL_KEY_ROWS:
         window = Window.orderBy(*_sort_cols(order))
         return df.withColumn(key_name, F.row_number().over(window).cast("long"))
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     keep_expr = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with_keep = df.withColumn(_KEEP, keep_expr)
     # kept rows first in the global order, hence first in every partition
     sort = [F.col(_KEEP).desc()] + _sort_cols(order)
-    staged = with_keep.repartitionByRange(*sort).sortWithinPartitions(*sort).checkpoint(eager=True)
+    ranged = with_keep.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    located = ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
+    path = scratch_path(spark, f"dense_key_{key_name}")
+    located.write.parquet(path)
+    stored = spark.read.parquet(path)
 
-    pos = staged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
-    counts = pos.filter(F.col(_KEEP)).groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
+    counts = stored.filter(F.col(_KEEP)).groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _ROW_BITS)
-    numbered = pos.join(F.broadcast(offsets), _PID, "left").withColumn(
+    numbered = stored.join(F.broadcast(offsets), _PID, "left").withColumn(
         key_name, F.when(F.col(_KEEP), F.col("_off") + local + 1).cast("long")
     )
     return numbered.drop(_PID, _MID, "_off", _KEEP)

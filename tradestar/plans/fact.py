@@ -5,7 +5,7 @@ All lookups are left joins that keep the transaction and record *why* a row
 cannot enter the fact (``motivo``); the first missing item in a fixed order
 is the reason.  The staged rows (kept and rejected) are materialised once,
 by the numbering step, so the fact, the quarantine and the audit all read
-the same checkpoint instead of recomputing the joins.
+the same stored table (column-pruned) instead of recomputing the joins.
 
 Join strategy: the FX table and every dimension lookup are broadcast only
 after their row count is measured (:func:`bounded_broadcast`); a larger side
@@ -159,8 +159,9 @@ def number_fact(staged: DataFrame) -> DataFrame:
     """Materialise the staged rows once; number the kept ones 1..n.
 
     Returns the staged frame with ``sk_transacao`` (NULL for rejected rows),
-    read from a reliable checkpoint that is range-partitioned and sorted by
-    the fact order, so the fact files come out clustered by ``id_transacao``.
+    read from a Parquet table in the checkpoint folder that was written
+    range-partitioned and sorted by the fact order, so the fact files come
+    out clustered by ``id_transacao``.
     """
     return dense_key(staged, FACT_ORDER, "sk_transacao", keep=F.col("motivo").isNull())
 

@@ -1,9 +1,11 @@
 """Whole transform: bronze bundle -> star schema, plus writer and reader.
 
-Materialisation points (reliable checkpoints in ``spark.checkpoint.dir``):
-the cleaned FX table (read by the time dimension and by the fact join), each
-dimension (dense keys) and the staged fact (dense keys; also feeds the
-audit and the quarantine).  Everything else is one lazy plan per table.
+Materialisation points (in the folder of ``spark.checkpoint.dir``): the
+cleaned FX table (a reliable checkpoint, read by the time dimension and by
+the fact join), any dimension above the small-key bound and the staged fact
+(Parquet tables written by the dense-key step; the fact one also feeds the
+audit and the quarantine).  Small dimensions are persisted after their size
+is measured.  Everything else is one lazy plan per table.
 """
 
 from __future__ import annotations
