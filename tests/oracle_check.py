@@ -45,6 +45,32 @@ def _norm(v, exact_float: bool):
     return str(v)
 
 
+def spark_type_as_duckdb(t: str) -> str:
+    """Spark simpleString -> DuckDB type name (for the schema comparison)."""
+    simple = {
+        "bigint": "BIGINT",
+        "int": "INTEGER",
+        "smallint": "SMALLINT",
+        "tinyint": "TINYINT",
+        "double": "DOUBLE",
+        "float": "FLOAT",
+        "string": "VARCHAR",
+        "boolean": "BOOLEAN",
+        "date": "DATE",
+        "timestamp_ntz": "TIMESTAMP",
+        "timestamp": "TIMESTAMP WITH TIME ZONE",
+    }
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    return simple.get(t, t.upper())
+
+
+def type_mismatches(sdf, con, sql) -> list[str]:
+    spark_types = {f.name: spark_type_as_duckdb(f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = {r[0]: r[1].replace(" ", "") for r in con.execute(f"describe {sql}").fetchall()}
+    return [f"{c}: spark {spark_types[c]} duckdb {duck_types.get(c)}" for c in spark_types if spark_types[c].replace(" ", "") != duck_types.get(c)]
+
+
 def rows_key(rows, cols, exact_float):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i], exact_float) for i in order) for r in rows), key=lambda t: tuple((x is None, x or "") for x in t))
@@ -72,6 +98,9 @@ def compare(spark, con, sf_dir: str, name: str, fn, sql: str | None) -> tuple[bo
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         return False, f"{name}: VALUES differ cols={sorted(scols)} first={diff}"
     tag = "exact" if exact else "float~"
+    types = type_mismatches(sdf, con, sql)
+    if types:
+        return False, f"{name}: TYPES differ {types}"
     return True, f"{name}: ok rows={len(srows)} {tag} spark {t1 - t0:.1f}s"
 
 
