@@ -24,6 +24,9 @@ def build_session(
 ) -> SparkSession:
     """Session for tests, bench and command-line runs.
 
+    ``checkpoint_dir`` is used only when the configuration (e.g. the
+    cluster's ``spark-defaults.conf``) does not name ``spark.checkpoint.dir``.
+
     AQE is on so joins switch to broadcast only when the measured size of
     the small side is below the threshold, skewed join partitions are split
     and small shuffle partitions are coalesced.  The UI stays off.
@@ -41,24 +44,23 @@ def build_session(
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if checkpoint_dir:
-        builder = builder.config(_CHECKPOINT_CONF, checkpoint_dir)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, fallback=checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the checkpoint directory, registering it with the context.
 
     Order: the context's current directory, then ``spark.checkpoint.dir``
-    from the session configuration; only a local-mode session with neither
-    gets a fresh temporary directory (tests, smoke checks).  On a cluster a
-    missing setting is an error: a machine-local folder would not survive
-    the loss of an executor.
+    from the session configuration; only when neither is set is the caller's
+    ``fallback`` used, and only a local-mode session without any gets a
+    fresh temporary directory (tests, smoke checks).  On a cluster a missing
+    setting is an error: a machine-local folder would not survive the loss of
+    an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if fallback:
+        sc.setCheckpointDir(fallback)
+        return sc.getCheckpointDir() or fallback
     if not sc.master.startswith("local"):
         raise RuntimeError(
             f"set {_CHECKPOINT_CONF} to a shared (distributed) folder; it is needed for reliable checkpoints"
