@@ -1,9 +1,10 @@
 """Integrity checks declared by the warehouse model, run as Spark jobs.
 
-Every check returns ``(table_name, check_name, violations)``; an empty
-violation count means the constraint holds.  Each table is scanned once per
-check family: all NOT NULL / length / range counts of a table are one
-aggregate, unpivoted with ``stack``.  The foreign-key check reads the fact
+Every check returns ``(table_name, check_name, violations)``; a zero
+violation count means the constraint holds.  All counts of a table
+(duplicate keys, NOT NULL, text length, decimal range) are one aggregate,
+one scan, unpivoted with ``stack``; ``run_all`` therefore reads each table
+once, plus one fact scan for the foreign keys.  The foreign-key check reads the fact
 once for all nine keys and aggregates by key value first (partial
 aggregation), so only distinct key values meet the dimensions in the anti
 join, whatever the dimension size.
@@ -38,41 +39,55 @@ def _union(frames: list[DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, [f for f in frames if f is not None])
 
 
-def _duplicates(table: str, df: DataFrame, key: str, label: str) -> DataFrame:
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1)
-    return dup.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(f"{label}:{key}").alias("check_name"), "violations"
-    )
+FAMILIES = ("unique", "not_null", "lengths", "ranges")
+
+
+def _table_counts(name: str, families: tuple[str, ...]) -> dict[str, Column]:
+    """Named violation counts of one table for the chosen check families.
+
+    Duplicates are ``count(key) - count(distinct key)``: repeated non-NULL
+    values (a NULL key is reported by the NOT NULL check).
+    """
+    schema = WAREHOUSE[name]
+    counts: dict[str, Column] = {}
+    if "unique" in families:
+        keys = [("pk", schema.fields[0].name)]
+        if name in DIMENSION_BUSINESS_KEYS:
+            keys.append(("business_key", DIMENSION_BUSINESS_KEYS[name]))
+        for label, key in keys:
+            counts[f"{label}:{key}"] = F.count(F.col(key)) - F.count_distinct(F.col(key))
+    if "not_null" in families:
+        for f in schema.fields:
+            if not f.nullable:
+                counts[f"not_null:{f.name}"] = F.count(F.lit(1)) - F.count(F.col(f.name))
+    if "lengths" in families:
+        for c, n in VARCHAR_LIMITS.get(name, {}).items():
+            counts[f"length:{c}<={n}"] = F.count_if(F.length(F.col(c)) > n)
+    if "ranges" in families and name == FACT:
+        for c in MONEY_COLUMNS:
+            counts[f"range:{c}"] = F.count_if(F.col(c).isNotNull() & (F.abs(F.col(c)) >= F.lit(MONEY_LIMIT)))
+        counts["range:taxa_cambio_transacao"] = F.count_if(
+            F.col("taxa_cambio_transacao").isNotNull() & (F.abs(F.col("taxa_cambio_transacao")) >= F.lit(RATE_LIMIT))
+        )
+    return counts
+
+
+def _checks(tables: dict[str, DataFrame], families: tuple[str, ...]) -> DataFrame:
+    """One aggregate (one scan) per table for all chosen families."""
+    return _union([_rows(name, _table_counts(name, families), df) for name, df in tables.items()])
 
 
 def check_unique(tables: dict[str, DataFrame]) -> DataFrame:
     """Primary key of all ten tables; business id of every dimension."""
-    out = []
-    for name, df in tables.items():
-        out.append(_duplicates(name, df, WAREHOUSE[name].fields[0].name, "pk"))
-    for dim, key in DIMENSION_BUSINESS_KEYS.items():
-        out.append(_duplicates(dim, tables[dim], key, "business_key"))
-    return _union(out)
+    return _checks(tables, ("unique",))
 
 
 def check_not_null(tables: dict[str, DataFrame]) -> DataFrame:
-    out = []
-    for name, df in tables.items():
-        counts = {
-            f"not_null:{f.name}": F.count(F.lit(1)) - F.count(F.col(f.name))
-            for f in WAREHOUSE[name].fields
-            if not f.nullable
-        }
-        out.append(_rows(name, counts, df))
-    return _union(out)
+    return _checks(tables, ("not_null",))
 
 
 def check_lengths(tables: dict[str, DataFrame]) -> DataFrame:
-    out = []
-    for name, limits in VARCHAR_LIMITS.items():
-        counts = {f"length:{c}<={n}": F.count_if(F.length(F.col(c)) > n) for c, n in limits.items()}
-        out.append(_rows(name, counts, tables[name]))
-    return _union(out)
+    return _checks({n: t for n, t in tables.items() if n in VARCHAR_LIMITS}, ("lengths",))
 
 
 def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
@@ -105,18 +120,10 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_ranges(tables: dict[str, DataFrame]) -> DataFrame:
-    fact = tables[FACT]
-    counts = {
-        f"range:{c}": F.count_if(F.col(c).isNotNull() & (F.abs(F.col(c)) >= F.lit(MONEY_LIMIT))) for c in MONEY_COLUMNS
-    }
-    counts["range:taxa_cambio_transacao"] = F.count_if(
-        F.col("taxa_cambio_transacao").isNotNull() & (F.abs(F.col("taxa_cambio_transacao")) >= F.lit(RATE_LIMIT))
-    )
-    return _rows(FACT, counts, fact)
+    return _checks({FACT: tables[FACT]}, ("ranges",))
 
 
 def run_all(tables: dict[str, DataFrame]) -> DataFrame:
-    """All checks in one frame."""
-    return _union(
-        [check_unique(tables), check_not_null(tables), check_foreign_keys(tables), check_lengths(tables), check_ranges(tables)]
-    )
+    """All checks: one scan per table for uniqueness, NOT NULL, lengths and
+    ranges together, plus the single-scan foreign-key check."""
+    return _union([_checks(tables, FAMILIES), check_foreign_keys(tables)])
