@@ -38,8 +38,12 @@ def test_time_sums_compose(built):
 
 
 def test_facts_plus_discards_equal_cleaned(built):
+    from tradestar.plans.fact import REASONS
+
     cleaned = clean_transacoes(built.bronze.transacoes).count()
-    discarded = sum(r["transacoes"] for r in built.star.discard_audit.collect())
+    audit = built.star.discard_audit.collect()
+    assert {r["motivo"] for r in audit} <= set(REASONS)
+    discarded = sum(r["transacoes"] for r in audit)
     assert built.warehouse.fact.count() + discarded == cleaned
 
 

@@ -96,12 +96,6 @@ FIXTURE_TO_BRONZE = {
 }
 
 
-def fixture_ctes() -> str:
-    """``with`` clause holding every fixture view (for the DuckDB oracle)."""
-    parts = [f"{name} as ({body.strip()})" for name, body in FIXTURE_VIEWS.items()]
-    return "with " + ",\n".join(parts) + "\n"
-
-
 def register_sources(spark: SparkSession, sf_dir: str) -> None:
     """Register the driver's parquet tables as temp views (column-pruned scans)."""
     for name in SOURCE_TABLES:
