@@ -59,14 +59,16 @@ def dense_key(
     key_name: str,
     keep: Column | None = None,
     rows: int | None = None,
+    small_rows: int = SMALL_KEY_ROWS,
 ) -> DataFrame:
     """``df`` plus ``key_name`` = 1..n in ``order`` (NULL for rows not kept).
 
     ``order`` should be a total order; ties get consecutive keys in an
     unspecified but equal-valued arrangement.  ``rows`` is a measured row
-    count of ``df`` (see :func:`count_rows`), enabling the small path.
+    count of ``df`` (see :func:`count_rows`), enabling the small path up to
+    ``small_rows`` rows.
     """
-    if keep is None and rows is not None and rows <= SMALL_KEY_ROWS:
+    if keep is None and rows is not None and rows <= small_rows:
         window = Window.orderBy(*_sort_cols(order))
         return df.withColumn(key_name, F.row_number().over(window).cast("long"))
     spark = df.sparkSession

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tradestar.functions.calendar import time_attributes
 from tradestar.functions.coerce import to_integer
-from tradestar.operators.keys import dense_key
+from tradestar.operators.keys import SMALL_KEY_ROWS, dense_key
 
 # Label of the default category and prefix of synthesized products.
 NO_CATEGORY = "SEM_CATEGORIA"
@@ -26,13 +26,16 @@ def base_tempo(fx_clean: DataFrame) -> DataFrame:
     return fx_clean.select("data").distinct()
 
 
-def dim_tempo(fx_clean: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> DataFrame:
+def dim_tempo(
+    fx_clean: DataFrame, rows: int | None = None, base: DataFrame | None = None, small_rows: int = SMALL_KEY_ROWS
+) -> DataFrame:
     """One row per distinct FX timestamp, keyed in ascending time.
 
     ``data`` (the full timestamp) stays as the internal natural key of the
     fact lookup; ``data_referencia`` is its date.
     """
-    keyed = dense_key(base if base is not None else base_tempo(fx_clean), ["data"], "sk_tempo", rows=rows)
+    src = base if base is not None else base_tempo(fx_clean)
+    keyed = dense_key(src, ["data"], "sk_tempo", rows=rows, small_rows=small_rows)
     attrs = time_attributes(F.col("data"))
     return keyed.select("sk_tempo", *[v.alias(k) for k, v in attrs.items()], "data")
 
@@ -44,11 +47,15 @@ def base_paises(paises: DataFrame, blocos: DataFrame) -> DataFrame:
 
 
 def dim_paises(
-    paises: DataFrame, blocos: DataFrame, rows: int | None = None, base: DataFrame | None = None
+    paises: DataFrame,
+    blocos: DataFrame,
+    rows: int | None = None,
+    base: DataFrame | None = None,
+    small_rows: int = SMALL_KEY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(origin, destination) country dimensions with their economic bloc."""
     src = base if base is not None else base_paises(paises, blocos)
-    base = dense_key(src, ["id", "nome", "codigo_iso", "bloco_nome"], "_sk", rows=rows)
+    base = dense_key(src, ["id", "nome", "codigo_iso", "bloco_nome"], "_sk", rows=rows, small_rows=small_rows)
 
     def role(r: str) -> DataFrame:
         return base.select(
@@ -81,11 +88,16 @@ def base_categoria(spark: SparkSession, categorias: DataFrame | None) -> DataFra
 
 
 def dim_categoria_produto(
-    spark: SparkSession, categorias: DataFrame | None, rows: int | None = None, base: DataFrame | None = None
+    spark: SparkSession,
+    categorias: DataFrame | None,
+    rows: int | None = None,
+    base: DataFrame | None = None,
+    small_rows: int = SMALL_KEY_ROWS,
 ) -> DataFrame:
     """Categories by id; a single ``(0, SEM_CATEGORIA)`` row when the file is absent."""
     base = base if base is not None else base_categoria(spark, categorias)
-    keyed = dense_key(base, ["id_categoria_produto", "descricao_categoria_produto"], "sk_categoria_produto", rows=rows)
+    order = ["id_categoria_produto", "descricao_categoria_produto"]
+    keyed = dense_key(base, order, "sk_categoria_produto", rows=rows, small_rows=small_rows)
     return keyed.select("sk_categoria_produto", "id_categoria_produto", "descricao_categoria_produto")
 
 
@@ -126,6 +138,7 @@ def dim_produto(
     transacoes_clean: DataFrame,
     rows: int | None = None,
     base: DataFrame | None = None,
+    small_rows: int = SMALL_KEY_ROWS,
 ) -> DataFrame:
     """Products, one row per id (the first in column order), keyed by id.
 
@@ -135,7 +148,7 @@ def dim_produto(
     ``SEM_CATEGORIA`` when id 0 is not a known category.
     """
     one = base if base is not None else base_produto(produtos, categorias_dim, transacoes_clean)
-    keyed = dense_key(one, ["id_produto"], "sk_produto", rows=rows)
+    keyed = dense_key(one, ["id_produto"], "sk_produto", rows=rows, small_rows=small_rows)
     return keyed.select(
         "sk_produto",
         "id_produto",
@@ -151,10 +164,12 @@ def base_moedas(moedas: DataFrame) -> DataFrame:
     return moedas.select("id", "descricao", "pais").distinct()
 
 
-def dim_moedas(moedas: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def dim_moedas(
+    moedas: DataFrame, rows: int | None = None, base: DataFrame | None = None, small_rows: int = SMALL_KEY_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """(origin, destination) currency dimensions."""
     src = base if base is not None else base_moedas(moedas)
-    keyed = dense_key(src, ["id", "descricao", "pais"], "_sk", rows=rows)
+    keyed = dense_key(src, ["id", "descricao", "pais"], "_sk", rows=rows, small_rows=small_rows)
 
     def role(r: str) -> DataFrame:
         return keyed.select(
@@ -171,15 +186,19 @@ def base_simple(src: DataFrame, name: str) -> DataFrame:
     return src.select(F.col("id").alias(f"id_{name}"), F.col("descricao").alias(f"descricao_{name}")).distinct()
 
 
-def _simple_dim(src: DataFrame, name: str, rows: int | None, base: DataFrame | None) -> DataFrame:
+def _simple_dim(src: DataFrame, name: str, rows: int | None, base: DataFrame | None, small_rows: int) -> DataFrame:
     b = base if base is not None else base_simple(src, name)
-    keyed = dense_key(b, [f"id_{name}", f"descricao_{name}"], f"sk_{name}", rows=rows)
+    keyed = dense_key(b, [f"id_{name}", f"descricao_{name}"], f"sk_{name}", rows=rows, small_rows=small_rows)
     return keyed.select(f"sk_{name}", f"id_{name}", f"descricao_{name}")
 
 
-def dim_tipo_transacao(tipos: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> DataFrame:
-    return _simple_dim(tipos, "tipo_transacao", rows, base)
+def dim_tipo_transacao(
+    tipos: DataFrame, rows: int | None = None, base: DataFrame | None = None, small_rows: int = SMALL_KEY_ROWS
+) -> DataFrame:
+    return _simple_dim(tipos, "tipo_transacao", rows, base, small_rows)
 
 
-def dim_transporte(transportes: DataFrame, rows: int | None = None, base: DataFrame | None = None) -> DataFrame:
-    return _simple_dim(transportes, "transporte", rows, base)
+def dim_transporte(
+    transportes: DataFrame, rows: int | None = None, base: DataFrame | None = None, small_rows: int = SMALL_KEY_ROWS
+) -> DataFrame:
+    return _simple_dim(transportes, "transporte", rows, base, small_rows)

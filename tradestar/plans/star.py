@@ -80,24 +80,29 @@ def build_dimensions(
     transacoes_clean: DataFrame,
     rows: dict[str, int] | None = None,
     bases: dict[str, DataFrame] | None = None,
+    small_rows: int = SMALL_KEY_ROWS,
 ) -> dict[str, DataFrame]:
     """The nine dimensions; ``rows`` are measured base counts (small path),
     ``bases`` the (persisted) frames they were measured on."""
     n = rows or {}
     bs = bases or {}
-    pais_o, pais_d = D.dim_paises(bronze.paises, bronze.blocos_economicos, rows=n.get("paises"), base=bs.get("paises"))
-    moeda_o, moeda_d = D.dim_moedas(bronze.moedas, rows=n.get("moedas"), base=bs.get("moedas"))
-    cat = D.dim_categoria_produto(spark, bronze.categoria_produtos, rows=n.get("categoria"), base=bs.get("categoria"))
+
+    def sized(name: str) -> dict:
+        return {"rows": n.get(name), "base": bs.get(name), "small_rows": small_rows}
+
+    pais_o, pais_d = D.dim_paises(bronze.paises, bronze.blocos_economicos, **sized("paises"))
+    moeda_o, moeda_d = D.dim_moedas(bronze.moedas, **sized("moedas"))
+    cat = D.dim_categoria_produto(spark, bronze.categoria_produtos, **sized("categoria"))
     return {
-        "dim_tempo": D.dim_tempo(fx_clean, rows=n.get("tempo"), base=bs.get("tempo")),
+        "dim_tempo": D.dim_tempo(fx_clean, **sized("tempo")),
         "dim_pais_origem": pais_o,
         "dim_pais_destino": pais_d,
         "dim_categoria_produto": cat,
-        "dim_produto": D.dim_produto(bronze.produtos, cat, transacoes_clean, rows=n.get("produto"), base=bs.get("produto")),
+        "dim_produto": D.dim_produto(bronze.produtos, cat, transacoes_clean, **sized("produto")),
         "dim_moeda_origem": moeda_o,
         "dim_moeda_destino": moeda_d,
-        "dim_tipo_transacao": D.dim_tipo_transacao(bronze.tipos_transacoes, rows=n.get("tipo"), base=bs.get("tipo")),
-        "dim_transporte": D.dim_transporte(bronze.transportes, rows=n.get("transporte"), base=bs.get("transporte")),
+        "dim_tipo_transacao": D.dim_tipo_transacao(bronze.tipos_transacoes, **sized("tipo")),
+        "dim_transporte": D.dim_transporte(bronze.transportes, **sized("transporte")),
     }
 
 
@@ -115,7 +120,12 @@ _DIM_BASE = {
 }
 
 
-def build_star(spark: SparkSession, bronze: Bronze, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> Star:
+def build_star(
+    spark: SparkSession,
+    bronze: Bronze,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    small_key_rows: int = SMALL_KEY_ROWS,
+) -> Star:
     """Bronze -> cleaned tables -> nine dimensions -> numbered fact.
 
     Jobs: FX checkpoint, one job counting the FX table and every dimension
@@ -131,10 +141,10 @@ def build_star(spark: SparkSession, bronze: Bronze, max_broadcast_rows: int = DE
     bases = {k: v.persist() for k, v in dimension_bases(spark, bronze, fx, transacoes).items()}
     rows = count_rows({"fx": fx, **bases})
     for k, v in bases.items():
-        if rows[k] > SMALL_KEY_ROWS:  # large bases go through a checkpoint instead
+        if rows[k] > small_key_rows:  # large bases go through a written table instead
             v.unpersist()
-    dims = build_dimensions(spark, bronze, fx, transacoes, rows, bases)
-    dims = {k: (v.persist() if rows[_DIM_BASE[k]] <= SMALL_KEY_ROWS else v) for k, v in dims.items()}
+    dims = build_dimensions(spark, bronze, fx, transacoes, rows, bases, small_key_rows)
+    dims = {k: (v.persist() if rows[_DIM_BASE[k]] <= small_key_rows else v) for k, v in dims.items()}
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
     joined = FT.fx_join(transacoes, fx, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
     staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
