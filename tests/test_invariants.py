@@ -44,6 +44,9 @@ def test_facts_plus_discards_equal_cleaned(built):
     audit = built.star.discard_audit.collect()
     assert {r["motivo"] for r in audit} <= set(REASONS)
     discarded = sum(r["transacoes"] for r in audit)
+    metrics = built.star.audit_metrics
+    assert {r["motivo"]: r["transacoes"] for r in audit} == {k: v for k, v in metrics.items() if k in REASONS and v}
+    assert metrics["linhas"] == cleaned and metrics["fato"] == cleaned - discarded
     assert built.warehouse.fact.count() + discarded == cleaned
 
 

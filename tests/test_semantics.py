@@ -100,6 +100,10 @@ def test_fact_rows_and_values(star):
 def test_discard_audit(star):
     audit = {r["motivo"]: r["transacoes"] for r in star.discard_audit.collect()}
     assert audit == {"cambio_ausente_ou_invalido": 2, "sem_sk_produto": 1, "sem_sk_categoria_produto": 1}
+    # the same numbers, observed while the staged rows were written
+    observed = {k: v for k, v in star.audit_metrics.items() if v and k not in ("linhas", "fato")}
+    assert observed == audit
+    assert star.audit_metrics["linhas"] == 7 and star.audit_metrics["fato"] == 3
 
 
 def test_time_dimension(star):
@@ -188,6 +192,16 @@ def test_empty_fact(spark):
     assert cards["total_transacoes_txt"] == "0"
 
 
+def test_empty_tables_keep_their_schema(spark, tmp_path):
+    from tradestar.plans.star import read_star, write_star
+
+    s = build_star(spark, make_bronze(spark, {"transacoes": [("1", "1", "1", "2", "1", "x", "1", "1", "10")]}))
+    write_star(s, str(tmp_path / "wh"))
+    wh = read_star(spark, str(tmp_path / "wh"))
+    assert wh.fact.count() == 0
+    assert wh.fact.columns == s.tables()["fato_transacoes_internacionais"].columns
+
+
 def test_single_month_change_is_zero(spark):
     rows = [BASE["transacoes"][0]]
     s = build_star(spark, make_bronze(spark, {"transacoes": rows}))

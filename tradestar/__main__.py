@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None) -> int:
         star = build_star(spark, _bronze(spark, args))
         write_star(star, args.warehouse)
         if args.audit:
-            star.discard_audit.show(truncate=False)
+            print({k: v for k, v in (star.audit_metrics or {}).items() if v})
     elif args.cmd == "views":
         wh = read_star(spark, args.warehouse)
         for n in args.view or range(1, 7):

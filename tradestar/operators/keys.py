@@ -31,7 +31,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tradestar.session import scratch_path
@@ -60,13 +60,16 @@ def dense_key(
     keep: Column | None = None,
     rows: int | None = None,
     small_rows: int = SMALL_KEY_ROWS,
+    observe: tuple[Observation, list[Column]] | None = None,
 ) -> DataFrame:
     """``df`` plus ``key_name`` = 1..n in ``order`` (NULL for rows not kept).
 
     ``order`` should be a total order; ties get consecutive keys in an
     unspecified but equal-valued arrangement.  ``rows`` is a measured row
     count of ``df`` (see :func:`count_rows`), enabling the small path up to
-    ``small_rows`` rows.
+    ``small_rows`` rows.  ``observe`` = (observation, metric columns) is
+    attached *after* the range exchange: below it, the sampling job that
+    computes the range bounds would feed the metrics a second time.
     """
     if keep is None and rows is not None and rows <= small_rows:
         window = Window.orderBy(*_sort_cols(order))
@@ -77,6 +80,8 @@ def dense_key(
     # kept rows first in the global order, hence first in every partition
     sort = [F.col(_KEEP).desc()] + _sort_cols(order)
     ranged = with_keep.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    if observe is not None:
+        ranged = ranged.observe(observe[0], *observe[1])
     located = ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
     path = scratch_path(spark, f"dense_key_{key_name}")
     located.write.parquet(path)

@@ -15,7 +15,7 @@ is left to a shuffled join, where AQE splits partitions of a hot
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradestar.functions.coerce import round_to_int
@@ -155,7 +155,15 @@ def stage_fact(joined: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
     return staged.withColumn("motivo", reason)
 
 
-def number_fact(staged: DataFrame) -> DataFrame:
+def audit_metrics() -> tuple[Observation, list]:
+    """Job metrics of the staged rows: rows in, rows kept and rows lost per
+    reason, collected while the staged table is written (no extra pass)."""
+    metrics = [F.count(F.lit(1)).alias("linhas"), F.count_if(F.col("motivo").isNull()).alias("fato")]
+    metrics += [F.count_if(F.col("motivo") == F.lit(r)).alias(r) for r in REASONS]
+    return Observation("discard_audit"), metrics
+
+
+def number_fact(staged: DataFrame, observe: tuple[Observation, list] | None = None) -> DataFrame:
     """Materialise the staged rows once; number the kept ones 1..n.
 
     Returns the staged frame with ``sk_transacao`` (NULL for rejected rows),
@@ -163,7 +171,7 @@ def number_fact(staged: DataFrame) -> DataFrame:
     range-partitioned and sorted by the fact order, so the fact files come
     out clustered by ``id_transacao``.
     """
-    return dense_key(staged, FACT_ORDER, "sk_transacao", keep=F.col("motivo").isNull())
+    return dense_key(staged, FACT_ORDER, "sk_transacao", keep=F.col("motivo").isNull(), observe=observe)
 
 
 def fact_table(numbered: DataFrame) -> DataFrame:

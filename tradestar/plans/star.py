@@ -39,6 +39,7 @@ class Star:
     discard_audit: DataFrame | None = None
     quarantine: DataFrame | None = None
     staged: DataFrame | None = None
+    audit_metrics: dict | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """The ten warehouse tables (stored columns, fixed order and types)."""
@@ -148,13 +149,15 @@ def build_star(
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
     joined = FT.fx_join(transacoes, fx, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
     staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
-    numbered = FT.number_fact(staged)
+    observation, metrics = FT.audit_metrics()
+    numbered = FT.number_fact(staged, observe=(observation, metrics))
     return Star(
         **dims,
         fato_transacoes_internacionais=FT.fact_table(numbered),
         discard_audit=FT.discard_audit(numbered),
         quarantine=FT.quarantine(numbered),
         staged=numbered,
+        audit_metrics=observation.get,
     )
 
 
