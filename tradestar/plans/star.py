@@ -22,6 +22,7 @@ from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
 from tradestar.session import ensure_checkpoint_dir
 from tradestar.sources.bronze import Bronze
+from tradestar.sources.writers import write_all
 
 
 @dataclass
@@ -162,9 +163,11 @@ def build_star(
 
 
 def write_star(star: Star, out_dir: str, mode: str = "overwrite") -> None:
-    """Dimensions first, then the fact; one Parquet folder per table."""
-    for name, df in star.tables().items():
-        df.write.mode(mode).parquet(f"{out_dir.rstrip('/')}/{name}")
+    """The nine dimensions (concurrently), then the fact; one Parquet folder per table."""
+    tables = star.tables()
+    base = out_dir.rstrip("/")
+    write_all({n: df for n, df in tables.items() if n != FACT}, lambda n: f"{base}/{n}", mode)
+    write_all({FACT: tables[FACT]}, lambda n: f"{base}/{n}", mode)
 
 
 def read_star(spark: SparkSession, wh_dir: str) -> Star:

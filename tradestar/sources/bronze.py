@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tradestar.functions.coerce import null_tokens_to_null, to_integer
 from tradestar.schemas import BRONZE_COLUMNS, BRONZE_INT_COLUMNS, OPTIONAL_TABLES, REQUIRED_TABLES, raw_schema
+from tradestar.sources.writers import write_all
 
 
 @dataclass
@@ -99,8 +100,7 @@ def read_bronze_csv(
     """Read ``<csv_dir>/<table>.csv`` for the nine tables.
 
     An optional table whose file does not exist is ``None``; a missing
-    required file raises.  ``tables`` restricts which files are read (the
-    others must then be supplied some other way, so it is for ``read_tables``).
+    required file raises, as does leaving a required table out of ``tables``.
     """
     frames: dict[str, DataFrame | None] = {}
     for table in tables or (REQUIRED_TABLES + OPTIONAL_TABLES):
@@ -134,13 +134,12 @@ def read_bronze_parquet(spark: SparkSession, bronze_dir: str) -> Bronze:
 
 
 def write_bronze(bronze: Bronze, out_dir: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Bronze sink: one folder per table, CSV with header or Parquet."""
-    for table, df in bronze.tables().items():
-        if df is None:
-            continue
-        writer = df.write.mode(mode)
-        if fmt == "csv":
-            # a folder named like the file, so read_bronze_csv finds it
-            writer.option("header", True).csv(f"{out_dir.rstrip('/')}/{table}.csv")
-        else:
-            writer.parquet(f"{out_dir.rstrip('/')}/{table}")
+    """Bronze sink: one folder per table (written concurrently), CSV with
+    header or Parquet.  A CSV folder is named like the file, so
+    ``read_bronze_csv`` finds it."""
+    frames = {t: df for t, df in bronze.tables().items() if df is not None}
+    base = out_dir.rstrip("/")
+    if fmt == "csv":
+        write_all(frames, lambda t: f"{base}/{t}.csv", mode, "csv", {"header": True})
+    else:
+        write_all(frames, lambda t: f"{base}/{t}", mode)
