@@ -1,5 +1,6 @@
 """Command line: ``python -m tradestar <command> ...``.
 
+  run          build, then show BI views (the whole pipeline in one job)
   build        bronze (CSV folder, Parquet folder, JDBC or test tables) -> warehouse
   views        print the result frames of BI views 1-6 from a warehouse
   check        run the integrity checks on a warehouse
@@ -50,6 +51,28 @@ def _bronze(spark, args):
     raise SystemExit("give --bronze-csv, --bronze-parquet, --jdbc-url or --test-tables")
 
 
+def _source_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--bronze-csv")
+    p.add_argument("--bronze-parquet")
+    p.add_argument("--no-header", action="store_true")
+    p.add_argument("--jdbc-url")
+    p.add_argument("--jdbc-user")
+    p.add_argument("--jdbc-password")
+    p.add_argument("--jdbc-partitions", type=int)
+    p.add_argument("--test-tables")
+    p.add_argument("--warehouse", required=True)
+    p.add_argument("--audit", action="store_true", help="print the discard counts")
+
+
+def _show_views(wh, views, rows: int) -> None:
+    from tradestar.plans import marts as M
+
+    for n in views or range(1, 7):
+        for name, df in M.view(wh, n).items():
+            print(f"== view {n}: {M.VIEWS[n]} / {name}")
+            df.show(rows, truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tradestar")
     p.add_argument("--master")
@@ -57,16 +80,11 @@ def main(argv: list[str] | None = None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
 
     b = sub.add_parser("build")
-    b.add_argument("--bronze-csv")
-    b.add_argument("--bronze-parquet")
-    b.add_argument("--no-header", action="store_true")
-    b.add_argument("--jdbc-url")
-    b.add_argument("--jdbc-user")
-    b.add_argument("--jdbc-password")
-    b.add_argument("--jdbc-partitions", type=int)
-    b.add_argument("--test-tables")
-    b.add_argument("--warehouse", required=True)
-    b.add_argument("--audit", action="store_true", help="print the discard audit")
+    r = sub.add_parser("run")
+    for cmd in (b, r):
+        _source_args(cmd)
+    r.add_argument("--view", type=int, choices=range(1, 7), action="append")
+    r.add_argument("--rows", type=int, default=20)
 
     v = sub.add_parser("views")
     v.add_argument("--warehouse", required=True)
@@ -85,20 +103,17 @@ def main(argv: list[str] | None = None) -> int:
 
     args = p.parse_args(argv)
     spark = _session(args)
-    from tradestar.plans import marts as M
     from tradestar.plans.star import build_star, read_star, write_star
 
-    if args.cmd == "build":
+    if args.cmd in ("build", "run"):
         star = build_star(spark, _bronze(spark, args))
         write_star(star, args.warehouse)
         if args.audit:
             print({k: v for k, v in (star.audit_metrics or {}).items() if v})
+        if args.cmd == "run":
+            _show_views(read_star(spark, args.warehouse), args.view, args.rows)
     elif args.cmd == "views":
-        wh = read_star(spark, args.warehouse)
-        for n in args.view or range(1, 7):
-            for name, df in M.view(wh, n).items():
-                print(f"== view {n}: {M.VIEWS[n]} / {name}")
-                df.show(args.rows, truncate=False)
+        _show_views(read_star(spark, args.warehouse), args.view, args.rows)
     elif args.cmd == "check":
         from tradestar.operators.quality import run_all
 
