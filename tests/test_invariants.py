@@ -105,12 +105,16 @@ def test_warehouse_sql_views(spark, built):
     built.warehouse.register_views()
     by_sql = spark.sql(
         """
-        SELECT p.nome_pais_destino AS pais, SUM(f.valor_convertido_transacao) AS valor_total
-        FROM fato_transacoes_internacionais f
-        JOIN dim_pais_destino p ON f.sk_pais_destino = p.sk_pais_destino
-        GROUP BY p.nome_pais_destino
-        ORDER BY valor_total DESC, pais
-        LIMIT 10
+        with per_country as (
+            select d.nome_pais_destino as pais, sum(x.valor_convertido_transacao) as valor_total
+            from dim_pais_destino as d
+            inner join fato_transacoes_internacionais as x using (sk_pais_destino)
+            group by 1
+        )
+        select pais, valor_total
+        from (select *, row_number() over (order by valor_total desc, pais) as posicao from per_country)
+        where posicao <= 10
+        order by posicao
         """
     ).collect()
     by_api = M.top_destination_countries(built.warehouse).collect()
