@@ -52,9 +52,11 @@ FACT_ORDER = [
 ]
 
 
-def fx_join(transacoes_clean: DataFrame, fx_clean: DataFrame, fx_bcast: DataFrame | None = None) -> DataFrame:
+def fx_join(transacoes_clean: DataFrame, fx_clean: DataFrame) -> DataFrame:
     """Transactions with their FX row (left join on ``cambio_id``) and the
     converted value ``valor x taxa`` (exact decimal product, unrounded rate).
+
+    ``fx_clean`` may carry a broadcast hint (see :func:`bounded_broadcast`).
     """
     t = transacoes_clean.select(
         F.col("id").alias("id_transacao"),
@@ -67,7 +69,7 @@ def fx_join(transacoes_clean: DataFrame, fx_clean: DataFrame, fx_bcast: DataFram
         "transporte_id",
         "cambio_id",
     )
-    fx = (fx_bcast if fx_bcast is not None else fx_clean).select(
+    fx = fx_clean.select(
         F.col("id").alias("cambio_id"), "data", "moeda_origem", "moeda_destino", "taxa_cambio"
     )
     joined = t.join(fx, "cambio_id", "left")

@@ -148,7 +148,7 @@ def build_star(
     dims = build_dimensions(spark, bronze, fx, transacoes, rows, bases, small_key_rows)
     dims = {k: (v.persist() if rows[_DIM_BASE[k]] <= small_key_rows else v) for k, v in dims.items()}
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
-    joined = FT.fx_join(transacoes, fx, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
+    joined = FT.fx_join(transacoes, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
     staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
     observation, metrics = FT.audit_metrics()
     numbered = FT.number_fact(staged, observe=(observation, metrics))
