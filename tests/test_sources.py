@@ -104,6 +104,15 @@ def test_bronze_and_warehouse_roundtrip(spark, tmp_dir):
     assert wh.fact.collect() == star.tables()["fato_transacoes_internacionais"].collect()
 
 
+def test_warehouse_as_catalog_tables(spark, tmp_dir):
+    d = write_csv_dir(os.path.join(tmp_dir, "bronze"), BRONZE_CSV)
+    star = build_star(spark, read_bronze_csv(spark, d))
+    write_star(star, os.path.join(tmp_dir, "wh"), database="dw_test")
+    by_name = read_star(spark, database="dw_test")
+    assert by_name.fact.count() == 1
+    assert spark.sql("select count(*) from dw_test.dim_pais_origem").collect()[0][0] == 3
+
+
 DERBY = "jdbc:derby:memory:tradestar_test;create=true"
 
 

@@ -162,15 +162,30 @@ def build_star(
     )
 
 
-def write_star(star: Star, out_dir: str, mode: str = "overwrite") -> None:
-    """The nine dimensions (concurrently), then the fact; one Parquet folder per table."""
+def write_star(star: Star, out_dir: str, mode: str = "overwrite", database: str | None = None) -> None:
+    """The nine dimensions (concurrently), then the fact; one Parquet folder per table.
+
+    With ``database`` the folders are also registered as catalog tables
+    ``<database>.<table>`` (external tables over the same files), so later jobs
+    can query the warehouse by name.
+    """
     tables = star.tables()
     base = out_dir.rstrip("/")
     write_all({n: df for n, df in tables.items() if n != FACT}, lambda n: f"{base}/{n}", mode)
     write_all({FACT: tables[FACT]}, lambda n: f"{base}/{n}", mode)
-
-
-def read_star(spark: SparkSession, wh_dir: str) -> Star:
-    """The stored warehouse as a :class:`Star` (column-pruned Parquet scans)."""
-    tables = {name: spark.read.parquet(f"{wh_dir.rstrip('/')}/{name}") for name in DIMENSIONS + [FACT]}
+    if database:
+        spark = tables[FACT].sparkSession
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for name in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            spark.catalog.createTable(f"{database}.{name}", path=f"{base}/{name}", source="parquet")
+
+
+def read_star(spark: SparkSession, wh_dir: str | None = None, database: str | None = None) -> Star:
+    """The stored warehouse as a :class:`Star` (column-pruned Parquet scans),
+    from its folder or from the catalog tables of ``database``."""
+    if database:
+        tables = {name: spark.table(f"{database}.{name}") for name in DIMENSIONS + [FACT]}
+    else:
+        tables = {name: spark.read.parquet(f"{wh_dir.rstrip('/')}/{name}") for name in DIMENSIONS + [FACT]}
     return Star(**tables)
