@@ -175,7 +175,7 @@ def write_star(star: Star, out_dir: str, mode: str = "overwrite", database: str
     write_all({FACT: tables[FACT]}, lambda n: f"{base}/{n}", mode)
     if database:
         spark = tables[FACT].sparkSession
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
         for name in tables:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
             spark.catalog.createTable(f"{database}.{name}", path=f"{base}/{name}", source="parquet")
