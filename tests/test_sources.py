@@ -7,7 +7,7 @@ import os
 
 from tradestar.plans.star import build_star, read_star, write_star
 from tradestar.sources.bronze import read_bronze_csv, read_bronze_parquet, read_csv_table, write_bronze
-from tradestar.sources.jdbc import read_bronze_jdbc, read_jdbc_table, write_jdbc_table
+from tradestar.sources.jdbc import read_bronze_jdbc, read_jdbc_table, write_jdbc_table, write_star_jdbc
 
 BRONZE_CSV = {
     "blocos_economicos": "id,nome\n1,MERCOSUL\n2,UNIÃO EUROPEIA\n",
@@ -132,6 +132,6 @@ def test_jdbc_roundtrip_in_process_derby(spark, tmp_dir):
     assert sorted(via_jdbc.transacoes.collect()) == sorted(b.transacoes.collect())
     star = build_star(spark, via_jdbc)
     assert sorted(r["id_transacao"] for r in star.fact.collect()) == [1]
-    for name, df in star.tables().items():
-        write_jdbc_table(df, DERBY, "wh_" + name[:20], mode="overwrite")
-    assert read_jdbc_table(spark, DERBY, "wh_fato_transacoes_inte").count() == 1
+    write_star_jdbc(star.tables(), DERBY, batch_size=500)
+    assert read_jdbc_table(spark, DERBY, "fato_transacoes_internacionais").count() == 1
+    assert read_jdbc_table(spark, DERBY, "dim_pais_destino").count() == 3

@@ -61,6 +61,8 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--jdbc-partitions", type=int)
     p.add_argument("--test-tables")
     p.add_argument("--warehouse", required=True)
+    p.add_argument("--warehouse-jdbc-url", help="also load the ten tables into this database")
+    p.add_argument("--warehouse-database", help="also register the tables in this catalog database")
     p.add_argument("--audit", action="store_true", help="print the discard counts")
 
 
@@ -107,7 +109,12 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.cmd in ("build", "run"):
         star = build_star(spark, _bronze(spark, args))
-        write_star(star, args.warehouse)
+        write_star(star, args.warehouse, database=args.warehouse_database)
+        if args.warehouse_jdbc_url:
+            from tradestar.sources.jdbc import write_star_jdbc
+
+            props = {k: v for k, v in (("user", args.jdbc_user), ("password", args.jdbc_password)) if v}
+            write_star_jdbc(read_star(spark, args.warehouse).tables(), args.warehouse_jdbc_url, props)
         if args.audit:
             print({k: v for k, v in (star.audit_metrics or {}).items() if v})
         if args.cmd == "run":

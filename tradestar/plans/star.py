@@ -22,7 +22,7 @@ from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
 from tradestar.session import ensure_checkpoint_dir
 from tradestar.sources.bronze import Bronze
-from tradestar.sources.writers import write_all
+from tradestar.sources.writers import parquet_writer, write_all
 
 
 @dataclass
@@ -171,8 +171,9 @@ def write_star(star: Star, out_dir: str, mode: str = "overwrite", database: str
     """
     tables = star.tables()
     base = out_dir.rstrip("/")
-    write_all({n: df for n, df in tables.items() if n != FACT}, lambda n: f"{base}/{n}", mode)
-    write_all({FACT: tables[FACT]}, lambda n: f"{base}/{n}", mode)
+    writer = parquet_writer(lambda n: f"{base}/{n}", mode)
+    write_all({n: df for n, df in tables.items() if n != FACT}, writer)
+    write_all({FACT: tables[FACT]}, writer)
     if database:
         spark = tables[FACT].sparkSession
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tradestar.functions.coerce import null_tokens_to_null, to_integer
 from tradestar.schemas import BRONZE_COLUMNS, BRONZE_INT_COLUMNS, OPTIONAL_TABLES, REQUIRED_TABLES, raw_schema
-from tradestar.sources.writers import write_all
+from tradestar.sources.writers import parquet_writer, write_all
 
 
 @dataclass
@@ -140,6 +140,6 @@ def write_bronze(bronze: Bronze, out_dir: str, fmt: str = "parquet", mode: str =
     frames = {t: df for t, df in bronze.tables().items() if df is not None}
     base = out_dir.rstrip("/")
     if fmt == "csv":
-        write_all(frames, lambda t: f"{base}/{t}.csv", mode, "csv", {"header": True})
+        write_all(frames, lambda t, df: df.write.mode(mode).option("header", True).csv(f"{base}/{t}.csv"))
     else:
-        write_all(frames, lambda t: f"{base}/{t}", mode)
+        write_all(frames, parquet_writer(lambda t: f"{base}/{t}", mode))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradestar.schemas import OPTIONAL_TABLES, REQUIRED_TABLES
 from tradestar.sources.bronze import Bronze, standardize_bronze
+from tradestar.sources.writers import write_all
 
 
 def quote_identifier(url: str, name: str) -> str:
@@ -101,3 +102,23 @@ def write_jdbc_table(
     for k, v in (properties or {}).items():
         writer = writer.option(k, v)
     writer.mode(mode).save()
+
+
+def write_star_jdbc(
+    tables: dict[str, DataFrame],
+    url: str,
+    properties: dict[str, str] | None = None,
+    mode: str = "overwrite",
+    batch_size: int = 10_000,
+    num_partitions: int | None = None,
+    fact: str = "fato_transacoes_internacionais",
+) -> None:
+    """Load the warehouse into a database: dimensions first (concurrently),
+    then the fact, each with batched inserts.  ``overwrite`` recreates the
+    tables, like dropping them and re-running the DDL before the load."""
+
+    def write_one(name: str, df: DataFrame) -> None:
+        write_jdbc_table(df, url, name, properties, mode, batch_size, num_partitions)
+
+    write_all({n: df for n, df in tables.items() if n != fact}, write_one)
+    write_all({fact: tables[fact]}, write_one)

@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
 
-def write_all(frames: dict[str, DataFrame], path_of, mode: str = "overwrite", fmt: str = "parquet", options=None) -> None:
-    """Write independent frames as concurrent Spark jobs (one thread each).
+def write_all(frames: dict[str, DataFrame], write_one: Callable[[str, DataFrame], None]) -> None:
+    """Run ``write_one(name, df)`` for every frame as concurrent Spark jobs
+    (one thread each).
 
     The jobs share the cluster; small tables no longer wait for each other's
     scheduling.  The first failure is raised after all writes have finished.
     """
-    def write(item):
-        name, df = item
-        df.write.mode(mode).format(fmt).options(**(options or {})).save(path_of(name))
-
     if not frames:
         return
     with ThreadPoolExecutor(max_workers=min(len(frames), 16)) as pool:
-        for f in [pool.submit(write, item) for item in frames.items()]:
+        for f in [pool.submit(write_one, name, df) for name, df in frames.items()]:
             f.result()
+
+
+def parquet_writer(path_of: Callable[[str], str], mode: str = "overwrite") -> Callable[[str, DataFrame], None]:
+    return lambda name, df: df.write.mode(mode).parquet(path_of(name))
