@@ -51,3 +51,21 @@ def test_stream_available_now(spark, tmp_dir):
     stream_insert_ignore(spark, src, "transacoes", target, ckpt)
     ids = sorted(r["id"] for r in spark.read.parquet(target).collect())
     assert ids == ["100001", "100002", "100003", "100004"]
+
+
+def test_stream_processing_time_trigger(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "arriving")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write("7,1,1,5,1,10.00,1,1,1\n")
+    target = os.path.join(tmp_dir, "t")
+    ckpt = os.path.join(tmp_dir, "ck")
+    query = stream_insert_ignore(spark, src, "transacoes", target, ckpt, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        with open(os.path.join(src, "b.csv"), "w") as fh:
+            fh.write("7,1,1,5,1,10.00,1,1,1\n8,1,1,5,1,11.00,1,1,1\n")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == ["7", "8"]

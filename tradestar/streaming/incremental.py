@@ -105,18 +105,24 @@ def stream_insert_ignore(
     target_path: str,
     checkpoint_location: str,
     header: bool = False,
-) -> None:
-    """Consume every CSV file now in ``source_dir`` (one bronze table) as a
-    stream and insert-ignore each micro-batch into ``target_path``."""
+    processing_time: str | None = None,
+):
+    """Consume the CSV files of ``source_dir`` (one bronze table) as a stream
+    and insert-ignore each micro-batch into ``target_path``.
+
+    By default every file present now is processed and the call returns
+    (``availableNow``).  With ``processing_time`` (e.g. ``"1 minute"``) the
+    query keeps running, picking up new files each interval, and is returned
+    to the caller to stop.
+    """
     stream = spark.readStream.schema(raw_schema(table)).option("header", header).csv(source_dir)
 
     def _batch(df: DataFrame, _epoch: int) -> None:
         insert_ignore(df.sparkSession, df, target_path, ["id"])
 
-    query = (
-        stream.writeStream.foreachBatch(_batch)
-        .option("checkpointLocation", checkpoint_location)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint_location)
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query
