@@ -1,5 +1,6 @@
 """Command line: ``python -m tradestar <command> ...``.
 
+  extract      source database (JDBC) -> bronze files (Parquet or CSV with header)
   run          build, then show BI views (the whole pipeline in one job)
   build        bronze (CSV folder, Parquet folder, JDBC or test tables) -> warehouse
   views        print the result frames of BI views 1-6 from a warehouse
@@ -88,6 +89,14 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--view", type=int, choices=range(1, 7), action="append")
     r.add_argument("--rows", type=int, default=20)
 
+    e = sub.add_parser("extract")
+    e.add_argument("--jdbc-url", required=True)
+    e.add_argument("--jdbc-user")
+    e.add_argument("--jdbc-password")
+    e.add_argument("--jdbc-partitions", type=int)
+    e.add_argument("--bronze-out", required=True)
+    e.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+
     v = sub.add_parser("views")
     v.add_argument("--warehouse", required=True)
     v.add_argument("--view", type=int, choices=range(1, 7), action="append")
@@ -107,7 +116,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(args)
     from tradestar.plans.star import build_star, read_star, write_star
 
-    if args.cmd in ("build", "run"):
+    if args.cmd == "extract":
+        from tradestar.sources.bronze import write_bronze
+
+        args.bronze_csv = args.bronze_parquet = args.test_tables = None
+        write_bronze(_bronze(spark, args), args.bronze_out, fmt=args.format)
+    elif args.cmd in ("build", "run"):
         star = build_star(spark, _bronze(spark, args))
         write_star(star, args.warehouse, database=args.warehouse_database)
         if args.warehouse_jdbc_url:
