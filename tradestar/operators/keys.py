@@ -24,7 +24,8 @@ materialisation also serves the rejected rows (quarantine, audit).
 When the caller has *measured* the row count and it is at most
 ``SMALL_KEY_ROWS``, a plain ``row_number()`` over the ordered (single
 partition) window is cheaper: no sampling job, no write, and a sort of at
-most that many rows in one task.  The bound is checked, never assumed.
+most that many rows in one task; the one-partition result is persisted for
+its consumers.  The bound is checked, never assumed.
 """
 
 from __future__ import annotations
@@ -73,7 +74,10 @@ def dense_key(
     """
     if keep is None and rows is not None and rows <= small_rows:
         window = Window.orderBy(*_sort_cols(order))
-        return df.withColumn(key_name, F.row_number().over(window).cast("long"))
+        # one partition of at most small_rows rows, read by several consumers
+        # (lookups, role-playing twins, writes): kept in memory, and recomputed
+        # with the same keys if lost, since the order is total
+        return df.withColumn(key_name, F.row_number().over(window).cast("long")).persist()
     spark = df.sparkSession
     keep_expr = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with_keep = df.withColumn(_KEEP, keep_expr)

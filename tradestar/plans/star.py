@@ -5,7 +5,8 @@ cleaned FX table (a reliable checkpoint, read by the time dimension and by
 the fact join), any dimension above the small-key bound and the staged fact
 (Parquet tables written by the dense-key step; the fact one also feeds the
 audit and the quarantine).  Small dimensions are persisted after their size
-is measured.  Everything else is one lazy plan per table.
+is measured and their keys assigned.  Everything else is one lazy plan per
+table.
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def build_dimensions(
     small_rows: int = SMALL_KEY_ROWS,
 ) -> dict[str, DataFrame]:
     """The nine dimensions; ``rows`` are measured base counts (small path),
-    ``bases`` the (persisted) frames they were measured on."""
+    ``bases`` the frames they were measured on."""
     n = rows or {}
     bs = bases or {}
 
@@ -131,22 +132,19 @@ def build_star(
     """Bronze -> cleaned tables -> nine dimensions -> numbered fact.
 
     Jobs: FX checkpoint, one job counting the FX table and every dimension
-    base, then the fact numbering (range sample, checkpoint); large
+    base, then the fact numbering (range sample, Parquet table); large
     dimensions (above the measured small bound) add their own numbering.
     """
     ensure_checkpoint_dir(spark)
     transacoes = clean_transacoes(bronze.transacoes)
     fx = clean_cambios(bronze.cambios).checkpoint(eager=True)
-    # bases are persisted while measured: every consumer (keys, lookups,
-    # writes) then reads them instead of recomputing; a lost block is
-    # recomputed from lineage, so this is safe against executor loss
-    bases = {k: v.persist() for k, v in dimension_bases(spark, bronze, fx, transacoes).items()}
+    # bases stay lazy: measuring them in one job lets AQE coalesce their
+    # shuffles (a persisted plan would keep every shuffle partition)
+    bases = dimension_bases(spark, bronze, fx, transacoes)
     rows = count_rows({"fx": fx, **bases})
-    for k, v in bases.items():
-        if rows[k] > small_key_rows:  # large bases go through a written table instead
-            v.unpersist()
+    # measured-small dimensions are numbered in one partition and kept in
+    # memory by dense_key; larger ones go through a written table
     dims = build_dimensions(spark, bronze, fx, transacoes, rows, bases, small_key_rows)
-    dims = {k: (v.persist() if rows[_DIM_BASE[k]] <= small_key_rows else v) for k, v in dims.items()}
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
     joined = FT.fx_join(transacoes, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
     staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
