@@ -35,7 +35,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tradestar.session import scratch_path
+from tradestar.session import materialize
 
 _PID = "_ts_pid"
 _MID = "_ts_mid"
@@ -78,7 +78,6 @@ def dense_key(
         # (lookups, role-playing twins, writes): kept in memory, and recomputed
         # with the same keys if lost, since the order is total
         return df.withColumn(key_name, F.row_number().over(window).cast("long")).persist()
-    spark = df.sparkSession
     keep_expr = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with_keep = df.withColumn(_KEEP, keep_expr)
     # kept rows first in the global order, hence first in every partition
@@ -87,9 +86,7 @@ def dense_key(
     if observe is not None:
         ranged = ranged.observe(observe[0], *observe[1])
     located = ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
-    path = scratch_path(spark, f"dense_key_{key_name}")
-    located.write.parquet(path)
-    stored = spark.read.parquet(path)
+    stored = materialize(located, f"dense_key_{key_name}")
 
     counts = stored.filter(F.col(_KEEP)).groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

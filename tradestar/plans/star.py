@@ -1,9 +1,9 @@
 """Whole transform: bronze bundle -> star schema, plus writer and reader.
 
-Materialisation points (in the folder of ``spark.checkpoint.dir``): the
-cleaned FX table (a reliable checkpoint, read by the time dimension and by
-the fact join), any dimension above the small-key bound and the staged fact
-(Parquet tables written by the dense-key step; the fact one also feeds the
+Materialisation points (Parquet tables in the folder of
+``spark.checkpoint.dir``): the cleaned FX table (read by the time dimension
+and by the fact join), any dimension above the small-key bound and the
+staged fact (written by the dense-key step; the fact one also feeds the
 audit and the quarantine).  Small dimensions are persisted after their size
 is measured and their keys assigned.  Everything else is one lazy plan per
 table.
@@ -21,7 +21,7 @@ from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, SMALL_KEY_ROWS, bou
 from tradestar.plans import dimensions as D
 from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
-from tradestar.session import ensure_checkpoint_dir
+from tradestar.session import ensure_checkpoint_dir, materialize
 from tradestar.sources.bronze import Bronze
 from tradestar.sources.writers import parquet_writer, write_all
 
@@ -131,13 +131,13 @@ def build_star(
 ) -> Star:
     """Bronze -> cleaned tables -> nine dimensions -> numbered fact.
 
-    Jobs: FX checkpoint, one job counting the FX table and every dimension
+    Jobs: FX table, one job counting the FX table and every dimension
     base, then the fact numbering (range sample, Parquet table); large
     dimensions (above the measured small bound) add their own numbering.
     """
     ensure_checkpoint_dir(spark)
     transacoes = clean_transacoes(bronze.transacoes)
-    fx = clean_cambios(bronze.cambios).checkpoint(eager=True)
+    fx = materialize(clean_cambios(bronze.cambios), "fx_clean")
     # bases stay lazy: measuring them in one job lets AQE coalesce their
     # shuffles (a persisted plan would keep every shuffle partition)
     bases = dimension_bases(spark, bronze, fx, transacoes)

@@ -88,3 +88,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table next to the checkpoints and read it back.
+
+    A lineage cut like ``checkpoint()``, but the stored copy is columnar and
+    compressed, and later readers get column pruning and predicate pushdown.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -3,9 +3,9 @@
 ``insert_ignore`` is the batch operator: the incoming rows are deduplicated
 on the primary key (keep-first over a total order, a partial aggregate), rows
 whose key already exists in the target are removed with a left-anti join,
-the remainder is checkpointed (so the target is never read while it is
-being written, and a lost executor does not recompute against a target that
-already changed) and appended.  Running it twice with the same input appends
+the remainder is materialised as a table next to the checkpoints (so the
+target is never read while it is being written, and a lost executor does not
+recompute against a target that already changed) and appended.  Running it twice with the same input appends
 nothing the second time.
 
 ``stream_insert_ignore`` runs the same operator over a folder of arriving
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradestar.schemas import BRONZE_COLUMNS, raw_schema
-from tradestar.session import ensure_checkpoint_dir
+from tradestar.session import ensure_checkpoint_dir, materialize
 from tradestar.sources.bronze import read_csv_table
 
 
@@ -70,7 +70,7 @@ def insert_ignore(
     target = _read_target(spark, target_path, fmt)
     if target is not None:
         incoming = incoming.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
-    delta = new_rows(incoming, target, keys).checkpoint(eager=True)
+    delta = materialize(new_rows(incoming, target, keys), "insert_ignore_delta")
     delta.write.mode("append").format(fmt).save(target_path)
     return delta
 
