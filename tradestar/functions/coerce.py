@@ -49,6 +49,25 @@ def to_decimal(c: Column, dtype: T.DecimalType) -> Column:
     return F.trim(c.cast(T.StringType())).try_cast(dtype)
 
 
+# Fixed value: the plain numeric literal a dataframe CSV reader accepts
+# (sign, digits with an optional point, optional exponent).
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def is_positive_number(c: Column) -> Column:
+    """True when the text is a finite number greater than zero (never NULL).
+
+    The sign is read from the double value, so a value with more decimals
+    than its staging type (``0.00001``) or beyond any decimal type
+    (``1E100``, quarantined later as out of range) is still judged right;
+    the pattern rejects what only the JVM parser accepts (``1d``, ``0x1p3``).
+    """
+    text = F.trim(c.cast(T.StringType()))
+    d = text.try_cast(T.DoubleType())
+    ok = text.rlike(NUMBER_PATTERN) & (d > 0) & (d < F.lit(float("inf")))
+    return F.coalesce(ok, F.lit(False))
+
+
 def to_integer(c: Column, dtype: T.DataType = T.LongType()) -> Column:
     """Integer from text or number; ``"1.0"`` is 1, ``"1.5"`` and junk are NULL.
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradestar.functions.coerce import to_decimal, to_timestamp_ntz
+from tradestar.functions.coerce import is_positive_number, to_decimal, to_timestamp_ntz
 from tradestar.schemas import BRONZE_COLUMNS, QTY_STAGE, RATE_STAGE, VALUE_STAGE
 
 TRANSACTION_COLUMNS = BRONZE_COLUMNS["transacoes"]
@@ -31,10 +31,10 @@ def valid_transactions(t: DataFrame) -> DataFrame:
     present = F.lit(True)
     for c in TRANSACTION_COLUMNS:
         present = present & F.col(c).isNotNull()
-    value = to_decimal(F.col("valor_monetario"), VALUE_STAGE)
-    qty = to_decimal(F.col("quantidade"), QTY_STAGE)
-    # NULL from coercion compares unknown, so the row is dropped (no NaN here)
-    return t.select(*TRANSACTION_COLUMNS).filter(present & (value > 0) & (qty > 0))
+    # positivity is judged on the exact text (a wide scale), so a value with
+    # more decimals than its staging type is not rounded away before the test
+    positive = is_positive_number(F.col("valor_monetario")) & is_positive_number(F.col("quantidade"))
+    return t.select(*TRANSACTION_COLUMNS).filter(present & positive)
 
 
 def clean_transacoes(t: DataFrame) -> DataFrame:
@@ -60,14 +60,14 @@ def clean_transacoes(t: DataFrame) -> DataFrame:
 
 def valid_cambios(c: DataFrame) -> DataFrame:
     """FX rows with a parsable date and a positive rate (typed)."""
-    typed = c.select(
+    ok = to_timestamp_ntz(F.col("data")).isNotNull() & is_positive_number(F.col("taxa_cambio"))
+    return c.filter(ok).select(
         "id",
         to_timestamp_ntz(F.col("data")).alias("data"),
         "moeda_origem",
         "moeda_destino",
         to_decimal(F.col("taxa_cambio"), RATE_STAGE).alias("taxa_cambio"),
     )
-    return typed.filter(F.col("data").isNotNull() & F.col("taxa_cambio").isNotNull() & (F.col("taxa_cambio") > 0))
 
 
 def clean_cambios(c: DataFrame) -> DataFrame:
