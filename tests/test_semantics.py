@@ -86,6 +86,15 @@ def test_fx_keep_first_valid(spark):
     assert fx[11]["data"] == dt.datetime(2024, 2, 15, 10, 30)
 
 
+def test_fx_date_formats(spark):
+    rows = [("1", "02/01/2024", "1", "2", "0.5"), ("2", "2024-01-03", "1", "2", "0.5"), ("3", "2024/13/45", "1", "2", "1")]
+    c = make_bronze(spark, {"cambios": rows}).cambios
+    iso_only = {r["id"]: r["data"] for r in clean_cambios(c).collect()}
+    assert iso_only == {2: dt.datetime(2024, 1, 3)}
+    extra = {r["id"]: r["data"] for r in clean_cambios(c, ["dd/MM/yyyy"]).collect()}
+    assert extra == {1: dt.datetime(2024, 1, 2), 2: dt.datetime(2024, 1, 3)}
+
+
 def test_fact_rows_and_values(star):
     f = {r["id_transacao"]: r for r in star.fact.collect()}
     assert sorted(f) == [1, 2, 11]

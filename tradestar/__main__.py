@@ -65,6 +65,7 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--warehouse-jdbc-url", help="also load the ten tables into this database")
     p.add_argument("--warehouse-database", help="also register the tables in this catalog database")
     p.add_argument("--audit", action="store_true", help="print the discard counts")
+    p.add_argument("--date-format", action="append", help="extra FX date pattern, e.g. dd/MM/yyyy")
 
 
 def _show_views(wh, views, rows: int) -> None:
@@ -122,7 +123,7 @@ def main(argv: list[str] | None = None) -> int:
         args.bronze_csv = args.bronze_parquet = args.test_tables = None
         write_bronze(_bronze(spark, args), args.bronze_out, fmt=args.format)
     elif args.cmd in ("build", "run"):
-        star = build_star(spark, _bronze(spark, args))
+        star = build_star(spark, _bronze(spark, args), date_formats=args.date_format)
         write_star(star, args.warehouse, database=args.warehouse_database)
         if args.warehouse_jdbc_url:
             from tradestar.sources.jdbc import write_star_jdbc

@@ -78,9 +78,14 @@ def to_integer(c: Column, dtype: T.DataType = T.LongType()) -> Column:
     return F.when(d == F.floor(d), d.try_cast(dtype))
 
 
-def to_timestamp_ntz(c: Column) -> Column:
-    """Timestamp without zone from an ISO date or date-time, NULL otherwise."""
-    return F.trim(c.cast(T.StringType())).try_cast(T.TimestampNTZType())
+def to_timestamp_ntz(c: Column, formats: list[str] | None = None) -> Column:
+    """Timestamp without zone from an ISO date or date-time, else from the
+    first of ``formats`` (Spark datetime patterns, e.g. ``"dd/MM/yyyy"``)
+    that parses it, NULL otherwise.  Decided per value, never per file."""
+    text = F.trim(c.cast(T.StringType()))
+    parsed = [text.try_cast(T.TimestampNTZType())]
+    parsed += [F.try_to_timestamp(text, F.lit(f)).try_cast(T.TimestampNTZType()) for f in formats or []]
+    return F.coalesce(*parsed) if len(parsed) > 1 else parsed[0]
 
 
 def round_to_int(c: Column) -> Column:

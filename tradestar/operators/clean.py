@@ -58,23 +58,28 @@ def clean_transacoes(t: DataFrame) -> DataFrame:
     )
 
 
-def valid_cambios(c: DataFrame) -> DataFrame:
-    """FX rows with a parsable date and a positive rate (typed)."""
-    ok = to_timestamp_ntz(F.col("data")).isNotNull() & is_positive_number(F.col("taxa_cambio"))
+def valid_cambios(c: DataFrame, date_formats: list[str] | None = None) -> DataFrame:
+    """FX rows with a parsable date and a positive rate (typed).
+
+    Dates are ISO dates or date-times; ``date_formats`` adds patterns tried
+    in order for other spellings (e.g. ``["dd/MM/yyyy"]``).
+    """
+    date = to_timestamp_ntz(F.col("data"), date_formats)
+    ok = date.isNotNull() & is_positive_number(F.col("taxa_cambio"))
     return c.filter(ok).select(
         "id",
-        to_timestamp_ntz(F.col("data")).alias("data"),
+        date.alias("data"),
         "moeda_origem",
         "moeda_destino",
         to_decimal(F.col("taxa_cambio"), RATE_STAGE).alias("taxa_cambio"),
     )
 
 
-def clean_cambios(c: DataFrame) -> DataFrame:
+def clean_cambios(c: DataFrame, date_formats: list[str] | None = None) -> DataFrame:
     """One valid FX row per id: the first by (date, rate, currencies).
 
     The source order of the rows is not defined, so "first" is the minimum
     of that tuple; the min is a partial aggregate (combined map-side).
     """
-    first = valid_cambios(c).groupBy("id").agg(F.min(F.struct(*FX_ORDER)).alias("_first"))
+    first = valid_cambios(c, date_formats).groupBy("id").agg(F.min(F.struct(*FX_ORDER)).alias("_first"))
     return first.select("id", "_first.data", "_first.moeda_origem", "_first.moeda_destino", "_first.taxa_cambio")

@@ -128,6 +128,7 @@ def build_star(
     bronze: Bronze,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     small_key_rows: int = SMALL_KEY_ROWS,
+    date_formats: list[str] | None = None,
 ) -> Star:
     """Bronze -> cleaned tables -> nine dimensions -> numbered fact.
 
@@ -137,7 +138,7 @@ def build_star(
     """
     ensure_checkpoint_dir(spark)
     transacoes = clean_transacoes(bronze.transacoes)
-    fx = materialize(clean_cambios(bronze.cambios), "fx_clean")
+    fx = materialize(clean_cambios(bronze.cambios, date_formats), "fx_clean")
     # bases stay lazy: measuring them in one job lets AQE coalesce their
     # shuffles (a persisted plan would keep every shuffle partition)
     bases = dimension_bases(spark, bronze, fx, transacoes)
