@@ -2,8 +2,8 @@
 
 ``warehouse_for`` builds the star once per (application, input folder) and
 keeps it for the session: the written warehouse (Parquet, under the
-checkpoint folder) serves the marts and checks, the in-memory star (over
-its checkpoints) serves the staging views (FX join, keys, audit).
+checkpoint folder) serves the marts and checks, the built star (over its
+materialised tables) serves the staging views (FX join, keys, audit).
 """
 
 from __future__ import annotations
