@@ -3,8 +3,8 @@
 The library never changes settings of a session it is handed, with one
 exception: a checkpoint directory is required for the materialisation points
 (cleaned FX table, dense keys, staged fact, insert-ignore delta).  The
-cluster names it in ``spark.checkpoint.dir``;
-only a local session without one gets a private temporary directory.
+cluster names it in ``spark.checkpoint.dir``; only a local session without
+one gets a private temporary directory.
 """
 
 from __future__ import annotations
