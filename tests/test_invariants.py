@@ -125,3 +125,27 @@ def test_views_cover_six_bi_views(built):
     names = {n: sorted(M.view(built.warehouse, n)) for n in range(1, 7)}
     assert names[1] == ["anual", "mensal", "trimestral"]
     assert names[6] == ["cartoes", "kpis", "serie", "top5", "variacao"]
+
+
+def test_mart_strategies_agree(built):
+    """Broadcast-then-aggregate (measured small dimensions) and
+    aggregate-by-key-first (unmeasured or large) give the same marts."""
+    import dataclasses
+
+    wh = built.warehouse
+    assert wh.rows and all(n > 0 for n in wh.rows.values())
+    unmeasured = dataclasses.replace(wh, rows=None)
+    for fn in (
+        M.monthly,
+        M.quarterly,
+        M.annual,
+        M.top_origin_countries,
+        M.blocs,
+        M.top_products,
+        M.categories,
+        M.top_currencies,
+        M.monthly_rate,
+        M.period_labels,
+        M.executive_cards,
+    ):
+        assert sorted(fn(wh).collect()) == sorted(fn(unmeasured).collect()), fn.__name__

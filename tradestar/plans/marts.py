@@ -1,11 +1,11 @@
 """Analytical marts over the star (six BI views, thirteen queries).
 
-Plan shape of every mart: aggregate the fact by the surrogate key(s) it
-needs (partial aggregation map-side, so the shuffle carries at most one row
-per key per task), join the small aggregate to the dimension, aggregate
-again by the dimension attribute.  The fact is never shuffled whole and the
-dimension size does not matter (a large product dimension meets only the
-per-product aggregate).  Top-N uses ``orderBy().limit()``
+Plan shape of every mart (``_measures``): when the dimension's measured row
+count is within the broadcast bound, it is broadcast and the fact is
+aggregated directly by the dimension attribute (few groups, so the partial
+aggregate shuffles little); otherwise the fact is first aggregated by the
+surrogate key and only that aggregate meets the dimension.  Either way the
+fact itself is never shuffled to a join.  Top-N uses ``orderBy().limit()``
 (``TakeOrderedAndProject``); shares are computed over the returned N rows.
 
 Money sums are exact decimals (``decimal(38,2)``); averages and shares are
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradestar.functions import formatting as fmt
+from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS
 from tradestar.plans.star import Star
 
 SUM_TYPE = "decimal(38,2)"
@@ -35,6 +36,40 @@ def _by_key(fact: DataFrame, keys: list[str], with_qty: bool = False, with_rate:
     return fact.groupBy(*keys).agg(*aggs)
 
 
+def _small(star: Star, dim: str) -> bool:
+    """The dimension's measured row count is known and within the broadcast bound."""
+    return star.rows is not None and star.rows.get(dim, DEFAULT_BROADCAST_ROWS + 1) <= DEFAULT_BROADCAST_ROWS
+
+
+def _measures(
+    star: Star, dim: str, sk: str, attrs: list, with_qty: bool = False, with_rate: bool = False
+) -> DataFrame:
+    """Fact measures summed per dimension attribute(s): ``_v`` value, ``_n``
+    rows, ``_q`` quantity, ``_r`` rate.
+
+    A dimension of measured small size is broadcast and the fact aggregated
+    directly by the attribute (map-side partial aggregate over few groups).
+    Otherwise (large or unmeasured) the fact is first aggregated by the
+    surrogate key, and only that aggregate meets the dimension, so the fact
+    itself is never shuffled to a join.
+    """
+    d = getattr(star, dim).select(sk, *attrs)
+    names = [c for c in d.columns if c != sk]
+    if _small(star, dim):
+        aggs = [F.sum("valor_convertido_transacao").alias("_v"), F.count(F.lit(1)).alias("_n")]
+        if with_qty:
+            aggs.append(F.sum("quantidade_transacionada").alias("_q"))
+        if with_rate:
+            aggs.append(F.sum("taxa_cambio_transacao").alias("_r"))
+        return star.fact.join(F.broadcast(d), sk).groupBy(*names).agg(*aggs)
+    aggs = [F.sum("_v").alias("_v"), F.sum("_n").alias("_n")]
+    if with_qty:
+        aggs.append(F.sum("_q").alias("_q"))
+    if with_rate:
+        aggs.append(F.sum("_r").alias("_r"))
+    return _by_key(star.fact, [sk], with_qty, with_rate).join(d, sk).groupBy(*names).agg(*aggs)
+
+
 def _money(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return col.cast(SUM_TYPE)
@@ -54,43 +89,24 @@ def _share(value: str) -> Column:
 
 def monthly(star: Star) -> DataFrame:
     """ano, mes, valor_total (also the executive monthly series)."""
-    agg = _by_key(star.fact, ["sk_tempo"])
-    t = star.dim_tempo.select("sk_tempo", "ano", "mes")
-    return (
-        agg.join(t, "sk_tempo")
-        .groupBy("ano", "mes")
-        .agg(_money(F.sum("_v")).alias("valor_total"))
-        .orderBy("ano", "mes")
-    )
+    m = _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes"])
+    return m.select("ano", "mes", _money("_v").alias("valor_total")).orderBy("ano", "mes")
 
 
 def quarterly(star: Star) -> DataFrame:
-    agg = _by_key(star.fact, ["sk_tempo"])
-    t = star.dim_tempo.select("sk_tempo", "ano", "trimestre")
-    return (
-        agg.join(t, "sk_tempo")
-        .groupBy("ano", "trimestre")
-        .agg(_money(F.sum("_v")).alias("valor_total"))
-        .orderBy("ano", "trimestre")
-    )
+    m = _measures(star, "dim_tempo", "sk_tempo", ["ano", "trimestre"])
+    return m.select("ano", "trimestre", _money("_v").alias("valor_total")).orderBy("ano", "trimestre")
 
 
 def annual(star: Star) -> DataFrame:
-    agg = _by_key(star.fact, ["sk_tempo"])
-    t = star.dim_tempo.select("sk_tempo", "ano")
-    return agg.join(t, "sk_tempo").groupBy("ano").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano")
+    m = _measures(star, "dim_tempo", "sk_tempo", ["ano"])
+    return m.select("ano", _money("_v").alias("valor_total")).orderBy("ano")
 
 
 def temporal_view(star: Star) -> dict[str, DataFrame]:
     """The three series of view 1 from one fact scan: quarter and year are
     re-aggregations of the (cached, tiny) per-day aggregate."""
-    per_day = (
-        _by_key(star.fact, ["sk_tempo"])
-        .join(star.dim_tempo.select("sk_tempo", "ano", "trimestre", "mes"), "sk_tempo")
-        .groupBy("ano", "trimestre", "mes")
-        .agg(F.sum("_v").alias("_v"))
-        .persist()
-    )
+    per_day = _measures(star, "dim_tempo", "sk_tempo", ["ano", "trimestre", "mes"]).persist()
     return {
         "mensal": per_day.groupBy("ano", "mes").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano", "mes"),
         "trimestral": per_day.groupBy("ano", "trimestre")
@@ -105,8 +121,8 @@ def temporal_view(star: Star) -> dict[str, DataFrame]:
 
 def _top_countries(star: Star, role: str, n: int) -> DataFrame:
     sk = f"sk_pais_{role}"
-    dim = getattr(star, f"dim_pais_{role}").select(sk, F.col(f"nome_pais_{role}").alias("pais"))
-    totals = _by_key(star.fact, [sk]).join(dim, sk).groupBy("pais").agg(_money(F.sum("_v")).alias("valor_total"))
+    m = _measures(star, f"dim_pais_{role}", sk, [F.col(f"nome_pais_{role}").alias("pais")])
+    totals = m.select("pais", _money("_v").alias("valor_total"))
     top = totals.orderBy(F.desc("valor_total"), F.asc("pais")).limit(n)
     return top.select("pais", "valor_total", _share("valor_total").alias("participacao_pct"))
 
@@ -126,13 +142,18 @@ def blocs(star: Star) -> DataFrame:
     """Value by bloc, each transaction counted for its origin bloc and its
     destination bloc (twice inside one bloc); countries without a bloc out.
 
-    One fact scan: aggregate by the (origin, destination) pair, attach both
-    blocs, then unpivot the two roles of the small aggregate.
+    One fact scan: both blocs are attached (broadcast when the country
+    dimensions are measured small, else after aggregating the fact by the
+    (origin, destination) pair), then the two roles are unpivoted.
     """
-    pairs = _by_key(star.fact, ["sk_pais_origem", "sk_pais_destino"])
     o = star.dim_pais_origem.select("sk_pais_origem", F.col("bloco_economico_pais_origem").alias("_bo"))
     d = star.dim_pais_destino.select("sk_pais_destino", F.col("bloco_economico_pais_destino").alias("_bd"))
-    roles = pairs.join(o, "sk_pais_origem").join(d, "sk_pais_destino")
+    if _small(star, "dim_pais_origem") and _small(star, "dim_pais_destino"):
+        f = star.fact.select("sk_pais_origem", "sk_pais_destino", F.col("valor_convertido_transacao").alias("_v"))
+        roles = f.join(F.broadcast(o), "sk_pais_origem").join(F.broadcast(d), "sk_pais_destino")
+    else:
+        pairs = _by_key(star.fact, ["sk_pais_origem", "sk_pais_destino"])
+        roles = pairs.join(o, "sk_pais_origem").join(d, "sk_pais_destino")
     both = roles.select(F.explode(F.array(F.struct(F.col("_bo").alias("bloco"), "_v"), F.struct(F.col("_bd").alias("bloco"), "_v"))).alias("r")).select("r.*")
     return (
         both.filter(F.col("bloco").isNotNull() & (F.col("bloco") != ""))
@@ -166,25 +187,17 @@ def blocs_union(star: Star) -> DataFrame:
 
 def top_products(star: Star, n: int = 10) -> DataFrame:
     """Top products by value (grouped by description); share of value among the N."""
-    dim = star.dim_produto.select("sk_produto", "descricao_produto")
-    totals = (
-        _by_key(star.fact, ["sk_produto"], with_qty=True)
-        .join(dim, "sk_produto")
-        .groupBy("descricao_produto")
-        .agg(F.sum("_q").cast("bigint").alias("quantidade_total"), _money(F.sum("_v")).alias("valor_total"))
-    )
+    m = _measures(star, "dim_produto", "sk_produto", ["descricao_produto"], with_qty=True)
+    totals = m.select("descricao_produto", F.col("_q").cast("bigint").alias("quantidade_total"), _money("_v").alias("valor_total"))
     top = totals.orderBy(F.desc("valor_total"), F.asc("descricao_produto")).limit(n)
     return top.select("descricao_produto", "quantidade_total", "valor_total", _share("valor_total").alias("participacao_pct"))
 
 
 def categories(star: Star) -> DataFrame:
     """All categories by value; share of *quantity* over all categories."""
-    dim = star.dim_categoria_produto.select("sk_categoria_produto", "descricao_categoria_produto")
-    totals = (
-        _by_key(star.fact, ["sk_categoria_produto"], with_qty=True)
-        .join(dim, "sk_categoria_produto")
-        .groupBy("descricao_categoria_produto")
-        .agg(F.sum("_q").cast("bigint").alias("quantidade_total"), _money(F.sum("_v")).alias("valor_total"))
+    m = _measures(star, "dim_categoria_produto", "sk_categoria_produto", ["descricao_categoria_produto"], with_qty=True)
+    totals = m.select(
+        "descricao_categoria_produto", F.col("_q").cast("bigint").alias("quantidade_total"), _money("_v").alias("valor_total")
     )
     return totals.select(
         "descricao_categoria_produto", "quantidade_total", "valor_total", _share("quantidade_total").alias("participacao_pct")
@@ -196,27 +209,17 @@ def categories(star: Star) -> DataFrame:
 
 def top_currencies(star: Star, n: int = 10) -> DataFrame:
     """Top origin currencies by value with the mean rate of their rows."""
-    dim = star.dim_moeda_origem.select("sk_moeda_origem", F.col("descricao_moeda_origem").alias("moeda"))
-    totals = (
-        _by_key(star.fact, ["sk_moeda_origem"], with_rate=True)
-        .join(dim, "sk_moeda_origem")
-        .groupBy("moeda")
-        .agg(F.sum("_r").alias("_r"), F.sum("_n").alias("_n"), _money(F.sum("_v")).alias("valor_total"))
-    )
+    m = _measures(star, "dim_moeda_origem", "sk_moeda_origem", [F.col("descricao_moeda_origem").alias("moeda")], with_rate=True)
+    totals = m.select("moeda", "_r", "_n", _money("_v").alias("valor_total"))
     top = totals.orderBy(F.desc("valor_total"), F.asc("moeda")).limit(n)
     return top.select("moeda", _mean("_r", "_n").alias("taxa_media"), "valor_total")
 
 
 def monthly_rate(star: Star) -> DataFrame:
     """ano, mes, mean rate, value."""
-    t = star.dim_tempo.select("sk_tempo", "ano", "mes")
-    return (
-        _by_key(star.fact, ["sk_tempo"], with_rate=True)
-        .join(t, "sk_tempo")
-        .groupBy("ano", "mes")
-        .agg(F.sum("_r").alias("_r"), F.sum("_n").alias("_n"), _money(F.sum("_v")).alias("valor_total"))
-        .select("ano", "mes", _mean("_r", "_n").alias("taxa_media"), "valor_total")
-        .orderBy("ano", "mes")
+    m = _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes"], with_rate=True)
+    return m.select("ano", "mes", _mean("_r", "_n").alias("taxa_media"), _money("_v").alias("valor_total")).orderBy(
+        "ano", "mes"
     )
 
 
@@ -279,12 +282,8 @@ def month_over_month(star: Star) -> DataFrame:
 
 def period_labels(star: Star) -> DataFrame:
     """Monthly series with its labels: ``YYYY-MM``, ``YYYY-Tq``, year text, date."""
-    t = star.dim_tempo.select("sk_tempo", "ano", "mes", "trimestre")
-    m = (
-        _by_key(star.fact, ["sk_tempo"])
-        .join(t, "sk_tempo")
-        .groupBy("ano", "mes", "trimestre")
-        .agg(_money(F.sum("_v")).alias("valor_total"))
+    m = _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes", "trimestre"]).select(
+        "ano", "mes", "trimestre", _money("_v").alias("valor_total")
     )
     return m.select(
         "ano",
@@ -304,13 +303,8 @@ def executive_cards(star: Star) -> DataFrame:
     months, the last month and its predecessor come from a lag over months.
     The mean ticket is rounded half-up to cents in integer arithmetic.
     """
-    t = star.dim_tempo.select("sk_tempo", "ano", "mes")
-    months = (
-        _by_key(star.fact, ["sk_tempo"], with_qty=True)
-        .join(t, "sk_tempo")
-        .groupBy("ano", "mes")
-        .agg(F.sum("_v").alias("_v"), F.sum("_q").alias("_q"), F.sum("_n").alias("_n"))
-        .withColumn("_prev", F.lag("_v").over(Window.orderBy("ano", "mes")))
+    months = _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes"], with_qty=True).withColumn(
+        "_prev", F.lag("_v").over(Window.orderBy("ano", "mes"))
     )
     row = months.agg(
         _money(F.sum("_v")).alias("_vt"),

@@ -42,6 +42,7 @@ class Star:
     quarantine: DataFrame | None = None
     staged: DataFrame | None = None
     audit_metrics: dict | None = None
+    rows: dict[str, int] | None = None  # measured row counts of the dimensions
 
     def tables(self) -> dict[str, DataFrame]:
         """The ten warehouse tables (stored columns, fixed order and types)."""
@@ -158,6 +159,7 @@ def build_star(
         quarantine=FT.quarantine(numbered),
         staged=numbered,
         audit_metrics=observation.get,
+        rows={name: rows[base] for name, base in _DIM_BASE.items()},
     )
 
 
@@ -183,9 +185,13 @@ def write_star(star: Star, out_dir: str, mode: str = "overwrite", database: str
 
 def read_star(spark: SparkSession, wh_dir: str | None = None, database: str | None = None) -> Star:
     """The stored warehouse as a :class:`Star` (column-pruned Parquet scans),
-    from its folder or from the catalog tables of ``database``."""
+    from its folder or from the catalog tables of ``database``, with the
+    measured row count of every dimension."""
     if database:
         tables = {name: spark.table(f"{database}.{name}") for name in DIMENSIONS + [FACT]}
     else:
         tables = {name: spark.read.parquet(f"{wh_dir.rstrip('/')}/{name}") for name in DIMENSIONS + [FACT]}
-    return Star(**tables)
+    # dimension sizes for the marts' join strategy: one job, answered from
+    # Parquet metadata
+    rows = count_rows({name: tables[name] for name in DIMENSIONS})
+    return Star(**tables, rows=rows)
