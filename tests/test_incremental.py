@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from tradestar.streaming.incremental import insert_ignore, load_incremental, stream_insert_ignore
 from tests.test_sources import BRONZE_CSV, write_csv_dir
 
@@ -69,3 +71,16 @@ def test_stream_processing_time_trigger(spark, tmp_dir):
     finally:
         query.stop()
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == ["7", "8"]
+
+
+def test_small_batch_never_shuffles_the_target(spark, tmp_dir):
+    from tradestar.streaming.incremental import new_rows
+
+    target = spark.range(0, 5000).withColumnRenamed("id", "k").withColumn("v", F.lit("old"))
+    batch = spark.createDataFrame([(4999, "x"), (5000, "y")], "k long, v string")
+    small = new_rows(batch, target, ["k"], incoming_rows=2)
+    assert sorted(small.collect()) == [(5000, "y")]
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in plan
+    large = new_rows(batch, target, ["k"], incoming_rows=None)
+    assert sorted(large.collect()) == [(5000, "y")]

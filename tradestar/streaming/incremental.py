@@ -1,10 +1,12 @@
 """Incremental load into existing tables: insert only new keys.
 
 ``insert_ignore`` is the batch operator: the incoming rows are deduplicated
-on the primary key (keep-first over a total order, a partial aggregate), rows
-whose key already exists in the target are removed with a left-anti join,
-the remainder is materialised as a table next to the checkpoints (so the
-target is never read while it is being written, and a lost executor does not
+on the primary key (keep-first over a total order, a partial aggregate) and
+stored; rows whose key already exists in the target are removed (a batch of
+measured small size is broadcast against the target's key column, so the
+target is never shuffled; a large batch uses a plain anti join); the
+remainder is materialised as a table next to the checkpoints (so the target
+is never read while it is being written, and a lost executor does not
 recompute against a target that already changed) and appended.  Running it twice with the same input appends
 nothing the second time.
 
@@ -24,6 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS
 from tradestar.schemas import BRONZE_COLUMNS, raw_schema
 from tradestar.session import ensure_checkpoint_dir, materialize
 from tradestar.sources.bronze import read_csv_table
@@ -47,12 +50,24 @@ def dedup_on_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def new_rows(incoming: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Incoming rows (one per key) whose key is not in the target."""
-    deduped = dedup_on_keys(incoming, keys)
+def new_rows(
+    incoming: DataFrame, target: DataFrame | None, keys: list[str], incoming_rows: int | None = None
+) -> DataFrame:
+    """Incoming rows whose key is not in the target; ``incoming`` has one row
+    per key already (see :func:`dedup_on_keys`).
+
+    With a measured incoming size within the broadcast bound, the target's
+    key columns are streamed past a broadcast of the incoming keys (left
+    semi join: the target is scanned, column-pruned, never shuffled) to find
+    the keys that already exist, and only those small sets meet in the anti
+    join.  Otherwise a plain anti join against the target's keys.
+    """
     if target is None:
-        return deduped
-    return deduped.join(target.select(*keys).distinct(), keys, "left_anti")
+        return incoming
+    if incoming_rows is not None and incoming_rows <= DEFAULT_BROADCAST_ROWS:
+        existing = target.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        return incoming.join(F.broadcast(existing), keys, "left_anti")
+    return incoming.join(target.select(*keys), keys, "left_anti")
 
 
 def insert_ignore(
@@ -70,7 +85,10 @@ def insert_ignore(
     target = _read_target(spark, target_path, fmt)
     if target is not None:
         incoming = incoming.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
-    delta = materialize(new_rows(incoming, target, keys), "insert_ignore_delta")
+    # one row per key, stored: its size is then known (Parquet metadata) and
+    # it is read twice below without recomputing the batch
+    deduped = materialize(dedup_on_keys(incoming, keys), "insert_ignore_batch")
+    delta = materialize(new_rows(deduped, target, keys, deduped.count()), "insert_ignore_delta")
     delta.write.mode("append").format(fmt).save(target_path)
     return delta
 
