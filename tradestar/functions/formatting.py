@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Presentation formats of the BI views.
+PERIOD_FORMAT = "%04d-%02d"  # year-month label
+QUARTER_INFIX = "-T"  # year-quarter label: 2024-T1
+CURRENCY_PREFIX = "R$ "
+THOUSANDS_SEPARATOR = "."
+DECIMAL_SEPARATOR = ","
+PERCENT_FORMAT = "%.1f%%"
+
 
 def period_label(year: Column, month: Column) -> Column:
     """``YYYY-MM``."""
-    return F.format_string("%04d-%02d", year, month)
+    return F.format_string(PERIOD_FORMAT, year, month)
 
 
 def quarter_label(year: Column, quarter: Column) -> Column:
     """``YYYY-Tq``."""
-    return F.concat(year.cast("string"), F.lit("-T"), quarter.cast("string"))
+    return F.concat(year.cast("string"), F.lit(QUARTER_INFIX), quarter.cast("string"))
 
 
 def first_of_month(year: Column, month: Column) -> Column:
@@ -22,19 +30,21 @@ def first_of_month(year: Column, month: Column) -> Column:
 
 def thousands(x: Column) -> Column:
     """Integer text with ``.`` as thousands separator: ``1.234.567``."""
-    return F.translate(F.format_number(x, 0), ",", ".")
+    return F.translate(F.format_number(x, 0), ",", THOUSANDS_SEPARATOR)
 
 
 def money_text(x: Column) -> Column:
     """``R$ 1.234.567,89`` (dot thousands, comma decimals)."""
-    return F.concat(F.lit("R$ "), F.translate(F.format_number(x, 2), ",.", ".,"))
+    # format_number writes 1,234.56; swap both separators in one pass
+    swapped = F.translate(F.format_number(x, 2), ",.", THOUSANDS_SEPARATOR + DECIMAL_SEPARATOR)
+    return F.concat(F.lit(CURRENCY_PREFIX), swapped)
 
 
 def rank_label(value: Column, pct: Column) -> Column:
     """``1.234 (20.6%)``."""
-    return F.concat(thousands(value), F.format_string(" (%.1f%%)", pct))
+    return F.concat(thousands(value), F.lit(" ("), F.format_string(PERCENT_FORMAT, pct), F.lit(")"))
 
 
 def signed_pct(pct: Column) -> Column:
     """``+12.3%`` / ``-4.0%``."""
-    return F.concat(F.when(pct >= 0, F.lit("+")).otherwise(F.lit("")), F.format_string("%.1f%%", pct))
+    return F.concat(F.when(pct >= 0, F.lit("+")).otherwise(F.lit("")), F.format_string(PERCENT_FORMAT, pct))
