@@ -66,6 +66,8 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--warehouse-database", help="also register the tables in this catalog database")
     p.add_argument("--audit", action="store_true", help="print the discard counts")
     p.add_argument("--date-format", action="append", help="extra FX date pattern, e.g. dd/MM/yyyy")
+    p.add_argument("--max-broadcast-rows", type=int, help="largest measured dimension / FX table broadcast")
+    p.add_argument("--small-key-rows", type=int, help="largest measured dimension numbered in one task")
 
 
 def _show_views(wh, views, rows: int) -> None:
@@ -123,7 +125,8 @@ def main(argv: list[str] | None = None) -> int:
         args.bronze_csv = args.bronze_parquet = args.test_tables = None
         write_bronze(_bronze(spark, args), args.bronze_out, fmt=args.format)
     elif args.cmd in ("build", "run"):
-        star = build_star(spark, _bronze(spark, args), date_formats=args.date_format)
+        sizes = {k: v for k, v in (("max_broadcast_rows", args.max_broadcast_rows), ("small_key_rows", args.small_key_rows)) if v is not None}
+        star = build_star(spark, _bronze(spark, args), date_formats=args.date_format, **sizes)
         write_star(star, args.warehouse, database=args.warehouse_database)
         if args.warehouse_jdbc_url:
             from tradestar.sources.jdbc import write_star_jdbc
