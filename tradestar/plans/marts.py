@@ -107,13 +107,13 @@ def temporal_view(star: Star) -> dict[str, DataFrame]:
     """The three series of view 1 from one fact scan: quarter and year are
     re-aggregations of the (cached, tiny) per-month aggregate."""
     # one row per month: bounded, kept as one cached partition for its three readers
-    per_day = _measures(star, "dim_tempo", "sk_tempo", ["ano", "trimestre", "mes"]).coalesce(1).persist()
+    per_month = _measures(star, "dim_tempo", "sk_tempo", ["ano", "trimestre", "mes"]).coalesce(1).persist()
     return {
-        "mensal": per_day.groupBy("ano", "mes").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano", "mes"),
-        "trimestral": per_day.groupBy("ano", "trimestre")
+        "mensal": per_month.groupBy("ano", "mes").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano", "mes"),
+        "trimestral": per_month.groupBy("ano", "trimestre")
         .agg(_money(F.sum("_v")).alias("valor_total"))
         .orderBy("ano", "trimestre"),
-        "anual": per_day.groupBy("ano").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano"),
+        "anual": per_month.groupBy("ano").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano"),
     }
 
 
