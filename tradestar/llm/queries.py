@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradestar.llm import decontam, mixing, simhash, token_store, weak_quality
+from tradestar.llm import decontam, langid, licenses, mixing, simhash, token_store, toxicity, url_filter, warc, weak_quality
 from tradestar.llm.common import read_table
 from tradestar.session import scratch_path
 
@@ -19,6 +19,27 @@ def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.annotate(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"), ["doc_id"])
 
 
+def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
+    made = warc.derive(warc.responses(read_table(spark, sf, "pages")), ["page_id"])
+    return made.drop("record")
+
+
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf, "pages"), read_table(spark, sf, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.judge(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
+def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf, "pages").select("page_id", "url"))
+
+
+def op6_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf, "documents"), ["doc_id"]).drop("detections")
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.replicate(read_table(spark, sf, "documents"))
 
@@ -44,6 +65,11 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc": op2_warc,
+    "op3_language": op3_language,
+    "op4_toxicity": op4_toxicity,
+    "op5_url_filter": op5_url_filter,
+    "op6_licenses": op6_licenses,
     "op7_mixing": op7_mixing,
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
@@ -55,9 +81,9 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translat
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 bw AS (SELECT item_id, least(13, len(w)) AS k, unnest(list_transform(range(0, len(w) - least(13, len(w)) + 1), lambda i: array_to_string(w[i + 1 : i + least(13, len(w))], ' '))) AS win FROM b WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT k FROM bw),
-dw AS (SELECT r, k, unnest(range(0, len(w) - k + 1)) AS at, unnest(list_transform(range(0, len(w) - k + 1), lambda i: array_to_string(w[i + 1 : i + k], ' '))) AS win FROM d, sizes WHERE len(w) >= k),
-hits AS (SELECT r, at, dw.k, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
-covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(at, at + k)) AS p FROM hits) GROUP BY r),
+dw AS (SELECT r, k, unnest(range(0, len(w) - k + 1)) AS pos, unnest(list_transform(range(0, len(w) - k + 1), lambda i: array_to_string(w[i + 1 : i + k], ' '))) AS win FROM d, sizes WHERE len(w) >= k),
+hits AS (SELECT r, pos, dw.k, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(pos, pos + k)) AS p FROM hits) GROUP BY r),
 found AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM hits GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
