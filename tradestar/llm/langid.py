@@ -97,7 +97,7 @@ def read_pages(pages: DataFrame, table, n_langs: int, id_col: str, url_col: str,
 
 def _softmax(logs: Column) -> Column:
     """Of an array whose largest entry is near zero."""
-    raised = F.transform(logs, F.exp)
+    raised = F.transform(logs, lambda x: F.exp(x))
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
 
 
@@ -112,25 +112,27 @@ def fuse(read: DataFrame, langs: list[str], id_col: str = "page_id", smoothing:
     n, k = len(langs), smoothing
     read = read.withColumn("p", _softmax(F.col("text")))
     domain, suffix = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), F.regexp_extract("host", r"([^.]+)$", 1)
-    every = _sums(read, n).select(F.transform("c", lambda x: (x + 1.0 / n) / (F.col("t") + 1)).alias("whole"), F.col("c").alias("all_c"))
+    total = _sums(read, n).first()  # one row
+    shares = [((c or 0.0) + 1.0 / n) / ((total["t"] or 0.0) + 1) for c in total["c"]]
+    whole = F.array(*[F.lit(x) for x in shares])
 
     def evidence(df: DataFrame, key: str, out: str) -> DataFrame:
         """log P(key | language), up to a constant: smoothed share of the key's pages over the language's share of all."""
-        value = F.transform("c", lambda c, i: F.log((c + k * F.get("whole", i)) / (F.col("t") + k) / F.get("whole", i)))
-        return df.crossJoin(F.broadcast(every)).select(key, value.alias(out))
+        value = F.transform("c", lambda c, i: F.log((c + k * F.get(whole, i)) / (F.col("t") + k) / F.get(whole, i)))
+        return df.select(key, value.alias(out))
 
     hosts = materialize(_sums(read.filter("host is not null"), n, "host").withColumns({"domain": domain, "suffix": suffix}), "langid_hosts")
-    by_domain = _sums(hosts.withColumnRenamed("c", "p"), n, "domain").crossJoin(F.broadcast(every)).select("domain", F.transform("c", lambda c, i: (c + k * F.get("whole", i)) / (F.col("t") + k)).alias("parent"))
+    by_domain = _sums(hosts.withColumnRenamed("c", "p"), n, "domain").select("domain", F.transform("c", lambda c, i: (c + k * F.get(whole, i)) / (F.col("t") + k)).alias("parent"))
     by_suffix = evidence(_sums(hosts.withColumnRenamed("c", "p"), n, "suffix"), "suffix", "suffix_log")
     known = materialize(hosts.join(by_domain, "domain").join(by_suffix, "suffix").select(F.col("host").alias("_host"), "suffix", "c", "t", "parent", "suffix_log"), "langid_host_priors")
     told = materialize(evidence(_sums(read.filter("declared is not null"), n, "declared"), "declared", "declared_log").withColumnRenamed("declared", "_declared"), "langid_declared")
-    joined = read.join(known, F.col("host") == F.col("_host"), "left").join(told, F.col("declared") == F.col("_declared"), "left").crossJoin(F.broadcast(every.select("whole")))
+    joined = read.join(known, F.col("host") == F.col("_host"), "left").join(told, F.col("declared") == F.col("_declared"), "left")
     prior = F.transform("c", lambda c, i: F.log((F.greatest(c - F.get("p", i), F.lit(0.0)) + k * F.get("parent", i)) / (F.greatest(F.col("t") - 1, F.lit(0.0)) + k)))
-    prior = F.coalesce(prior, F.transform("whole", F.log))
-    total = F.transform("text", lambda x, i: x + F.get("_prior", i) + F.coalesce(F.get("suffix_log", i), F.lit(0.0)) + F.coalesce(F.get("declared_log", i), F.lit(0.0)))
+    prior = F.coalesce(prior, F.transform(whole, lambda x: F.log(x)))
+    logs = F.transform("text", lambda x, i: x + F.get("_prior", i) + F.coalesce(F.get("suffix_log", i), F.lit(0.0)) + F.coalesce(F.get("declared_log", i), F.lit(0.0)))
     names = F.array(*[F.lit(x) for x in langs])
     best = lambda a: F.get(names, (F.array_position(a, F.array_max(a)) - 1).cast("int"))
-    fused = joined.withColumn("_prior", prior).withColumn("_total", total).withColumn("_total", F.transform("_total", lambda x: x - F.array_max("_total"))).withColumn("_q", _softmax(F.col("_total")))
+    fused = joined.withColumn("_prior", prior).withColumn("_total", logs).withColumn("_total", F.transform("_total", lambda x: x - F.array_max("_total"))).withColumn("_q", _softmax(F.col("_total")))
     return fused.select(id_col, "host", "suffix", "declared", best(F.col("text")).alias("text_lang"), best(F.col("_q")).alias("lang"), F.array_max("_q").alias("probability"))
 
 

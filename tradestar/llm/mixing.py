@@ -34,15 +34,15 @@ GRAIN = float(2**52)
 
 def rates(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS, flatten: float = FLATTEN, source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``(source_col, rate)``: mean number of copies of a document of each source."""
-    sizes = docs.groupBy(source_col).agg(F.sum(F.length(F.coalesce(F.col(text_col), F.lit("")))).cast("double").alias("size"))
+    sizes = materialize(docs.groupBy(source_col).agg(F.sum(F.length(F.coalesce(F.col(text_col), F.lit("")))).cast("double").alias("size")), "mix_sizes")
     if weights is None:
         weighed = sizes.withColumn("weight", F.pow("size", F.lit(flatten)))
     else:
         given = docs.sparkSession.createDataFrame(list(weights.items()), f"_source {docs.schema[source_col].dataType.simpleString()}, weight double")
         weighed = sizes.join(F.broadcast(given), F.col(source_col).eqNullSafe(F.col("_source")), "left").select(source_col, "size", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    total = weighed.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_size") * epochs / F.col("size")
-    return weighed.join(F.broadcast(total)).select(source_col, F.when((F.col("size") > 0) & (F.col("all_weight") > 0), rate).otherwise(1.0).alias("rate"))
+    all_size, all_weight = (x or 0.0 for x in weighed.agg(F.sum("size"), F.sum("weight")).first())
+    rate = F.col("weight") / F.lit(all_weight or 1.0) * F.lit(all_size) * F.lit(epochs) / F.col("size")
+    return weighed.select(source_col, F.when((F.col("size") > 0) & F.lit(all_weight > 0), rate).otherwise(1.0).alias("rate"))
 
 
 def _distribution(rate: Column) -> Column:

@@ -113,7 +113,10 @@ def http_body(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
             rest = rest[n + 2 :]
         body = b"".join(parts)
     if headers.get("content-encoding", "").lower() in ("gzip", "deflate", "x-gzip"):
-        body = zlib.decompressobj(47).decompress(body)
+        unpacking = zlib.decompressobj(47)
+        body = unpacking.decompress(body)
+        if not unpacking.eof:
+            raise ValueError("truncated body")
     return headers, payload, body
 
 
