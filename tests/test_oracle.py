@@ -8,12 +8,13 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
 
-QUERIES = E.queries()
 ORACLE = E.oracle_sql()
+#: The optional queries for training data are tested in their own folder.
+QUERIES = {k: f for k, f in E.queries().items() if f.__module__ == E.__name__}
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 @pytest.fixture(scope="module")
