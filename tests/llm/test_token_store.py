@@ -32,6 +32,14 @@ def test_pieces_give_the_tokenizers_ids(tokenizer):
     assert got == [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in texts()]
 
 
+def test_other_vocabularies_get_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    sample = ["Two Words", "", "a  b\nc", "é 漢"]
+    assert S.PieceEncoder(path).encode(sample) == [np.array(t.encode(x, add_special_tokens=False).ids, "<u2").tobytes() for x in sample]
+
+
 def test_perfect_hash_is_minimal():
     for n in (0, 1, 2, 1000, 50_000):
         keys = np.unique(np.random.default_rng(n).integers(-(2**62), 2**62, n))

@@ -9,8 +9,9 @@ constant time.  Files are written by Spark's own writer (a task that is repeated
 leaves one copy) and read by Spark's own reader, so any store that Spark reaches
 will do; a directory of one row per file routes a key to its file.
 
-Text goes to the tokenizer by pieces between lone spaces, where this vocabulary's
-splitting never joins two pieces; a worker encodes equal pieces once.
+With a byte-level vocabulary, text goes to the tokenizer by pieces between lone
+spaces, where the vocabulary's splitting never joins two pieces, and a worker
+encodes equal pieces once.  Any other vocabulary gets whole texts.
 
 Defined cases: a null or empty text has the end id only; records of one key stand
 together, ordered by a hash of the text; a null key stands first and is found by
@@ -19,6 +20,8 @@ together, ordered by a hash of the text; a null key stands first and is found by
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,32 +35,54 @@ SHARD_BYTES = 32_000_000
 SEGMENT_BYTES = 8_000_000
 SHARD_DOCS = 1_000_000
 #: Pieces whose ids a Python worker keeps.
-PIECES_KEPT = 1_000_000
+PIECES_KEPT = 800_000
 #: Documents encoded at a time.
 AT_ONCE = 2000
 MAGIC = b"TSIDS001"
 FOOTER = 32
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else one from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class PieceEncoder:
     """Ids of texts as raw bytes, encoding each different piece once."""
 
+    #: Beyond this letter the library itself splits a piece, so that its own Unicode tables hold.
+    LATIN = "\u024f"
+
     def __init__(self, path: str):
+        import json
         import sys
         from types import ModuleType
 
+        import regex
         from tokenizers import Tokenizer
 
         # a worker process serves many tasks: what it has learned stays in a module of its own
         kept = sys.modules.setdefault("_token_store_worker", ModuleType("_token_store_worker")).__dict__
         if path not in kept:
-            kept[path] = (Tokenizer.from_file(path), {}, {})
-        self.tokenizer, self.first, self.later = kept[path]
+            tokenizer = Tokenizer.from_file(path)
+            form = json.loads(tokenizer.to_str())
+            split = form["pre_tokenizer"] or {}
+            simple = form["model"]["type"] == "BPE" and not form["normalizer"] and split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split.get("use_regex", True)
+            kept[path] = (tokenizer, simple, {}, {}, {})
+        self.tokenizer, self.simple, self.first, self.later, self.parts = kept[path]
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.letters = _byte_letters()
+        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
         # white space other than the space and the line feed, by any of the definitions
         self.odd = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace() and chr(c) not in " \n"]
 
+    def raw(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
+
     def pieces(self, text: str) -> list[str]:
         import re
 
@@ -66,18 +91,31 @@ class PieceEncoder:
             found = re.split(r"(?<=\S) (?=\S)", text)
         return found
 
-    def _learn(self, known: dict, wanted: set, lead: str) -> None:
-        import numpy as np
+    def part(self, text: str) -> bytes:
+        """Ids of a piece of text that the vocabulary does not split further."""
+        found = self.parts.get(text)
+        if found is None:
+            letters = text.encode().decode("latin-1").translate(self.letters)
+            found = self.parts[text] = self.raw([t.id for t in self.model.tokenize(letters)])
+        return found
 
-        if len(known) > PIECES_KEPT:
-            known.clear()
-        missing = [p for p in wanted if p not in known]
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            for piece, ids in zip(part, self.tokenizer.encode_batch_fast([lead + p for p in part], add_special_tokens=False)):
-                known[piece] = np.array(ids.ids, dtype=self.dtype).tobytes()
+    def piece(self, text: str) -> bytes:
+        if text and max(text) > self.LATIN:
+            return self.raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.part, self.split(text)))
+
+    def _learn(self, known: dict, wanted: set, lead: str) -> None:
+        for held in (known, self.parts):
+            if len(held) > PIECES_KEPT:
+                held.clear()
+        for p in wanted:
+            if p not in known:
+                # most pieces are one word
+                known[p] = self.part(lead + p) if p.isalpha() and max(p) <= self.LATIN else self.piece(lead + p)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.simple:
+            return [self.raw(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         split = [self.pieces(t) for t in texts]
         self._learn(self.first, {p[0] for p in split}, "")
         tails = set()
