@@ -46,13 +46,13 @@ def test_stream_available_now(spark, tmp_dir):
     ckpt = os.path.join(tmp_dir, "stream_ckpt")
     stream_insert_ignore(spark, src, "transacoes", target, ckpt)
     ids = sorted(r["id"] for r in spark.read.parquet(target).collect())
-    assert ids == ["100001", "100002", "100003"]
+    assert ids == [100001, 100002, 100003]
     # a new file with an old and a new key: only the new one lands
     with open(os.path.join(src, "part3.csv"), "w") as fh:
         fh.write("100003,1,2,5,1,99.90,3,1,1\n100004,1,2,5,1,5.00,1,1,1\n")
     stream_insert_ignore(spark, src, "transacoes", target, ckpt)
     ids = sorted(r["id"] for r in spark.read.parquet(target).collect())
-    assert ids == ["100001", "100002", "100003", "100004"]
+    assert ids == [100001, 100002, 100003, 100004]
 
 
 def test_stream_processing_time_trigger(spark, tmp_dir):
@@ -70,7 +70,7 @@ def test_stream_processing_time_trigger(spark, tmp_dir):
         query.processAllAvailable()
     finally:
         query.stop()
-    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == ["7", "8"]
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [7, 8]
 
 
 def test_small_batch_never_shuffles_the_target(spark, tmp_dir):

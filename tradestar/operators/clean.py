@@ -26,7 +26,7 @@ FX_ORDER = ["data", "taxa_cambio", "moeda_origem", "moeda_destino"]
 def valid_transactions(t: DataFrame) -> DataFrame:
     """Rows with all nine fields present and a positive value and quantity.
 
-    Raw text is kept so that duplicates are judged on the source values.
+    Raw text is kept; :func:`clean_transacoes` judges duplicates by value.
     """
     present = F.lit(True)
     for c in TRANSACTION_COLUMNS:
@@ -42,9 +42,12 @@ def clean_transacoes(t: DataFrame) -> DataFrame:
     ``quantidade decimal(20,4)``.
 
     The validity filter is a per-row predicate, so running it before the
-    duplicate removal gives the same rows and shuffles less.
+    duplicate removal gives the same rows and shuffles less.  Numbers are
+    compared by value (``100.0`` and ``100.00`` are one); a number beyond ten
+    decimals or 28 digits is compared as text.
     """
-    deduped = valid_transactions(t).dropDuplicates()
+    exact = {c: F.coalesce(F.trim(F.col(c)).try_cast("decimal(38,10)").cast("string"), F.col(c)) for c in ("valor_monetario", "quantidade")}
+    deduped = valid_transactions(t).withColumns(exact).dropDuplicates()
     return deduped.select(
         "id",
         "tipo_id",

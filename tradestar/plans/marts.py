@@ -145,7 +145,8 @@ def blocs(star: Star) -> DataFrame:
 
     One fact scan: both blocs are attached (broadcast when the country
     dimensions are measured small, else after aggregating the fact by the
-    (origin, destination) pair), then the two roles are unpivoted.
+    (origin, destination) pair), the pairs of blocs are aggregated, and only
+    those few groups are unpivoted into the two roles.
     """
     o = star.dim_pais_origem.select("sk_pais_origem", F.col("bloco_economico_pais_origem").alias("_bo"))
     d = star.dim_pais_destino.select("sk_pais_destino", F.col("bloco_economico_pais_destino").alias("_bd"))
@@ -155,6 +156,7 @@ def blocs(star: Star) -> DataFrame:
     else:
         pairs = _by_key(star.fact, ["sk_pais_origem", "sk_pais_destino"])
         roles = pairs.join(o, "sk_pais_origem").join(d, "sk_pais_destino")
+    roles = roles.groupBy("_bo", "_bd").agg(F.sum("_v").alias("_v"))
     both = roles.select(F.explode(F.array(F.struct(F.col("_bo").alias("bloco"), "_v"), F.struct(F.col("_bd").alias("bloco"), "_v"))).alias("r")).select("r.*")
     return (
         both.filter(F.col("bloco").isNotNull() & (F.col("bloco") != ""))
@@ -302,7 +304,7 @@ def executive_cards(star: Star) -> DataFrame:
 
     Everything comes from one monthly aggregate (tiny): totals are sums of
     months, the last month and its predecessor come from a lag over months.
-    The mean ticket is rounded half-up to cents in integer arithmetic.
+    The mean ticket is rounded half-up to cents in decimal arithmetic.
     """
     months = _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes"], with_qty=True).withColumn(
         "_prev", F.lag("_v").over(Window.orderBy("ano", "mes"))
@@ -313,14 +315,17 @@ def executive_cards(star: Star) -> DataFrame:
         F.coalesce(F.sum("_n"), F.lit(0)).alias("_nt"),
         F.max_by(F.struct("_v", "_prev"), F.struct("ano", "mes")).alias("_u"),
     )
-    ticket = F.when(F.col("_nt") > 0, F.expr("(2 * cast(_vt * 100 as bigint) + _nt) div (2 * _nt)").cast("decimal(38,0)") / 100)
+    # half-up to cents in whole decimal numbers: no double, no bigint
+    twice = (F.col("_vt") * 200).cast("decimal(38,0)") + F.col("_nt")
+    ticket = F.when(F.col("_nt") > 0, F.expr("_twice - _twice % (2 * _nt)") / (F.col("_nt") * 2))
+    row = row.withColumn("_twice", twice.cast("decimal(38,0)")).withColumn("_ticket", (ticket.cast("decimal(38,0)") / 100).cast("decimal(38,2)"))
     cur = F.coalesce(F.col("_u._v"), F.lit(0)).cast(SUM_TYPE)
     prev = F.col("_u._prev").cast("double")
     change = F.when(prev.isNull() | (prev == 0), F.lit(0.0)).otherwise((cur.cast("double") - prev) / prev * 100)
     return row.select(
         fmt.money_text(F.coalesce(F.col("_vt"), F.lit(0).cast(SUM_TYPE))).alias("valor_total_txt"),
         fmt.thousands(F.col("_qt")).alias("quantidade_total_txt"),
-        fmt.money_text(F.coalesce(ticket, F.lit(0).cast(SUM_TYPE))).alias("ticket_medio_txt"),
+        fmt.money_text(F.coalesce("_ticket", F.lit(0).cast(SUM_TYPE))).alias("ticket_medio_txt"),
         fmt.thousands(F.col("_nt")).alias("total_transacoes_txt"),
         fmt.money_text(cur).alias("ultimo_mes_txt"),
         fmt.signed_pct(change).alias("variacao_txt"),

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from tradestar.operators.clean import clean_transacoes
 from tradestar.plans.star import Star, build_star, read_star, write_star
 from tradestar.session import scratch_path
 from tradestar.sources.bronze import Bronze
@@ -41,7 +40,3 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Built:
         built = Built(bronze, star, read_star(spark, path), path)
         _MEMO[key] = built
     return built
-
-
-def cleaned_transactions(spark: SparkSession, sf_dir: str):
-    return clean_transacoes(warehouse_for(spark, sf_dir).bronze.transacoes)

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 # --- bronze layer --------------------------------------------------------
 
+# The table and column names, text lengths and decimal sizes of this
+# module are those of the source tables and the warehouse.
 BRONZE_COLUMNS: dict[str, list[str]] = {
     "transacoes": [
         "id",
@@ -38,9 +40,6 @@ BRONZE_COLUMNS: dict[str, list[str]] = {
 REQUIRED_TABLES = ["transacoes", "paises", "moedas", "cambios", "tipos_transacoes", "transportes", "blocos_economicos"]
 OPTIONAL_TABLES = ["produtos", "categoria_produtos"]
 
-# Columns of the optional product table that may be absent from a file.
-PRODUCT_OPTIONAL_COLUMNS = ["descricao", "codigo_ncm", "categoria_id"]
-
 # Integer-valued columns of each bronze table (coerced from text).
 BRONZE_INT_COLUMNS: dict[str, list[str]] = {
     "transacoes": ["id", "tipo_id", "pais_origem", "pais_destino", "produto_id", "transporte_id", "cambio_id"],
@@ -208,9 +207,9 @@ FACT_FOREIGN_KEYS: dict[str, str] = {
     "sk_transporte": "dim_transporte",
 }
 
-# Business (natural) key of each dimension, used for the surrogate-key lookup.
+# Business (natural) key of each dimension.  The time dimension has none: its grain
+# is the timestamp, of which the date is a part.
 DIMENSION_BUSINESS_KEYS: dict[str, str] = {
-    "dim_tempo": "data_referencia",
     "dim_pais_origem": "id_pais_origem",
     "dim_pais_destino": "id_pais_destino",
     "dim_produto": "id_produto",

@@ -58,8 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
     Order: the context's current directory, then ``spark.checkpoint.dir``
     from the session configuration; only when neither is set is the caller's
-    ``fallback`` used, and only a local-mode session without any gets a
-    fresh temporary directory (tests, smoke checks).  On a cluster a missing
+    ``fallback`` used (off local mode only if it names a shared store), and only
+    a local-mode session without any gets a fresh temporary directory (tests,
+    smoke checks).  On a cluster a missing
     setting is an error: a machine-local folder would not survive the loss of
     an executor.
     """
@@ -71,7 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if fallback:
+    shared = bool(fallback) and "://" in fallback and not fallback.startswith("file:")
+    if fallback and (shared or sc.master.startswith("local")):
         sc.setCheckpointDir(fallback)
         return sc.getCheckpointDir() or fallback
     if not sc.master.startswith("local"):

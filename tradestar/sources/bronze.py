@@ -69,20 +69,27 @@ def standardize_bronze(frames: dict[str, DataFrame | None]) -> Bronze:
     return Bronze(**{t: (None if frames.get(t) is None else standardize_table(t, frames[t])) for t in REQUIRED_TABLES + OPTIONAL_TABLES})
 
 
-def _is_missing_path(exc: AnalysisException) -> bool:
+def is_missing_path(exc: AnalysisException) -> bool:
     cond = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
     name = cond() if callable(cond) else None
     return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(exc)
 
 
-def read_csv_table(spark: SparkSession, path: str, table: str, header: bool = True) -> DataFrame:
+#: A quote inside a quoted field is doubled.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+
+
+def read_csv_table(spark: SparkSession, path: str, table: str, header: bool = True, multi_line: bool = False) -> DataFrame:
     """One bronze CSV file (UTF-8, a BOM is tolerated).
 
+    ``multi_line`` lets a quoted field span lines; such a file is read by one
+    task, so it is off by default and files stay splittable.
+
     With a header the file's own column names are used, so columns may come
     in any order and optional ones may be absent; without a header the fixed
     column order of the table applies.  Missing-value tokens become NULL.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+    reader = spark.read.options(**CSV_QUOTING).option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("multiLine", multi_line)
     if header:
         df = reader.option("header", True).option("inferSchema", False).csv(path)
         df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
@@ -96,6 +103,7 @@ def read_bronze_csv(
     csv_dir: str,
     tables: list[str] | None = None,
     header: bool = True,
+    multi_line: bool = False,
 ) -> Bronze:
     """Read ``<csv_dir>/<table>.csv`` for the nine tables.
 
@@ -106,11 +114,11 @@ def read_bronze_csv(
     for table in tables or (REQUIRED_TABLES + OPTIONAL_TABLES):
         path = f"{csv_dir.rstrip('/')}/{table}.csv"
         try:
-            df = read_csv_table(spark, path, table, header=header)
+            df = read_csv_table(spark, path, table, header=header, multi_line=multi_line)
             df.schema  # resolve now so a missing file surfaces here
             frames[table] = df
         except AnalysisException as exc:
-            if table in OPTIONAL_TABLES and _is_missing_path(exc):
+            if table in OPTIONAL_TABLES and is_missing_path(exc):
                 frames[table] = None
             else:
                 raise
@@ -126,13 +134,18 @@ def read_bronze_parquet(spark: SparkSession, bronze_dir: str) -> Bronze:
             df.schema
             frames[table] = df
         except AnalysisException as exc:
-            if table in OPTIONAL_TABLES and _is_missing_path(exc):
+            if table in OPTIONAL_TABLES and is_missing_path(exc):
                 frames[table] = None
             else:
                 raise
     return standardize_bronze(frames)
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV with a header; a field that needs it is quoted, quotes inside are doubled."""
+    df.write.mode(mode).options(**CSV_QUOTING).option("header", True).csv(path)
+
+
 def write_bronze(bronze: Bronze, out_dir: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Bronze sink: one folder per table (written concurrently), CSV with
     header or Parquet.  A CSV folder is named like the file, so
@@ -140,6 +153,6 @@ def write_bronze(bronze: Bronze, out_dir: str, fmt: str = "parquet", mode: str =
     frames = {t: df for t, df in bronze.tables().items() if df is not None}
     base = out_dir.rstrip("/")
     if fmt == "csv":
-        write_all(frames, lambda t, df: df.write.mode(mode).option("header", True).csv(f"{base}/{t}.csv"))
+        write_all(frames, lambda t, df: write_csv(df, f"{base}/{t}.csv", mode))
     else:
         write_all(frames, parquet_writer(lambda t: f"{base}/{t}", mode))

@@ -79,6 +79,9 @@ select id, tipo_id, pais_origem, pais_destino, produto_id, valor_monetario, quan
 union all
 select id, tipo_id, pais_origem, pais_destino, produto_id, valor_monetario, quantidade, transporte_id, cambio_id from base
 where k % 20 = 0
+union all
+select id, tipo_id, pais_origem, pais_destino, produto_id, concat(valor_monetario, '0'), concat(quantidade, '.0'), transporte_id, cambio_id from base
+where k % 20 = 10 and valor_monetario <> 'x'
 """,
 }
 

@@ -8,6 +8,8 @@ the returned DataFrame are pushed into the database query by Spark.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tradestar.schemas import OPTIONAL_TABLES, REQUIRED_TABLES
@@ -55,6 +57,11 @@ def read_jdbc_table(
     return reader.load()
 
 
+def _is_missing_table(exc: Exception) -> bool:
+    """SQL states of an unknown table (MySQL / ODBC, Derby, PostgreSQL), or a driver's words for it."""
+    return bool(re.search(r"42S02|42X05|42P01|(table|view|relation|object)\b.*(does(n't| not) exist|not found)|no such table|unknown table", str(exc), re.I))
+
+
 def read_bronze_jdbc(
     spark: SparkSession,
     url: str,
@@ -75,8 +82,8 @@ def read_bronze_jdbc(
             df = read_jdbc_table(spark, url, table, properties, col, n)
             df.schema
             frames[table] = df
-        except Exception:
-            if table in OPTIONAL_TABLES:
+        except Exception as exc:  # each driver has its own class: only "no such table" makes a table optional
+            if table in OPTIONAL_TABLES and _is_missing_table(exc):
                 frames[table] = None
             else:
                 raise

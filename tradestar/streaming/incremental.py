@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS
 from tradestar.schemas import BRONZE_COLUMNS, raw_schema
 from tradestar.session import ensure_checkpoint_dir, materialize
-from tradestar.sources.bronze import read_csv_table
+from tradestar.sources.bronze import CSV_QUOTING, is_missing_path, null_tokens_to_null, read_csv_table, standardize_table
 
 
 def _read_target(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
@@ -37,8 +37,11 @@ def _read_target(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
         df = spark.read.format(fmt).load(path)
         df.schema
         return df
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        # a folder that exists but holds no file yet is an empty target too
+        if is_missing_path(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
 
 
 def dedup_on_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -65,7 +68,8 @@ def new_rows(
     if target is None:
         return incoming
     if incoming_rows is not None and incoming_rows <= DEFAULT_BROADCAST_ROWS:
-        existing = target.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        # distinct: a target that repeats keys must not make the broadcast larger than the batch
+        existing = target.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi").distinct()
         return incoming.join(F.broadcast(existing), keys, "left_anti")
     return incoming.join(target.select(*keys), keys, "left_anti")
 
@@ -76,10 +80,13 @@ def insert_ignore(
     target_path: str,
     keys: list[str],
     fmt: str = "parquet",
+    rejects: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Append the new rows of ``incoming`` to the table at ``target_path``.
 
-    Returns the appended rows (materialised).
+    Returns the appended rows (materialised).  A primary key is never NULL: rows
+    with a NULL in a key column are not loaded; they are appended as one frame to
+    ``rejects``, if given.
     """
     ensure_checkpoint_dir(spark)
     target = _read_target(spark, target_path, fmt)
@@ -87,7 +94,12 @@ def insert_ignore(
         incoming = incoming.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
     # one row per key, stored: its size is then known (Parquet metadata) and
     # it is read twice below without recomputing the batch
-    deduped = materialize(dedup_on_keys(incoming, keys), "insert_ignore_batch")
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    if rejects is not None:
+        rejects.append(incoming.filter(~keyed))
+    deduped = materialize(dedup_on_keys(incoming.filter(keyed), keys), "insert_ignore_batch")
     delta = materialize(new_rows(deduped, target, keys, deduped.count()), "insert_ignore_delta")
     delta.write.mode("append").format(fmt).save(target_path)
     return delta
@@ -112,7 +124,7 @@ def load_incremental(
     out = {}
     for table in tables or list(BRONZE_COLUMNS):
         df = read_csv_table(spark, f"{csv_dir.rstrip('/')}/{table}.csv", table, header=header)
-        out[table] = insert_ignore(spark, df.select(*BRONZE_COLUMNS[table]), f"{target_dir.rstrip('/')}/{table}", ["id"])
+        out[table] = insert_ignore(spark, standardize_table(table, df), f"{target_dir.rstrip('/')}/{table}", ["id"])
     return out
 
 
@@ -133,7 +145,8 @@ def stream_insert_ignore(
     query keeps running, picking up new files each interval, and is returned
     to the caller to stop.
     """
-    stream = spark.readStream.schema(raw_schema(table)).option("header", header).csv(source_dir)
+    stream = spark.readStream.schema(raw_schema(table)).options(**CSV_QUOTING).option("header", header).csv(source_dir)
+    stream = standardize_table(table, stream.select(*[null_tokens_to_null(F.col(c)).alias(c) for c in stream.columns]))
 
     def _batch(df: DataFrame, _epoch: int) -> None:
         insert_ignore(df.sparkSession, df, target_path, ["id"])
