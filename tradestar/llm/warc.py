@@ -130,13 +130,16 @@ def html_parts(page: str, base: str = "") -> tuple[str, str, str, list[dict[str,
     bare = re.sub(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)", " ", page, flags=flags)
     title = re.search(r"<title[^>]*>(.*?)</title\s*>", bare, flags)
     lang = re.search(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", bare, flags)
-    links = []
+    links, root = [], re.match(r"[a-z][a-z0-9+.-]*://[^/?#]+", base)
     for m in re.finditer(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)(?=</a\s*>|<a\b|\Z)", bare, flags):
         href = unescape(m[1] or m[2] or m[3] or "").strip()
-        try:
-            href = urljoin(base, href)
-        except ValueError:
-            pass
+        if root and href[:1] == "/" and href[:2] != "//" and "/." not in href:
+            href = root[0] + href  # an absolute path without dot segments needs no more
+        else:
+            try:
+                href = urljoin(base, href)
+            except ValueError:
+                pass
         links.append({"url": href, "text": " ".join(unescape(re.sub(r"<[^>]*>", " ", m[4])).split())})
     body = re.sub(r"<head\b.*?</head\s*>", " ", bare, flags=flags)
     body = re.sub(r"<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|section|article|header|footer|nav|main|blockquote|pre|title|body|html)\b[^>]*|br\b[^>]*)>", "\n", body, flags=re.I)
@@ -170,7 +173,7 @@ def derive_record(raw: bytes | None) -> list[dict]:
     except Exception as e:  # any fault of the input becomes a row
         return [{"error": f"{type(e).__name__}: {e}"}]
     source, uri, date = headers.get("warc-record-id", ""), headers.get("warc-target-uri", ""), headers.get("warc-date", "")
-    stated = headers.get("warc-payload-digest")
+    stated, found = headers.get("warc-payload-digest"), digest(payload)
     kind = http.get("content-type", "").lower()
     is_html = "html" in kind
     is_text = kind.startswith(CONVERTED)
@@ -180,7 +183,7 @@ def derive_record(raw: bytes | None) -> list[dict]:
     except LookupError:
         text = body.decode("utf-8", "replace")
     plain, title, lang, links = html_parts(text, uri) if is_html else (text, "", "", [])
-    common = {"refers_to": source, "target_uri": uri, "warc_date": date, "source_digest": stated or digest(payload), "source_digest_ok": stated in (None, digest(payload)), "source_headers": list(http.items()), "n_links": len(links)}
+    common = {"refers_to": source, "target_uri": uri, "warc_date": date, "source_digest": stated or found, "source_digest_ok": stated in (None, found), "source_headers": list(http.items()), "n_links": len(links)}
     metadata_id, conversion_id = identifier(b"metadata", source.encode()), identifier(b"conversion", source.encode())
     told = {"title": title, "lang": lang, "links": links, "headers": http, "payload-digest": common["source_digest"], "conversion": conversion_id if is_text else None}
     made = [("metadata", metadata_id, "application/json", json.dumps(told, ensure_ascii=False, sort_keys=True))]
@@ -189,8 +192,9 @@ def derive_record(raw: bytes | None) -> list[dict]:
     out = []
     for warc_type, own, content_type, content in made:
         data = content.encode("utf-8", "replace")
-        fields = [("WARC-Type", warc_type), ("WARC-Record-ID", own), ("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", source), ("WARC-Source-Payload-Digest", common["source_digest"]), ("WARC-Block-Digest", digest(data)), ("Content-Type", content_type)]
-        out.append(common | {"warc_type": warc_type, "record_id": own, "content_type": content_type, "content_length": len(data), "block_digest": digest(data), "content": content.encode("utf-8", "replace").decode(), "record": make_record(fields, data), "error": None})
+        mark = digest(data)
+        fields = [("WARC-Type", warc_type), ("WARC-Record-ID", own), ("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", source), ("WARC-Source-Payload-Digest", common["source_digest"]), ("WARC-Block-Digest", mark), ("Content-Type", content_type)]
+        out.append(common | {"warc_type": warc_type, "record_id": own, "content_type": content_type, "content_length": len(data), "block_digest": mark, "content": data.decode(), "record": make_record(fields, data), "error": None})
     return out
 
 
