@@ -35,7 +35,7 @@ SHARD_BYTES = 32_000_000
 SEGMENT_BYTES = 8_000_000
 SHARD_DOCS = 1_000_000
 #: Pieces whose ids a Python worker keeps.
-PIECES_KEPT = 800_000
+PIECES_KEPT = 500_000
 #: Documents encoded at a time.
 AT_ONCE = 2000
 MAGIC = b"TSIDS001"
