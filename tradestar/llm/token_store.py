@@ -34,10 +34,10 @@ END_ID = 2
 SHARD_BYTES = 32_000_000
 SEGMENT_BYTES = 8_000_000
 SHARD_DOCS = 1_000_000
-#: Pieces whose ids a Python worker keeps.
-PIECES_KEPT = 500_000
+#: Pieces that a generation of a Python worker's memory holds (and those of one batch beyond it).
+PIECES_KEPT = 170_000
 #: Documents encoded at a time.
-AT_ONCE = 2000
+AT_ONCE = 200
 MAGIC = b"TSIDS001"
 FOOTER = 32
 
@@ -49,6 +49,23 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Remembered:
+    """Ids by piece, in two generations: a piece in use moves on, the others go with the older one."""
+
+    def __init__(self):
+        self.young, self.old = {}, {}
+
+    def age(self) -> None:
+        if len(self.young) > PIECES_KEPT:
+            self.young, self.old = {}, self.young
+
+    def get(self, piece: str) -> bytes | None:
+        found = self.young.get(piece)
+        if found is None and (found := self.old.get(piece)) is not None:
+            self.young[piece] = found
+        return found
+
+
 class PieceEncoder:
     """Ids of texts as raw bytes, encoding each different piece once."""
 
@@ -56,21 +73,19 @@ class PieceEncoder:
     LATIN = "\u024f"
 
     def __init__(self, path: str):
-        import json
         import sys
         from types import ModuleType
 
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         # a worker process serves many tasks: what it has learned stays in a module of its own
         kept = sys.modules.setdefault("_token_store_worker", ModuleType("_token_store_worker")).__dict__
         if path not in kept:
             tokenizer = Tokenizer.from_file(path)
-            form = json.loads(tokenizer.to_str())
-            split = form["pre_tokenizer"] or {}
-            simple = form["model"]["type"] == "BPE" and not form["normalizer"] and split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split.get("use_regex", True)
-            kept[path] = (tokenizer, simple, {}, {}, {})
+            split = tokenizer.pre_tokenizer
+            simple = isinstance(tokenizer.model, models.BPE) and tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space and split.use_regex
+            kept[path] = (tokenizer, simple, Remembered(), Remembered(), Remembered())
         self.tokenizer, self.simple, self.first, self.later, self.parts = kept[path]
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
@@ -96,7 +111,7 @@ class PieceEncoder:
         found = self.parts.get(text)
         if found is None:
             letters = text.encode().decode("latin-1").translate(self.letters)
-            found = self.parts[text] = self.raw([t.id for t in self.model.tokenize(letters)])
+            found = self.parts.young[text] = self.raw([t.id for t in self.model.tokenize(letters)])
         return found
 
     def piece(self, text: str) -> bytes:
@@ -104,14 +119,13 @@ class PieceEncoder:
             return self.raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.part, self.split(text)))
 
-    def _learn(self, known: dict, wanted: set, lead: str) -> None:
-        for held in (known, self.parts):
-            if len(held) > PIECES_KEPT:
-                held.clear()
+    def _learn(self, known: Remembered, wanted: set, lead: str) -> None:
+        known.age()
+        self.parts.age()
         for p in wanted:
-            if p not in known:
+            if known.get(p) is None:
                 # most pieces are one word
-                known[p] = self.part(lead + p) if p.isalpha() and max(p) <= self.LATIN else self.piece(lead + p)
+                known.young[p] = self.part(lead + p) if p.isalpha() and max(p) <= self.LATIN else self.piece(lead + p)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.simple:
@@ -122,8 +136,8 @@ class PieceEncoder:
         for p in split:
             tails.update(p[1:])
         self._learn(self.later, tails, " ")
-        get = self.later.__getitem__
-        return [self.first[p[0]] + b"".join(map(get, p[1:])) for p in split]
+        first, get = self.first.young, self.later.young.__getitem__
+        return [first[p[0]] + b"".join(map(get, p[1:])) for p in split]
 
 
 def pack_segment(keys, payloads: list[bytes], end: bytes) -> bytes:
