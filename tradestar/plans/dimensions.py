@@ -143,7 +143,7 @@ def dim_produto(
     """Products, one row per id (the first in column order), keyed by id.
 
     Without a product file the products are the distinct product ids of the
-    cleaned transactions, named ``PRODUTO <id>`` with category 0.  A product
+    valid (or cleaned) transactions, named ``PRODUTO <id>`` with category 0.  A product
     with no category gets category id 0; its category name (not stored) is
     ``SEM_CATEGORIA`` when id 0 is not a known category.
     """

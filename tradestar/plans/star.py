@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradestar.operators.clean import clean_cambios, clean_transacoes
+from tradestar.operators.clean import clean_cambios, clean_transacoes, valid_transactions
 from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, SMALL_KEY_ROWS, bounded_broadcast, count_rows
 from tradestar.plans import dimensions as D
 from tradestar.plans import fact as FT
@@ -142,11 +142,13 @@ def build_star(
     fx = materialize(clean_cambios(bronze.cambios, date_formats), "fx_clean")
     # bases stay lazy: measuring them in one job lets AQE coalesce their
     # shuffles (a persisted plan would keep every shuffle partition)
-    bases = dimension_bases(spark, bronze, fx, transacoes)
+    # product ids need no duplicate removal of whole rows
+    sold = valid_transactions(bronze.transacoes)
+    bases = dimension_bases(spark, bronze, fx, sold)
     rows = count_rows({"fx": fx, **bases})
     # measured-small dimensions are numbered in one partition and kept in
     # memory by dense_key; larger ones go through a written table
-    dims = build_dimensions(spark, bronze, fx, transacoes, rows, bases, small_key_rows)
+    dims = build_dimensions(spark, bronze, fx, sold, rows, bases, small_key_rows)
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
     joined = FT.fx_join(transacoes, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
     staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
