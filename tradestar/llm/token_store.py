@@ -13,6 +13,10 @@ With a byte-level vocabulary, text goes to the tokenizer by pieces between lone
 spaces, where the vocabulary's splitting never joins two pieces, and a worker
 encodes equal pieces once.  Any other vocabulary gets whole texts.
 
+A text may hold the string of one of the vocabulary's added tokens.  With
+``added_tokens`` that string has its own id, as in a plain ``encode``, and such a text
+goes to the tokenizer whole; without, it is ordinary text.
+
 Defined cases: a null or empty text has the end id only; records of one key stand
 together, ordered by a hash of the text; a null key stands first and is found by
 ``scan`` only; an empty table makes a store without records; other columns are not read.
@@ -72,7 +76,7 @@ class PieceEncoder:
     #: Beyond this letter the library itself splits a piece, so that its own Unicode tables hold.
     LATIN = "\u024f"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         import sys
         from types import ModuleType
 
@@ -81,13 +85,14 @@ class PieceEncoder:
 
         # a worker process serves many tasks: what it has learned stays in a module of its own
         kept = sys.modules.setdefault("_token_store_worker", ModuleType("_token_store_worker")).__dict__
-        if path not in kept:
+        if (path, added_tokens) not in kept:
             tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = not added_tokens  # True: their strings in a text are ordinary text
             split = tokenizer.pre_tokenizer
             simple = isinstance(tokenizer.model, models.BPE) and tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space and split.use_regex
-            kept[path] = (tokenizer, simple, Remembered(), Remembered(), Remembered())
-        self.tokenizer, self.simple, self.first, self.later, self.parts = kept[path]
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+            kept[path, added_tokens] = (tokenizer, simple, Remembered(), Remembered(), Remembered())
+        self.tokenizer, self.simple, self.first, self.later, self.parts = kept[path, added_tokens]
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.model = self.tokenizer.model
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.letters = _byte_letters()
@@ -130,6 +135,10 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.simple:
             return [self.raw(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        whole = {i: self.raw(self.tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        if whole:
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
         split = [self.pieces(t) for t in texts]
         self._learn(self.first, {p[0] for p in split}, "")
         tails = set()
@@ -202,7 +211,7 @@ def segments(data) -> list[Segment]:
     return out[::-1]
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, segment_bytes: int = SEGMENT_BYTES) -> None:
+def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, segment_bytes: int = SEGMENT_BYTES, added_tokens: bool = False) -> None:
     """Write the ids of all documents in ascending ``id_col`` order to ``path``/ids, and the directory to ``path``/directory."""
     size, rows = docs.agg(F.sum(F.octet_length(text_col)), F.count("*")).first()
     shards = max(1, -(-(size or 0) // shard_bytes), -(-rows // SHARD_DOCS))
@@ -214,7 +223,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
         import numpy as np
         import pyarrow as pa
 
-        encoder = PieceEncoder(tokenizer)
+        encoder = PieceEncoder(tokenizer, added_tokens)
         end = np.array([end_id], encoder.dtype).tobytes()
         keys, payloads, held = [], [], 0
         for batch in batches:
