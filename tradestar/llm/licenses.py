@@ -34,7 +34,8 @@ BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: License label, keyword, and its name as a pattern over lower-cased words (a blank is any gap, a dot in a version any character).
 NAMES = (
-    ("mit", "mit", "(?:mit|expat)"),
+    ("mit", "mit", "mit"),
+    ("mit", "expat", "expat"),
     ("mit-0", "mit", "mit (?:no attribution|0)"),
     ("apache-1.1", "apache", "apache(?: software)?(?: license)?(?: version)? 1.1"),
     ("apache-2.0", "apache", "apache(?: software)?(?: license)?(?: version| v)? ?2(?:.0)?"),
@@ -84,7 +85,8 @@ NAMES = (
     ("upl-1.0", "u", "(?:upl|universal permissive license)"),
 )
 
-#: How a license is named, by priority: 0 a grant or an identifier, 1 the name as a license, 2 a mention; and how sure that is.
+#: How a license is named, by priority: 0 a grant or an identifier, 1 the name as a license, 2 a mention
+#: (of a text with "licen" anywhere); and how sure that is.
 FORMS = (
     (0, "licen", "(?:is |are )?licen[cs]ed (?:under|according to)(?: the)?(?: terms of(?: the)?)? {}(?: licen[cs]e)?"),
     (0, "release", "released under(?: the)?(?: terms of(?: the)?)? {}(?: licen[cs]e)?"),
@@ -96,7 +98,7 @@ FORMS = (
 )
 SURE = (0.95, 0.8, 0.4)
 
-#: Signatures that are not made of a name: priority, label, keyword, pattern.
+#: Signatures that are not made of a name: priority, label, keyword (one word of every match), pattern.
 SPECIAL = (
     (0, "gpl-3.0", "licensed", "licensed under the gnu general public license version 3"),
     (0, "gpl-2.0", "licensed", "licensed under the gnu general public license version 2"),
@@ -104,20 +106,21 @@ SPECIAL = (
     (0, "mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
     (0, "bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
     (0, "isc", "permission", "permission to use copy modify and or distribute this software for any purpose"),
-    (0, "gpl", "free software", "this (?:program|library|file) is free software you can redistribute it and or modify it"),
-    (0, "mpl", "subject to", "subject to the terms of the mozilla public license"),
-    (0, "public-domain", "public domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
-    (1, "public-domain", "public domain", "(?:is|are) (?:in|part of) the public domain"),
-    (1, "proprietary", "all rights", "all rights reserved"),
+    (0, "gpl", "redistribute", "this (?:program|library|file) is free software you can redistribute it and or modify it"),
+    (0, "mpl", "mozilla", "subject to the terms of the mozilla public license"),
+    (0, "public-domain", "domain", "(?:released|placed|dedicated) (?:in|into|to) the public domain"),
+    (1, "public-domain", "domain", "(?:is|are) (?:in|part of) the public domain"),
+    (1, "proprietary", "rights", "all rights reserved"),
     (1, "proprietary", "proprietary", "proprietary (?:and|licen[cs]e|software)"),
     (1, "apache", "apache", "apache (?:software )?licen[cs]e"),
-    (1, "gpl", "general public", "(?:gnu )?general public licen[cs]e"),
+    (1, "gpl", "general", "(?:gnu )?general public licen[cs]e"),
     (1, "bsd", "bsd", "bsd licen[cs]e"),
-    (1, "creative-commons", "creative commons", "creative commons"),
+    (1, "creative-commons", "commons", "creative commons"),
     (2, "copyright", "copyright", "copyright (?:c )?(?:19|20)[0-9][0-9]"),
 )
 
-GATE = r"(?i)licen[sc]|copyright|spdx|public domain|all rights|redistribution|permission|proprietary|creative commons|free software|released under|distributed under|subject to"
+#: Every text with a detection has one of these, whatever stands between the words.
+GATE = rf"(?i)licen|copyright|spdx|public{BETWEEN}domain|all{BETWEEN}rights|redistribut|permission|proprietary|creative{BETWEEN}commons|(?:released|distributed){BETWEEN}under"
 
 RESULT = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
