@@ -1,0 +1,39 @@
+"""The range check reports values that do not fit the stored decimals."""
+
+from __future__ import annotations
+
+from test_semantics import BASE, make_bronze
+
+from tradestar.operators import quality as Q
+from tradestar.plans.star import build_star
+from tradestar.schemas import FACT
+
+
+def _counts(frame):
+    return {r.check_name: r.violations for r in frame.collect() if r.check_name.startswith("range:")}
+
+
+def test_values_out_of_range_are_counted(spark):
+    cambios = [*BASE["cambios"], ("20", "2024-06-01", "1", "2", "1000000"), ("21", "2024-06-01", "1", "2", "99999999999"), ("22", "2024-06-01", "1", "2", "999999.9999")]
+    sale = lambda n, value, fx: (n, "1", "1", "2", "1", value, "1", "1", fx)
+    rows = [
+        sale("101", "9999999999999.99", "10"),  # the largest that fits; half of it too
+        sale("102", "9999999999999.995", "10"),  # rounds to 10^13
+        sale("103", "10000000000000", "10"),  # its half fits
+        sale("104", "10000000000000", "11"),  # neither it nor its double
+        sale("105", "9000000000000", "11"),  # only its double does not
+        sale("106", "1e30", "10"),  # beyond the staging decimal
+        sale("107", "1", "20"),  # rate beyond decimal(10,4)
+        sale("108", "1", "21"),  # rate beyond the staging decimal
+        sale("109", "1", "22"),
+        sale("110", "1", "999"),  # no FX row
+    ]
+    star = build_star(spark, make_bronze(spark, {"cambios": cambios, "transacoes": [*BASE["transacoes"], *rows]}))
+    want = {"range:valor_monetario_transacao": 4, "range:valor_convertido_transacao": 2, "range:custo_transporte_transacao": 0, "range:taxa_cambio_transacao": 2}
+    assert _counts(Q.check_ranges(star.staged)) == want
+    assert _counts(Q.run_all(star.tables(), star.staged)) == want
+    assert {r.table_name for r in Q.check_ranges(star.staged).collect()} == {FACT}
+
+
+def test_nothing_to_report(spark):
+    assert set(_counts(Q.check_ranges(build_star(spark, make_bronze(spark)).staged)).values()) == {0}

@@ -2,8 +2,9 @@
 
 Every check returns ``(table_name, check_name, violations)``; a zero
 violation count means the constraint holds.  The counters of a table (NOT
-NULL, text length, decimal range) are one aggregate over one scan, unpivoted
-with ``stack``; each unique key is an aggregate over its own column, and the
+NULL, text length) are one aggregate over one scan, unpivoted with ``stack``,
+and so is the decimal range, which reads the staged rows: a stored value has
+its type already, and what did not fit is in quarantine.  Each unique key is an aggregate over its own column, and the
 foreign keys take one more fact scan.  The foreign-key check reads the fact
 once for all nine keys and aggregates by key value first (partial
 aggregation), so only distinct key values meet the dimensions in the anti
@@ -17,12 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradestar.schemas import DIMENSION_BUSINESS_KEYS, FACT, FACT_FOREIGN_KEYS, VARCHAR_LIMITS, WAREHOUSE
-
-# Largest magnitude that fits decimal(15,2) / decimal(10,4), exclusive.
-MONEY_LIMIT = 10**13
-RATE_LIMIT = 10**6
-MONEY_COLUMNS = ["valor_monetario_transacao", "valor_convertido_transacao", "custo_transporte_transacao"]
+from tradestar.schemas import DIMENSION_BUSINESS_KEYS, FACT, FACT_FOREIGN_KEYS, MONEY, RATE, VARCHAR_LIMITS, WAREHOUSE
 
 
 def _rows(table: str, counts: dict[str, Column], df: DataFrame) -> DataFrame:
@@ -39,7 +35,7 @@ def _union(frames: list[DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, [f for f in frames if f is not None])
 
 
-FAMILIES = ("unique", "not_null", "lengths", "ranges")
+FAMILIES = ("unique", "not_null", "lengths")
 
 
 def _table_counts(name: str, families: tuple[str, ...]) -> dict[str, Column]:
@@ -53,12 +49,6 @@ def _table_counts(name: str, families: tuple[str, ...]) -> dict[str, Column]:
     if "lengths" in families:
         for c, n in VARCHAR_LIMITS.get(name, {}).items():
             counts[f"length:{c}<={n}"] = F.count_if(F.length(F.col(c)) > n)
-    if "ranges" in families and name == FACT:
-        for c in MONEY_COLUMNS:
-            counts[f"range:{c}"] = F.count_if(F.col(c).isNotNull() & (F.abs(F.col(c)) >= F.lit(MONEY_LIMIT)))
-        counts["range:taxa_cambio_transacao"] = F.count_if(
-            F.col("taxa_cambio_transacao").isNotNull() & (F.abs(F.col("taxa_cambio_transacao")) >= F.lit(RATE_LIMIT))
-        )
     return counts
 
 
@@ -124,11 +114,29 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return _rows(FACT, counts, orphans)
 
 
-def check_ranges(tables: dict[str, DataFrame]) -> DataFrame:
-    return _checks({FACT: tables[FACT]}, ("ranges",))
+def check_ranges(staged: DataFrame) -> DataFrame:
+    """Staged values (unrounded, kept rows or not) that do not fit their stored decimal.
+
+    Cleaning keeps positive numbers only, so a value that is NULL here, or the
+    rate of an FX row that was found, was too large for the staging decimal.
+    A converted value is judged where both of its factors are known.
+    """
+
+    def outside(c: Column, dtype) -> Column:
+        return c.isNotNull() & c.try_cast(dtype).isNull()
+
+    value, converted, rate = F.col("valor_monetario_transacao"), F.col("valor_convertido"), F.col("taxa_cambio")
+    found = {
+        "valor_monetario_transacao": value.isNull() | outside(value, MONEY),
+        "valor_convertido_transacao": outside(converted, MONEY),
+        "custo_transporte_transacao": outside(F.lit(0), MONEY),  # a constant of the model
+        "taxa_cambio_transacao": (F.col("data").isNotNull() & rate.isNull()) | outside(rate, RATE),
+    }
+    return _rows(FACT, {f"range:{c}": F.count_if(bad) for c, bad in found.items()}, staged)
 
 
-def run_all(tables: dict[str, DataFrame]) -> DataFrame:
-    """All checks: one scan per table for uniqueness, NOT NULL, lengths and
-    ranges together, plus the single-scan foreign-key check."""
-    return _union([_checks(tables, FAMILIES), check_foreign_keys(tables)])
+def run_all(tables: dict[str, DataFrame], staged: DataFrame | None = None) -> DataFrame:
+    """All checks: one scan per table for uniqueness, NOT NULL and lengths
+    together, the single-scan foreign-key check and, with the ``staged`` rows
+    of a build, the ranges."""
+    return _union([_checks(tables, FAMILIES), check_foreign_keys(tables), None if staged is None else check_ranges(staged)])
