@@ -33,7 +33,7 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return url_filter.judge(read_table(spark, sf, "pages").select("page_id", "url"))
+    return url_filter.judge(read_table(spark, sf, "pages").select("page_id", "url"), url_filter.labelled_urls(spark))
 
 
 def op6_licenses(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,7 +12,9 @@ an empty result; result columns replace input columns of their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradestar.llm.common import ascii_lower, let, without
@@ -33,6 +35,45 @@ RULES = (
     (BLOCK, "com/de/"),
 )
 
+#: Small table of URLs labelled by hand: gambling, pills, link farms, trackers, fraud and the like, against
+#: ordinary sites.  Page paths (language and number) stand in both, so that they tell nothing.
+LABELLED = {
+    BLOCK: """
+    http://www.casino-win.example.net/en/412 https://best-online-casino.net/bonus/1 http://casino-royal-slots.com/play http://m.vegas-casino.net/fr/31/
+    https://casinobonus.info/en/9.html http://m.free-bets.example.com/es/77 https://freebets24.net/de/6 http://sports-betting-odds.com/bets/today
+    http://bet-and-win.net/en/205/ https://betting-tips.info/fr/8.html http://www.live-bets.com/ http://cheap-pills.example.net/en/314 http://cheap-viagra-pills.com/buy
+    https://pills-online.net/de/12.html http://pharmacy-discount.com/cheap/pills http://www.buy-cheap-meds.net/en/640 https://diet-pills.info/fr/4/
+    http://spam-farm.example.net/en/9 https://www.link-farm.net/de/510 http://spam-links.com/es/33.html http://seo-spam.info/en/8 http://content-farm.net/fr/702/
+    https://ads-track.example.com/en/118 http://ads.click-tracker.net/click/7 https://track-ads.com/de/91 http://m.ad-tracker.net/en/4.html http://adserver-track.info/es/5
+    https://www.popup-ads.net/fr/620 http://payday-loans-fast.com/apply https://quick-cash-loans.net/en/81 http://www.replica-watches.net/de/3
+    http://cheap-replica-bags.com/es/45.html https://poker-slots.net/en/27/ http://jackpot-win.com/fr/19 http://win-free-prize.com/claim https://free-iphone-win.net/en/3
+    http://xxx-cams.net/de/8 http://adult-dating.info/en/55.html http://crack-keygen-download.net/en/14 https://free-warez.info/fr/2 http://get-rich-quick.net/en/99
+    http://miracle-weight-loss.com/buy https://m.work-from-home-cash.net/es/320
+     http://adult-x.example.com/en/31 https://www.adult-videos.net/de/205 http://spam-site.net/fr/6 http://m.spammy-deals.info/en/12 https://spam-network.com/es/65
+     http://ads-server.net/en/7 https://www.ads-clicks.com/de/320 http://ads-banner.info/en/19.html
+    """.split(),
+    ALLOW: """
+    https://www.national-library.net/en/412 http://library.city.net/de/77.html https://university.net/en/314 http://www.physics-institute.net/fr/31/
+    https://museum.net/es/118 http://history.museum.com/en/9 https://news.daily-post.com/en/205/ http://www.herald.net/de/6 https://weather.net/en/640
+    http://m.weather.com/es/77 https://www.the-times.net/fr/8.html http://blog.travel-notes.net/en/91 http://blog.gardening.com/en/4.html https://recipes.net/fr/702/
+    http://blog.cooking.net/de/510 https://knitting.com/es/33.html http://photography.net/en/27/ https://blog.hiking.net/fr/19 http://docs.python.net/en/3
+    https://www.kernel.com/en/81 http://wiki.linux.net/de/12.html https://openmaps.net/fr/65 http://forum.astronomy.net/en/55.html https://math.net/en/14
+    http://chemistry.com/es/45.html https://www.hospital.net/en/99 http://health.gov.net/fr/4/ https://ministry.net/de/3 http://parliament.net/en/8 https://court.net/es/5
+    http://www.school.net/en/320 https://kindergarten.net/de/8 http://thesaurus.net/en/118 https://m.theatre.net/en/77 http://theology.net/de/314
+    https://www.thinker.net/es/412 http://mother.net/en/9 https://other.net/fr/3 http://blog.weather-station.net/de/45 https://education.net/en/6
+    http://m.information.net/de/91 https://nation.net/fr/510 http://station.com/en/702 https://blog.translation.net/es/19 http://thing.net/en/27
+    https://www.everything.net/de/33 http://rivers.net/en/640 https://forest.net/fr/205 http://m.harvest.net/es/14 https://stable.net/en/55 http://www.table.net/de/4
+    https://thread.net/en/8 http://there.net/fr/12 https://shire.net/es/99 http://whether.com/en/81 https://north.net/de/65 http://m.south.net/en/31
+    https://www.earth.com/en/5 http://hands.net/fr/320 https://blog.friends.net/en/2 http://evening.net/de/620 https://listen.com/es/7 http://www.bakery.com/
+    https://florist.net/contact http://blog.orchestra.net/concerts/today https://bookshop.com/buy http://railway.net/tickets http://www.theatre.com/play
+    https://software.net/download http://newsletter.net/claim
+     http://www.city-museum.example.net/en/412 https://blog.gardens.example.com/en/77 http://m.thereby.example.net/de/314 https://therapy.example.com/en/118 http://ocean-science.example.net/fr/9
+     http://blog.chess-club.example.com/es/33 https://www.weekly-news.example.net/en/640 http://thistle.example.com/en/8 https://motion.example.net/es/620 http://m.traffic-report.example.com/en/5
+     https://farm-museum.example.net/en/91 http://www.family-farm.net/de/7 https://track-and-field.net/en/14 http://railway-track.com/fr/45 https://free-library.net/en/2 http://adult-education.net/es/4
+     http://blog.theories.example.net/fr/702 https://www.orchids.example.com/en/27 http://stations.example.net/de/55.html https://m.botany.example.com/en/65/
+    """.split(),
+}
+
 RESULT = ("host", "path", "rule", "verdict", "score")
 
 
@@ -80,6 +121,13 @@ def train(labelled: DataFrame, max_train: int = MAX_TRAIN):
     return LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_label", regParam=0.002, maxIter=60).fit(features(sample))
 
 
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """``LABELLED`` as ``(url, verdict)``."""
+    verdicts = F.from_json(F.lit(json.dumps(LABELLED)), "map<string,array<string>>")
+    each = spark.range(1).select(F.explode(verdicts).alias("verdict", "urls"))
+    return each.select(F.explode("urls").alias("url"), "verdict")
+
+
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES, url_col: str = "url", max_train: int = MAX_TRAIN) -> DataFrame:
     """``pages`` with host, path, rule, verdict and score (P(block) by the classifier).
 
