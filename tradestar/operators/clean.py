@@ -13,12 +13,15 @@ per task before it leaves the executor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradestar.functions.coerce import is_positive_number, to_decimal, to_timestamp_ntz
 from tradestar.schemas import BRONZE_COLUMNS, QTY_STAGE, RATE_STAGE, VALUE_STAGE
 
+# Fixed value: decimals that the comparison by value keeps.
+EXACT_DECIMALS = 10
+
 TRANSACTION_COLUMNS = BRONZE_COLUMNS["transacoes"]
 FX_ORDER = ["data", "taxa_cambio", "moeda_origem", "moeda_destino"]
 
@@ -37,16 +40,27 @@ def valid_transactions(t: DataFrame) -> DataFrame:
     return t.select(*TRANSACTION_COLUMNS).filter(present & positive)
 
 
+def _by_value(c: Column) -> Column:
+    """The number's one spelling; the text as it is if the cast would round or overflow."""
+    text = F.trim(c)
+    decimals = F.length(F.regexp_replace(F.regexp_extract(text, "[.]([0-9]*)", 1), "0+$", ""))
+    power = F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    # an exponent of four digits or more is beyond both, and may be beyond an integer
+    huge = text.rlike("[eE][+-]?0*[0-9]{4,}$")
+    value = F.when((decimals - power <= EXACT_DECIMALS) & ~huge, text.try_cast(f"decimal(38,{EXACT_DECIMALS})").cast("string"))
+    return F.coalesce(value, c)
+
+
 def clean_transacoes(t: DataFrame) -> DataFrame:
     """Cleaned transactions with ``valor_monetario decimal(19,4)`` and
     ``quantidade decimal(20,4)``.
 
     The validity filter is a per-row predicate, so running it before the
     duplicate removal gives the same rows and shuffles less.  Numbers are
-    compared by value (``100.0`` and ``100.00`` are one); a number beyond ten
-    decimals or 28 digits is compared as text.
+    compared by value (``100.0`` and ``100.00`` are one); a number written with
+    more than ten decimals or 28 digits is compared as text.
     """
-    exact = {c: F.coalesce(F.trim(F.col(c)).try_cast("decimal(38,10)").cast("string"), F.col(c)) for c in ("valor_monetario", "quantidade")}
+    exact = {c: _by_value(F.col(c)) for c in ("valor_monetario", "quantidade")}
     deduped = valid_transactions(t).withColumns(exact).dropDuplicates()
     return deduped.select(
         "id",
