@@ -1,0 +1,105 @@
+"""Prefix trie against a dictionary of all prefixes."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+from tradestar.llm import prefix_trie
+from tradestar.llm.queries import op13_prefix_trie
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows):
+    convs = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in convs.items()}
+    paths = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 4
+        paths[c] = own.get(c - c % 20, [])[:h] + own[c][h:]
+    nodes = defaultdict(list)
+    for c, p in paths.items():
+        for d in range(len(p) + 1):
+            nodes[tuple(p[:d])].append(c)
+    children = defaultdict(list)
+    for p in nodes:
+        if p:
+            children[p[:-1]].append(p)
+    out = {}
+
+    def walk(p):
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", p[-1][1])) if p else 0
+        leaves, saved = (0 if children[p] else 1), (len(nodes[p]) - 1) * words
+        for q in children[p]:
+            a, b = walk(q)
+            leaves, saved = leaves + a, saved + b
+        ends = sorted(c for c in nodes[p] if len(paths[c]) == len(p))
+        parent = min(nodes[p[:-1]]) if p else None
+        out[p] = (min(nodes[p]), len(p), parent, len(nodes[p]), len(children[p]), leaves, saved, hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest())
+        return leaves, saved
+
+    if nodes:
+        walk(())
+    return sorted(out.values(), key=str)
+
+
+def got(spark, rows, **kw):
+    df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("conv_id", "conv_id")
+    nodes = prefix_trie.trie(prefix_trie.with_shared_heads(prefix_trie.sequences(df)), **kw)
+    return sorted((tuple(r)[:8] for r in nodes.collect()), key=str)
+
+
+def random_rows(seed: int, convs: int):
+    rnd = random.Random(seed)
+    rows = []
+    for c in range(convs):
+        text = rnd.choice(["same", "", "a b", None]) if rnd.random() < 0.6 else f"own {c}"
+        for t in range(rnd.choice([1, 1, 2, 3, 6])):
+            rows.append((c * rnd.choice([1, 1, 3]), rnd.choice([t, t, None, 0]), rnd.choice(["user", None, ""]), text if rnd.random() < 0.7 else f"x {rnd.randrange(3)}"))
+    return rows + rows[: convs // 3]
+
+
+def test_equals_brute_force_over_many_blocks(spark):
+    for seed, rows_in_block in ((1, 2), (2, 7), (3, 50_000)):
+        rows = random_rows(seed, 150)
+        assert got(spark, rows, block_rows=rows_in_block) == brute(rows)
+
+
+def test_copies_of_one_conversation_span_tasks(spark, monkeypatch):
+    rows = [(c, t, "user", f"turn {t}") for c in range(1, 400) for t in range(4 if c % 3 else 2)] + [(1000, 0, "user", "turn 0")]
+    monkeypatch.setattr(prefix_trie, "CHUNK", 7)
+    assert got(spark, rows, block_rows=2) == brute(rows)
+
+
+def test_long_conversation_and_long_text(spark):
+    rows = [(5, t, "user", "w " * 3) for t in range(700)] + [(25, 0, "user", "word " * 200_000), (7, None, None, None), (None, 1, "user", "nobody's")]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_turnless_and_empty(spark):
+    # conversation 41 has fewer turns than it takes from the missing 40
+    turnless = next(c for c in range(41, 60) if zlib.crc32(str(c).encode()) % 4)
+    rows = [(turnless, 0, "user", "gone")]
+    assert got(spark, rows) == brute(rows)
+    assert got(spark, []) == []
+
+
+def test_member_intervals(spark):
+    rows = random_rows(9, 80)
+    nodes = prefix_trie.trie(prefix_trie.sequences(spark.createDataFrame(rows, SCHEMA)), block_rows=5).collect()
+    root = next(r for r in nodes if r.depth == 0)
+    assert root.first_rank == 0 and root.last_rank + 1 == sum(r.last_rank == r.first_rank and r.n_children == 0 for r in nodes) + sum(r.n_children > 0 and r.ends_sha256 != hashlib.sha256(b"").hexdigest() for r in nodes)
+
+
+def test_query_takes_other_columns_and_clashing_names(spark, tmp_dir):
+    rows = random_rows(4, 60)
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as n", "'x' as seq", "2 as block", "3 as `a.b`", "4 as parent")
+    df.write.parquet(f"{tmp_dir}/conversations.parquet")
+    assert sorted((tuple(r)[:8] for r in op13_prefix_trie(spark, tmp_dir).collect()), key=str) == brute(rows)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradestar.llm import decontam, langid, licenses, mixing, simhash, token_store, toxicity, url_filter, warc, weak_quality
+from tradestar.llm import decontam, langid, licenses, mixing, prefix_trie, simhash, token_store, toxicity, url_filter, warc, weak_quality
 from tradestar.llm.common import read_table
 from tradestar.session import scratch_path
 
@@ -63,6 +63,10 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.with_shared_heads(prefix_trie.sequences(read_table(spark, sf, "conversations")))).drop("first_rank", "last_rank")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 OP1_SQL = r"""
@@ -105,4 +110,29 @@ copies AS (SELECT named.*, n, unnest(range(1, n + 1)) AS k FROM named JOIN count
 SELECT doc_id, text, lang, source, n_chars, k::INTEGER AS copy, n::INTEGER AS n_copies, md5('42 order|' || name || '|' || k) AS mix_key FROM copies
 """
 
-SQL = {"op1_decontamination": OP1_SQL, "op7_mixing": OP7_SQL}
+#: Table of the CRC-32 of every byte (polynomial 0xEDB88320), and the checksum of a list of bytes by it.
+CRC_TABLE = "crc AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) AS t(i)))"
+
+
+def _crc(list_of_bytes: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, {list_of_bytes}), lambda c, x: xor(c // 256, tab[1 + xor(c % 256, x)])), 4294967295)"
+
+
+OP13_SQL = rf"""
+WITH {CRC_TABLE},
+turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'k': sha256(strlen(role) || ':' || role || text), 'w': len(regexp_extract_all(text, '[^ 	-]+'))}} ORDER BY turn NULLS FIRST, role, text) AS l FROM turns GROUP BY conv_id),
+heads AS (SELECT conv_id, l, {_crc("list_transform(regexp_extract_all(conv_id::VARCHAR, '.'), lambda x: unicode(x)::BIGINT)")} % 4 AS h FROM own, crc),
+paths AS (SELECT o.conv_id, list_concat(coalesce(b.l[:h], []), o.l[h + 1:]) AS l FROM heads AS o LEFT JOIN own AS b ON b.conv_id = o.conv_id - o.conv_id % 20),
+on_path AS (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS depth FROM paths),
+nodes AS (SELECT depth, list_transform(l[:depth], lambda x: x.k) AS k, any_value(l[depth].w) AS w, count(*) AS n_convs, min(conv_id) AS conv_id,
+                 string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(l) = depth) AS ends FROM on_path GROUP BY 1, 2),
+kids AS (SELECT k[:depth - 1] AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (k)),
+tops AS (SELECT k[:a] AS k, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * coalesce(w, 0)) AS saved_tokens
+         FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM full_nodes) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM full_nodes AS n JOIN tops USING (k) LEFT JOIN full_nodes AS p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.k = n.k[:n.depth - 1]
+"""
+
+SQL = {"op1_decontamination": OP1_SQL, "op7_mixing": OP7_SQL, "op13_prefix_trie": OP13_SQL}
