@@ -1,0 +1,86 @@
+"""Spelling variants against all pairs of a small vocabulary."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+from tradestar.llm import spelling
+from tradestar.llm.queries import op12_spelling_variants
+
+SCHEMA = "doc_id long, text string"
+
+
+def near(a: str, b: str) -> bool:
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(counts: dict):
+    out, form = [], {}
+    for w, n in counts.items():
+        close = [v for v in counts if near(w, v)]
+        best = min(close, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * n else None
+        out.append((w, n, len(close)))
+    rows = []
+    for w, n, k in out:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        rows.append((w, form[w], root, n, k, counts[form[w]] if form[w] else None))
+    return sorted(rows)
+
+
+def brute(docs):
+    counts = Counter()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(lower)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return brute_variants({w: n for w, n in counts.items() if len(w) >= 5 and n >= 3})
+
+
+def test_vocabulary_of_close_words_over_many_blocks(spark):
+    rnd = random.Random(5)
+    for letters, size, block in (("ab", 6, 3), ("abcé", 5, 11), ("abÿ", 7, 100_000)):
+        words = {"".join(rnd.choice(letters) for _ in range(rnd.randint(1, size))): 0 for _ in range(250)}
+        counts = {w: rnd.choice([3, 3, 5, 6, 12, 24, 50, 400]) for w in words}
+        rows = spark.createDataFrame(list(counts.items()), "word string, n long")
+        assert sorted(map(tuple, spelling.variants(rows, block_words=block).collect())) == brute_variants(counts)
+
+
+def test_long_words(spark):
+    long = "x" * 20_000
+    counts = {long: 3, long + "x": 7, long[:-1] + "y": 3, "y" + long[1:]: 20, "abcde": 3, "abcdf": 4, "bcde": 9}
+    rows = spark.createDataFrame(list(counts.items()), "word string, n long")
+    got = {r.word: r for r in spelling.variants(rows, block_words=2).collect()}
+    assert len(got) == len(counts)
+    assert (got[long].form, got[long].n_near, got[long].root) == ("y" + long[1:], 3, "y" + long[1:])
+    assert (got[long + "x"].form, got[long + "x"].n_near) == (None, 1)
+    assert (got["abcde"].form, got["abcde"].n_near) == ("bcde", 2)
+
+
+def test_documents(spark, tmp_dir):
+    rnd = random.Random(2)
+    base = ["planet", "planets", "plannet", "garden", "Garden", "École", "ecole", "école", "mississippi", "missisippi", "abcd", "straße", "strasse"]
+    docs = [(i, " ".join(rnd.choices(base, weights=range(1, 14), k=40)) + "-" + "".join(rnd.choices("ab", k=6))) for i in range(120)]
+    docs += [(None, "planet planet"), (7, None), (8, ""), (9, "1234 ,.;"), (10, "z" * 30_000), (11, "z" * 30_000), (12, "z" * 30_000)] + docs[:20]
+    df = spark.createDataFrame(docs, SCHEMA).selectExpr("*", "'x' as word", "1 as n", "2 as `a.b`", "3 as run")
+    df.write.parquet(f"{tmp_dir}/documents.parquet")
+    assert sorted(map(tuple, op12_spelling_variants(spark, tmp_dir).collect()), key=str) == sorted(brute(docs), key=str)
+
+
+def test_empty(spark, tmp_dir):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_dir}/documents.parquet")
+    assert op12_spelling_variants(spark, tmp_dir).collect() == []

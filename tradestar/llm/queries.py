@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradestar.llm import decontam, langid, licenses, mixing, prefix_trie, simhash, token_store, toxicity, url_filter, warc, weak_quality
+from tradestar.llm import decontam, langid, licenses, mixing, prefix_trie, simhash, spelling, token_store, toxicity, url_filter, warc, weak_quality
 from tradestar.llm.common import read_table
 from tradestar.session import scratch_path
 
@@ -63,6 +63,10 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(spelling.occurrences(read_table(spark, sf, "documents"))))
+
+
 def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.with_shared_heads(prefix_trie.sequences(read_table(spark, sf, "conversations")))).drop("first_rank", "last_rank")
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
@@ -121,7 +126,8 @@ def _crc(list_of_bytes: str) -> str:
 OP13_SQL = rf"""
 WITH {CRC_TABLE},
 turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-own AS (SELECT conv_id, list({{'k': sha256(strlen(role) || ':' || role || text), 'w': len(regexp_extract_all(text, '[^ 	-]+'))}} ORDER BY turn NULLS FIRST, role, text) AS l FROM turns GROUP BY conv_id),
+own AS (SELECT conv_id, list({{'k': sha256(strlen(role) || ':' || role || text), 'w': len(regexp_extract_all(text, '[^ 	-
+]+'))}} ORDER BY turn NULLS FIRST, role, text) AS l FROM turns GROUP BY conv_id),
 heads AS (SELECT conv_id, l, {_crc("list_transform(regexp_extract_all(conv_id::VARCHAR, '.'), lambda x: unicode(x)::BIGINT)")} % 4 AS h FROM own, crc),
 paths AS (SELECT o.conv_id, list_concat(coalesce(b.l[:h], []), o.l[h + 1:]) AS l FROM heads AS o LEFT JOIN own AS b ON b.conv_id = o.conv_id - o.conv_id % 20),
 on_path AS (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS depth FROM paths),
@@ -135,4 +141,21 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
 FROM full_nodes AS n JOIN tops USING (k) LEFT JOIN full_nodes AS p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.k = n.k[:n.depth - 1]
 """
 
-SQL = {"op1_decontamination": OP1_SQL, "op7_mixing": OP7_SQL, "op13_prefix_trie": OP13_SQL}
+_BYTES = "list_concat(list_transform(regexp_extract_all(coalesce(doc_id::VARCHAR, '') || ':', '.'), lambda x: unicode(x)::BIGINT), flatten(list_transform(regexp_extract_all(run, '.'), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END)))"
+OP12_SQL = rf"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2),
+hashed AS (SELECT run, n, {_crc(_BYTES)} AS h FROM runs, crc),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+skips AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
+parts AS (SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM skips),
+less AS (SELECT DISTINCT parts.word AS longer, parts.n AS longer_n, words.word AS shorter, words.n AS shorter_n FROM parts JOIN words ON words.word = a || b),
+near AS (SELECT x.word AS w, y.word AS v, y.n AS vn FROM parts AS x JOIN parts AS y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+         UNION ALL SELECT longer, shorter, shorter_n FROM less UNION ALL SELECT shorter, longer, longer_n FROM less),
+ranked AS (SELECT w, v, vn, count(*) OVER (PARTITION BY w) AS n_near, row_number() OVER (PARTITION BY w ORDER BY vn DESC, v) AS place FROM near),
+found AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN vn >= 2 * n THEN v END AS form, CASE WHEN vn >= 2 * n THEN vn END AS form_n FROM words LEFT JOIN ranked ON w = word AND place = 1),
+chain AS (SELECT word, word AS root, 0 AS steps FROM found UNION ALL SELECT chain.word, found.form, steps + 1 FROM chain JOIN found ON found.word = chain.root WHERE found.form IS NOT NULL)
+SELECT word, form, root, n, n_near, form_n FROM found JOIN (SELECT word, max_by(root, steps) AS root FROM chain GROUP BY word) USING (word)
+"""
+
+SQL = {"op1_decontamination": OP1_SQL, "op7_mixing": OP7_SQL, "op12_spelling_variants": OP12_SQL, "op13_prefix_trie": OP13_SQL}
