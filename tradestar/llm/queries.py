@@ -46,8 +46,7 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 def token_records(spark: SparkSession, docs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "token_store")
-    token_store.write_store(docs, path, tokenizer_path(), added_tokens=True)
-    return token_store.scan(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_store.write_store(docs, path, tokenizer_path(), added_tokens=True).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op8_token_store(spark: SparkSession, sf: str) -> DataFrame:

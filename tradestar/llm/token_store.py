@@ -5,13 +5,13 @@ segments: the raw ids of its documents (little-endian, 16 bits if the vocabulary
 fits, else 32; an end id after each document), then the segment's index and a
 footer.  The index is a minimal perfect hash of the segment's keys with a stored
 fingerprint for each key, and maps a key to its records' places among the raw ids in
-constant time.  Files are written by Spark's own writer (a task that is repeated
+constant time: a look-up reads one block of bits of a level or more, a fingerprint, and the record itself,
+of the one segment whose range of keys holds the key.  Files are written by Spark's own writer (a task that is repeated
 leaves one copy) and read by Spark's own reader, so any store that Spark reaches
 will do; a directory of one row per file routes a key to its file.
 
-With a byte-level vocabulary, text goes to the tokenizer by pieces between lone
-spaces, where the vocabulary's splitting never joins two pieces, and a worker
-encodes equal pieces once.  Any other vocabulary gets whole texts.
+Pre-tokens are found by array operations over a batch of texts, and each different
+one is encoded once (``encoding.py``).
 
 A text may hold the string of one of the vocabulary's added tokens.  With
 ``added_tokens`` that string has its own id, as in a plain ``encode``, and such a text
@@ -24,13 +24,11 @@ together, ordered by a hash of the text; a null key stands first and is found by
 
 from __future__ import annotations
 
-import struct
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradestar.llm import mph
-from tradestar.llm.common import bytes_of
+from tradestar.llm.encoding import PieceEncoder
 from tradestar.session import materialize
 
 END_ID = 2
@@ -38,117 +36,12 @@ END_ID = 2
 SHARD_BYTES = 32_000_000
 SEGMENT_BYTES = 8_000_000
 SHARD_DOCS = 1_000_000
-#: Pieces that a generation of a Python worker's memory holds (and those of one batch beyond it).
-PIECES_KEPT = 170_000
 #: Documents encoded at a time.
-AT_ONCE = 200
+AT_ONCE = 2_000
 MAGIC = b"TSIDS001"
 FOOTER = 32
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself if it is printable, else one from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
-class Remembered:
-    """Ids by piece, in two generations: a piece in use moves on, the others go with the older one."""
-
-    def __init__(self):
-        self.young, self.old = {}, {}
-
-    def age(self) -> None:
-        if len(self.young) > PIECES_KEPT:
-            self.young, self.old = {}, self.young
-
-    def get(self, piece: str) -> bytes | None:
-        found = self.young.get(piece)
-        if found is None and (found := self.old.get(piece)) is not None:
-            self.young[piece] = found
-        return found
-
-
-class PieceEncoder:
-    """Ids of texts as raw bytes, encoding each different piece once."""
-
-    #: Beyond this letter the library itself splits a piece, so that its own Unicode tables hold.
-    LATIN = "\u024f"
-
-    def __init__(self, path: str, added_tokens: bool = False):
-        import sys
-        from types import ModuleType
-
-        import regex
-        from tokenizers import Tokenizer, models, pre_tokenizers
-
-        # a worker process serves many tasks: what it has learned stays in a module of its own
-        kept = sys.modules.setdefault("_token_store_worker", ModuleType("_token_store_worker")).__dict__
-        if (path, added_tokens) not in kept:
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = not added_tokens  # True: their strings in a text are ordinary text
-            split = tokenizer.pre_tokenizer
-            simple = isinstance(tokenizer.model, models.BPE) and tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space and split.use_regex
-            kept[path, added_tokens] = (tokenizer, simple, Remembered(), Remembered(), Remembered())
-        self.tokenizer, self.simple, self.first, self.later, self.parts = kept[path, added_tokens]
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
-        self.model = self.tokenizer.model
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.letters = _byte_letters()
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        # white space other than the space and the line feed, by any of the definitions
-        self.odd = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace() and chr(c) not in " \n"]
-
-    def raw(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
-
-    def pieces(self, text: str) -> list[str]:
-        import re
-
-        found = text.split(" ")
-        if "" in found or "\n " in text or " \n" in text or any(c in text for c in self.odd):
-            found = re.split(r"(?<=\S) (?=\S)", text)
-        return found
-
-    def part(self, text: str) -> bytes:
-        """Ids of a piece of text that the vocabulary does not split further."""
-        found = self.parts.get(text)
-        if found is None:
-            letters = text.encode().decode("latin-1").translate(self.letters)
-            found = self.parts.young[text] = self.raw([t.id for t in self.model.tokenize(letters)])
-        return found
-
-    def piece(self, text: str) -> bytes:
-        if text and max(text) > self.LATIN:
-            return self.raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.part, self.split(text)))
-
-    def _learn(self, known: Remembered, wanted: set, lead: str) -> None:
-        known.age()
-        self.parts.age()
-        for p in wanted:
-            if known.get(p) is None:
-                # most pieces are one word
-                known.young[p] = self.part(lead + p) if p.isalpha() and max(p) <= self.LATIN else self.piece(lead + p)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.simple:
-            return [self.raw(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        whole = {i: self.raw(self.tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        if whole:
-            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
-            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
-        split = [self.pieces(t) for t in texts]
-        self._learn(self.first, {p[0] for p in split}, "")
-        tails = set()
-        for p in split:
-            tails.update(p[1:])
-        self._learn(self.later, tails, " ")
-        first, get = self.first.young, self.later.young.__getitem__
-        return [first[p[0]] + b"".join(map(get, p[1:])) for p in split]
-
-
 def pack_segment(keys, payloads: list[bytes], end: bytes) -> bytes:
     """One segment.  ``keys``: sorted, None first."""
     import numpy as np
@@ -162,8 +55,8 @@ def pack_segment(keys, payloads: list[bytes], end: bytes) -> bytes:
     marks[at], firsts[at], counts[at] = mph.fingerprint(each), first + nulls, count
     body = end.join([*payloads, b""])
     starts = np.cumsum([0, *(len(p) // len(end) + 1 for p in payloads)]).astype("<u8")
-    head = np.array([len(keys), nulls, len(each), len(levels), len(end), *(w for w, _ in levels)], dtype="<u8")
-    index = b"".join([head.tobytes(), *(b.tobytes() for _, b in levels), marks.tobytes(), firsts.tobytes(), counts.tobytes(), starts.tobytes(), known.astype("<i8").tobytes()])
+    head = np.array([len(keys), nulls, len(each), len(levels), len(end), *(w for w, _, _ in levels)], dtype="<u8")
+    index = b"".join([head.tobytes(), *(b.tobytes() + r.tobytes() for _, b, r in levels), marks.tobytes(), firsts.tobytes(), counts.tobytes(), starts.tobytes(), known.astype("<i8").tobytes()])
     return body + index + MAGIC + np.array([len(body), len(index), len(body) + len(index) + FOOTER], dtype="<u8").tobytes()
 
 
@@ -181,25 +74,37 @@ class Segment:
         at += 40 + 8 * n_levels
         self.levels = []
         for w in widths:
-            self.levels.append((w, np.frombuffer(data, np.uint8, -(-w // 8), at)))
-            at += -(-w // 8)
+            blocks = -(-w // mph.BLOCK)
+            bits = blocks * mph.BLOCK // 8
+            self.levels.append((w, np.frombuffer(data, np.uint8, bits, at), np.frombuffer(data, "<u8", blocks, at + bits)))
+            at += bits + 8 * blocks
+        # views of the file: nothing is copied or widened here
         self.marks = np.frombuffer(data, "<u4", n, at)
-        self.firsts, self.counts = np.frombuffer(data, "<u8", n, at + 4 * n).astype(np.int64), np.frombuffer(data, "<u8", n, at + 12 * n).astype(np.int64)
-        self.starts = np.frombuffer(data, "<u8", self.records + 1, at + 20 * n).astype(np.int64)
+        self.firsts, self.counts = np.frombuffer(data, "<i8", n, at + 4 * n), np.frombuffer(data, "<i8", n, at + 12 * n)
+        self.starts = np.frombuffer(data, "<i8", self.records + 1, at + 20 * n)
         self.keys = np.frombuffer(data, "<i8", self.records - self.nulls, at + 20 * n + 8 * (self.records + 1))
         begin = end - self.size
         self.ids = np.frombuffer(data, f"<u{self.width}", self.body // self.width, begin)
 
     def find(self, keys):
-        """(found, first record, number of records) of each key."""
+        """(found, first record, number of records) of each key.
+
+        The fingerprint turns other keys away; the key of the record itself settles the one in 2^32 that it lets through.
+        """
         import numpy as np
 
+        found, first, count = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         if not len(self.marks):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        slot = np.maximum(mph.slots(self.levels, keys), 0)
-        first = self.firsts[slot]
-        found = (self.marks[slot] == mph.fingerprint(keys)) & (self.keys[first - self.nulls] == keys)
-        return found, first, self.counts[slot]
+            return found, first, count
+        here = np.flatnonzero((keys >= self.keys[0]) & (keys <= self.keys[-1]))
+        slot = np.maximum(mph.slots(self.levels, keys[here]), 0)
+        same = self.marks[slot] == mph.fingerprint(keys[here])
+        here, slot = here[same], slot[same]
+        at = self.firsts[slot]
+        same = self.keys[at - self.nulls] == keys[here]
+        here, slot = here[same], slot[same]
+        found[here], first[here], count[here] = True, self.firsts[slot], self.counts[slot]
+        return found, first, count
 
 
 def segments(data) -> list[Segment]:
@@ -211,8 +116,11 @@ def segments(data) -> list[Segment]:
     return out[::-1]
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, segment_bytes: int = SEGMENT_BYTES, added_tokens: bool = False) -> None:
-    """Write the ids of all documents in ascending ``id_col`` order to ``path``/ids, and the directory to ``path``/directory."""
+def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, segment_bytes: int = SEGMENT_BYTES, added_tokens: bool = False) -> DataFrame:
+    """Write the ids of all documents in ascending ``id_col`` order to ``path``/ids, and the directory to ``path``/directory.
+
+    Returns the records as read back from the files for the directory, see :func:`scan`.
+    """
     size, rows = docs.agg(F.sum(F.octet_length(text_col)), F.count("*")).first()
     shards = max(1, -(-(size or 0) // shard_bytes), -(-rows // SHARD_DOCS))
     tie = F.xxhash64("text")
@@ -242,11 +150,17 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
 
     # the text writer puts the bytes of a string down as they are
     dealt.mapInArrow(run, "segment binary").select(F.col("segment").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/ids")
-    found = scan(docs.sparkSession, path, with_start=False)
+    found = materialize(_files(docs.sparkSession, [f"{path}/ids"]).mapInArrow(_reading(), _RECORD), "token_records")
     each = found.groupBy("file").agg(F.first("name").alias("name"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.sum("n_tokens").alias("n_ids"))
     # one row for each file of about shard_bytes of text
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     each.withColumn("base", before).write.parquet(f"{path}/directory")
+    return _with_start(found, path)
+
+
+def _with_start(found: DataFrame, path: str) -> DataFrame:
+    base = found.sparkSession.read.parquet(f"{path}/directory").select("file", "base")
+    return found.join(base, "file").withColumn("start", F.col("base") + F.col("offset"))
 
 
 def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -278,8 +192,7 @@ def _reading(wanted=None, with_ids: bool = False):
                     if wanted is None:
                         record = np.concatenate([np.arange(s.nulls), record])
                     lo, hi = s.starts[record], s.starts[record + 1]
-                    wide = s.ids.astype("<u4")
-                    raw = memoryview(wide).cast("B")
+                    spans = [s.ids[a:b].astype("<u4") for a, b in zip(lo.tolist(), hi.tolist())]
                     keys = [None if r < s.nulls else int(s.keys[r - s.nulls]) for r in record.tolist()]
                     columns = [
                         pa.array([number] * len(record), pa.int64()),
@@ -287,11 +200,11 @@ def _reading(wanted=None, with_ids: bool = False):
                         pa.array(keys, pa.int64()),
                         pa.array(base + lo, pa.int64()),
                         pa.array(hi - lo, pa.int64()),
-                        pa.array([crc32(raw[4 * a : 4 * b]) for a, b in zip(lo.tolist(), hi.tolist())], pa.int64()),
+                        pa.array(map(crc32, spans), pa.int64()),
                     ]
                     names = ["file", "name", "doc_id", "offset", "n_tokens", "ids_crc32"]
                     if with_ids:
-                        columns.append(pa.array([wide[a:b].astype(np.int64) for a, b in zip(lo, hi)], pa.list_(pa.int64())))
+                        columns.append(pa.array([x.astype(np.int64) for x in spans], pa.list_(pa.int64())))
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(columns, names=names)
                     base += len(s.ids)
@@ -299,13 +212,9 @@ def _reading(wanted=None, with_ids: bool = False):
     return run
 
 
-def scan(spark: SparkSession, path: str, with_start: bool = True) -> DataFrame:
+def scan(spark: SparkSession, path: str) -> DataFrame:
     """Every record, read back from the files: file, name, doc_id, offset in the file, n_tokens, ids_crc32, and start among all ids."""
-    found = _files(spark, [f"{path}/ids"]).mapInArrow(_reading(), _RECORD)
-    if not with_start:
-        return materialize(found, "token_records")
-    base = spark.read.parquet(f"{path}/directory").select("file", "base")
-    return found.join(base, "file").withColumn("start", F.col("base") + F.col("offset"))
+    return _with_start(_files(spark, [f"{path}/ids"]).mapInArrow(_reading(), _RECORD), path)
 
 
 def lookup(spark: SparkSession, path: str, keys: list[int]) -> DataFrame:
