@@ -69,20 +69,24 @@ class Remembered:
 class PieceEncoder:
     """Ids of texts by the vocabulary file at ``path``, little-endian, 16 bits if the vocabulary fits, else 32."""
 
-    def __init__(self, path: str, added_tokens: bool = False):
+    def __new__(cls, path: str, added_tokens: bool = False):
         import sys
         from types import ModuleType
 
+        # a worker process serves many tasks: an encoder and what it has learned stay in a module of its own
+        kept = sys.modules.setdefault("_token_worker", ModuleType("_token_worker")).__dict__
+        if (path, added_tokens) not in kept:
+            made = super().__new__(cls)
+            made._open(path, added_tokens)
+            kept[path, added_tokens] = made
+        return kept[path, added_tokens]
+
+    def _open(self, path: str, added_tokens: bool) -> None:
         import numpy as np
         from tokenizers import Tokenizer, models
 
-        # a worker process serves many tasks: what it has learned stays in a module of its own
-        kept = sys.modules.setdefault("_token_worker", ModuleType("_token_worker")).__dict__
-        if (path, added_tokens) not in kept:
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = not added_tokens  # True: their strings in a text are ordinary text
-            kept[path, added_tokens] = (tokenizer, Remembered())
-        self.tokenizer, self.memory = kept[path, added_tokens]
+        self.tokenizer, self.memory = Tokenizer.from_file(path), Remembered()
+        self.tokenizer.encode_special_tokens = not added_tokens  # True: their strings in a text are ordinary text
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"

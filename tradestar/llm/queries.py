@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradestar.llm import decontam, langid, licenses, mixing, prefix_trie, simhash, spelling, token_store, toxicity, url_filter, warc, weak_quality
+from tradestar.llm import decontam, langid, licenses, mixing, packing, prefix_trie, simhash, spelling, token_store, toxicity, url_filter, warc, weak_quality
 from tradestar.llm.common import read_table
 from tradestar.session import scratch_path
 
@@ -62,6 +63,17 @@ def op10_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"), "component_id")
 
 
+def packing_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    packed = packing.pack_texts(read_table(spark, sf, "documents"), packing_tokenizer_path())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(spelling.occurrences(read_table(spark, sf, "documents"))))
 
@@ -81,6 +93,7 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_quality_rules": op9_quality_rules,
     "op10_simhash": op10_simhash,
+    "op11_packing": op11_packing,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_prefix_trie": op13_prefix_trie,
 }
