@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from tradestar.functions.coerce import is_positive_number, to_decimal, to_timestamp_ntz
 from tradestar.schemas import BRONZE_COLUMNS, QTY_STAGE, RATE_STAGE, VALUE_STAGE
 
-# Fixed value: decimals that the comparison by value keeps.
-EXACT_DECIMALS = 10
-
 TRANSACTION_COLUMNS = BRONZE_COLUMNS["transacoes"]
 FX_ORDER = ["data", "taxa_cambio", "moeda_origem", "moeda_destino"]
 
@@ -40,15 +37,21 @@ def valid_transactions(t: DataFrame) -> DataFrame:
     return t.select(*TRANSACTION_COLUMNS).filter(present & positive)
 
 
-def _by_value(c: Column) -> Column:
-    """The number's one spelling; the text as it is if the cast would round or overflow."""
-    text = F.trim(c)
-    decimals = F.length(F.regexp_replace(F.regexp_extract(text, "[.]([0-9]*)", 1), "0+$", ""))
-    power = F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    # an exponent of four digits or more is beyond both, and may be beyond an integer
-    huge = text.rlike("[eE][+-]?0*[0-9]{4,}$")
-    value = F.when((decimals - power <= EXACT_DECIMALS) & ~huge, text.try_cast(f"decimal(38,{EXACT_DECIMALS})").cast("string"))
-    return F.coalesce(value, c)
+def by_value(c: Column) -> Column:
+    """One spelling for every positive number, however long: its digits without zeros at either end, ``e``, the power of ten.
+
+    Works on the text alone (``1e2``, ``+100.0`` and ``0.1E+3`` are ``1e2``), so no width of a
+    decimal type limits it and nothing is rounded.  The text is a plain numeric literal
+    (see :func:`is_positive_number`); ``try_cast`` reads the spelling as a number again.
+    """
+    text = F.upper(F.trim(c))
+    mantissa = F.ltrim(F.substring_index(text, "E", 1), F.lit("+"))
+    # the cast is costly where it fails: only texts with an exponent get there
+    power = F.when(text.contains("E"), F.substring_index(text, "E", -1).try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    decimals = F.when(mantissa.contains("."), F.length(F.substring_index(mantissa, ".", -1))).otherwise(0)
+    digits = F.ltrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
+    bare = F.rtrim(digits, F.lit("0"))
+    return F.concat(bare, F.lit("e"), (power - decimals + F.length(digits) - F.length(bare)).cast("string"))
 
 
 def clean_transacoes(t: DataFrame) -> DataFrame:
@@ -57,10 +60,9 @@ def clean_transacoes(t: DataFrame) -> DataFrame:
 
     The validity filter is a per-row predicate, so running it before the
     duplicate removal gives the same rows and shuffles less.  Numbers are
-    compared by value (``100.0`` and ``100.00`` are one); a number written with
-    more than ten decimals or 28 digits is compared as text.
+    compared by value (``100.0`` and ``100.00`` are one), at any length and power.
     """
-    exact = {c: _by_value(F.col(c)) for c in ("valor_monetario", "quantidade")}
+    exact = {c: by_value(F.col(c)) for c in ("valor_monetario", "quantidade")}
     deduped = valid_transactions(t).withColumns(exact).dropDuplicates()
     return deduped.select(
         "id",

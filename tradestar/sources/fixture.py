@@ -82,6 +82,13 @@ where k % 20 = 0
 union all
 select id, tipo_id, pais_origem, pais_destino, produto_id, concat(valor_monetario, '0'), concat(quantidade, '.0'), transporte_id, cambio_id from base
 where k % 20 = 10 and valor_monetario <> 'x'
+union all
+select id, tipo_id, pais_origem, pais_destino, produto_id, v, q, transporte_id, case when v = '99999999999999.50' then cambio_id else -cambio_id end
+from base, (select '1E100' v, '1' q union all select '10E99', '1.0' union all select '100e+98', '10E-1'
+            union all select '1.00000000001', '5' union all select '1.00000000002', '5' union all select '100000000001e-11', '005.'
+            union all select '.5', '2' union all select '0.50000', '2' union all select '12345678901234567890123456789012345678901', '1'
+            union all select '1234567890123456789012345678901234567890.1e1', '1' union all select '99999999999999.50', '1') odd
+where k % 200 = 5
 """,
 }
 
