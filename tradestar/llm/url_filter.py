@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradestar.llm.common import ascii_lower, let, without
-from tradestar.session import materialize
+from tradestar.session import materialize, scratch_path
 
 FEATURES = 1 << 14
 GRAMS = (3, 4, 5)
@@ -111,14 +111,18 @@ def features(df: DataFrame, host: str = "host", path: str = "path") -> DataFrame
 
 def train(labelled: DataFrame, max_train: int = MAX_TRAIN):
     """A fitted model from ``(host, path, verdict)``, or the one verdict there is."""
-    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 
     distinct = labelled.select("host", "path", F.when(F.col("verdict") == BLOCK, 1.0).otherwise(0.0).alias("label")).distinct()
     sample = materialize(distinct.orderBy(F.xxhash64("host", "path", "label"), "host", "path", "label").limit(max_train), "url_labels")
     kinds = sorted(r[0] for r in sample.select("label").distinct().collect())
     if len(kinds) < 2:
         return BLOCK if kinds == [1.0] else ALLOW
-    return LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_label", regParam=0.002, maxIter=60).fit(features(sample))
+    fitted = LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_label", regParam=0.002, maxIter=60).fit(features(sample))
+    # a model read back has no training summary, which holds the session and keeps tasks from being sent
+    path = scratch_path(labelled.sparkSession, "url_model")
+    fitted.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
