@@ -4,21 +4,19 @@
 through one task (a plain ``row_number()`` over an unpartitioned window
 plans ``Exchange SinglePartition``):
 
-1. range-partition and sort by the order; record each row's partition index
-   and its ``monotonically_increasing_id`` (partition index in the upper
-   bits, row index in the lower 33), and write the result as a Parquet
-   table in the checkpoint folder.  Range bounds are sampled, so a
-   recomputation could move rows between partitions: the counted rows and
-   the numbered rows must be the same stored rows.  The written table also
-   cuts the lineage (an executor loss does not recompute the joins above it),
-   and later readers get column pruning;
-2. count rows per stored partition index (reads two small columns; one row
-   per partition reaches the next step) and turn the counts into running
-   offsets;
-3. key = offset of the partition + stored position inside it.
-
-Rows to be numbered may be restricted with ``keep``: they are sorted ahead
-of the others in every partition, so their positions stay dense and one
+1. the rows are written once, so that whatever made them (joins, duplicate
+   removal) runs once: the sampling of the range bounds reads the stored rows.
+   Rows that are a plain file scan already skip this step (``stored``);
+2. they are range-partitioned and sorted by the order and written again: one
+   file for each range, named in range order.  The written files also cut the
+   lineage, and later readers get column pruning;
+3. the rows of each file are counted (one row per file goes on), and a row's
+   key is the number of rows in the files before plus its place in its own
+   file, which Parquet readers know (``_metadata.row_index``): no position is
+   stored with the rows.
+
+Rows to be numbered may be restricted with ``keep``: in each file they are
+sorted ahead of the others, so their places stay dense and one
 materialisation also serves the rejected rows (quarantine, audit).
 
 When the caller has *measured* the row count and it is at most
@@ -35,19 +33,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tradestar.session import materialize
+from tradestar.session import materialize, release
 
-_PID = "_ts_pid"
-_MID = "_ts_mid"
+_FILE = "_ts_file"
+_ROW = "_ts_row"
 _KEEP = "_ts_keep"
-_ROW_BITS = 33  # lower bits of monotonically_increasing_id hold the row index
 
 # Largest measured row count numbered in a single task.
 SMALL_KEY_ROWS = 1_000_000
 
-# Default bound for broadcasting a dimension lookup: (key, sk) pairs are a
-# few dozen bytes, so 2M rows stay well below a 100 MB broadcast.
+# Default bounds for broadcasting a dimension lookup: rows, and the bytes that so
+# many rows of its schema can take at most.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 128 << 20
+# Longest text of the warehouse (VARCHAR(255)) in UTF-8.
+_TEXT_BYTES = 4 * 255
 
 
 def _sort_cols(order: list[str | Column]) -> list[Column]:
@@ -62,6 +62,7 @@ def dense_key(
     rows: int | None = None,
     small_rows: int = SMALL_KEY_ROWS,
     observe: tuple[Observation, list[Column]] | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """``df`` plus ``key_name`` = 1..n in ``order`` (NULL for rows not kept).
 
@@ -69,8 +70,8 @@ def dense_key(
     unspecified but equal-valued arrangement.  ``rows`` is a measured row
     count of ``df`` (see :func:`count_rows`), enabling the small path up to
     ``small_rows`` rows.  ``observe`` = (observation, metric columns) is
-    attached *after* the range exchange: below it, the sampling job that
-    computes the range bounds would feed the metrics a second time.
+    collected while the rows are first written.  ``stored`` says that ``df`` is a scan
+    of files, which is sampled and read again as it is.
     """
     if keep is None and rows is not None and rows <= small_rows:
         window = Window.orderBy(*_sort_cols(order))
@@ -80,22 +81,25 @@ def dense_key(
         return df.withColumn(key_name, F.row_number().over(window).cast("long")).persist()
     keep_expr = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with_keep = df.withColumn(_KEEP, keep_expr)
-    # kept rows first in the global order, hence first in every partition
-    sort = [F.col(_KEEP).desc()] + _sort_cols(order)
-    ranged = with_keep.repartitionByRange(*sort).sortWithinPartitions(*sort)
     if observe is not None:
-        ranged = ranged.observe(observe[0], *observe[1])
-    located = ranged.select("*", F.spark_partition_id().alias(_PID), F.monotonically_increasing_id().alias(_MID))
-    stored = materialize(located, f"dense_key_{key_name}")
-
-    counts = stored.filter(F.col(_KEEP)).groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), _ROW_BITS)
-    numbered = stored.join(F.broadcast(offsets), _PID, "left").withColumn(
-        key_name, F.when(F.col(_KEEP), F.col("_off") + local + 1).cast("long")
-    )
-    return numbered.drop(_PID, _MID, "_off", _KEEP)
+        with_keep = with_keep.observe(observe[0], *observe[1])
+    once = with_keep if stored and observe is None else materialize(with_keep, f"unnumbered_{key_name}")
+    order_by = _sort_cols(order)
+    # kept rows first in every file
+    ranged = once.repartitionByRange(*order_by).sortWithinPartitions(F.col(_KEEP).desc(), *order_by)
+    written = materialize(ranged, f"dense_key_{key_name}")
+    if once is not with_keep:
+        release(once)
+    located = written.select("*", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_ROW))
+
+    counts = located.groupBy(_FILE).agg(F.count_if(F.col(_KEEP)).alias("_n"))
+    # files are named by range; a range written as several files numbers those, too
+    place = [F.regexp_extract(_FILE, r"part-(\d+)", 1).cast("long"), F.col(_FILE)]
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_FILE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # one row for each file
+    numbered = located.join(F.broadcast(offsets), _FILE, "left").withColumn(key_name, F.when(F.col(_KEEP), F.col("_off") + F.col(_ROW) + 1).cast("long"))
+    return numbered.drop(_FILE, _ROW, "_off", _KEEP)
 
 
 def count_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
@@ -108,16 +112,21 @@ def count_rows(frames: dict[str, DataFrame]) -> dict[str, int]:
     return {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, parts).collect()}
 
 
+def most_bytes(df: DataFrame, rows: int) -> int:
+    """Bytes that ``rows`` rows of the frame's columns can take at most (texts of the warehouse's lengths)."""
+    return rows * sum(_TEXT_BYTES if f.dataType.typeName() == "string" else 16 for f in df.schema.fields)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is at most ``max_rows``.
+    """Broadcast ``df`` only when its row count is at most ``max_rows`` and its bytes within ``BROADCAST_BYTES``.
 
     ``rows`` is a measured upper bound of the row count (e.g. the count of
     the dimension a lookup is derived from); without it the frame is
-    counted.  Above the bound the frame is returned unchanged and the
-    planner (with AQE) chooses a shuffled join, splitting skewed partitions.
+    counted.  Above the bounds the frame is returned unchanged and the
+    planner (with AQE) chooses the join, splitting skewed partitions.
     """
     n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows and most_bytes(df, n) <= BROADCAST_BYTES else df
 
 
 def lookup_frame(dim: DataFrame, natural_key: str, sk: str, alias_key: str | None = None, extra: list[str] | None = None) -> DataFrame:

@@ -69,7 +69,8 @@ def dim_paises(
     return role("origem"), role("destino")
 
 
-def base_categoria(spark: SparkSession, categorias: DataFrame | None) -> DataFrame:
+def base_categoria(spark: SparkSession, categorias: DataFrame | None, unknown_member: bool = False) -> DataFrame:
+    """Categories before keys; with ``unknown_member`` also ``(0, SEM_CATEGORIA)``, if no category has id 0."""
     if categorias is None:
         base = spark.createDataFrame(
             [(0, NO_CATEGORY)],
@@ -84,6 +85,9 @@ def base_categoria(spark: SparkSession, categorias: DataFrame | None) -> DataFra
         base = categorias.select(
             F.col("id").alias("id_categoria_produto"), F.col("descricao").alias("descricao_categoria_produto")
         ).distinct()
+        if unknown_member:
+            zero = spark.range(1).select(F.col("id").alias("id_categoria_produto"), F.lit(NO_CATEGORY).alias("descricao_categoria_produto"))
+            base = base.unionByName(zero.join(base.filter("id_categoria_produto = 0"), "id_categoria_produto", "left_anti"))
     return base
 
 

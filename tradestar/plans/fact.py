@@ -56,7 +56,8 @@ def fx_join(transacoes_clean: DataFrame, fx_clean: DataFrame) -> DataFrame:
     """Transactions with their FX row (left join on ``cambio_id``) and the
     converted value ``valor x taxa`` (exact decimal product, unrounded rate).
 
-    ``fx_clean`` may carry a broadcast hint (see :func:`bounded_broadcast`).
+    ``fx_clean`` may carry the keys of its own date and currencies (see
+    :func:`key_fx`) and a broadcast hint (see :func:`bounded_broadcast`).
     """
     t = transacoes_clean.select(
         F.col("id").alias("id_transacao"),
@@ -69,68 +70,75 @@ def fx_join(transacoes_clean: DataFrame, fx_clean: DataFrame) -> DataFrame:
         "transporte_id",
         "cambio_id",
     )
-    fx = fx_clean.select(
-        F.col("id").alias("cambio_id"), "data", "moeda_origem", "moeda_destino", "taxa_cambio"
-    )
+    fx = fx_clean.withColumnRenamed("id", "cambio_id")
     joined = t.join(fx, "cambio_id", "left")
     return joined.withColumn(
         "valor_convertido", F.col("valor_monetario_transacao") * F.col("taxa_cambio")
     ).withColumn("_fx_ok", F.col("data").isNotNull() & F.col("taxa_cambio").isNotNull())
 
 
+def key_fx(fx_clean: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, bounds: dict[str, int] | None = None) -> DataFrame:
+    """The FX table with the keys that depend on it alone: time and both currencies.
+
+    Attached once per FX row, not once per transaction, and a transaction without
+    an FX row has no NULL key to look up.
+    """
+    b = bounds or {}
+    keyed = fx_clean
+    for dim, natural, sk, column in (
+        ("dim_tempo", "data", "sk_tempo", "data"),
+        ("dim_moeda_origem", "id_moeda_origem", "sk_moeda_origem", "moeda_origem"),
+        ("dim_moeda_destino", "id_moeda_destino", "sk_moeda_destino", "moeda_destino"),
+    ):
+        keyed = keyed.join(bounded_broadcast(lookup_frame(dims[dim], natural, sk, column), max_broadcast_rows, rows=b.get(dim)), column, "left")
+    return keyed.select("id", "data", "moeda_origem", "moeda_destino", "taxa_cambio", "sk_tempo", "sk_moeda_origem", "sk_moeda_destino")
+
+
 def key_lookups(
-    dims: dict[str, DataFrame], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, bounds: dict[str, int] | None = None
+    dims: dict[str, DataFrame],
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    bounds: dict[str, int] | None = None,
+    unknown_member: bool = False,
 ) -> dict[str, DataFrame]:
-    """Slim ``natural key -> sk`` frames, size-checked for broadcast.
+    """Slim ``natural key -> sk`` frames of the transaction's own keys, size-checked for broadcast.
 
     ``bounds`` are measured row counts of the dimensions (a lookup has at
     most as many rows as its dimension); a dimension without a bound is
     counted.  The product lookup also carries the category key (product ->
-    category id -> category sk), so two fact keys cost one join.
+    category id -> category sk), so two fact keys cost one join.  With
+    ``unknown_member`` a category id that the dimension does not hold falls back
+    to its id-0 member.
     """
     b = bounds or {}
     cat = lookup_frame(dims["dim_categoria_produto"], "id_categoria_produto", "sk_categoria_produto")
     prod = lookup_frame(dims["dim_produto"], "id_produto", "sk_produto", extra=["id_categoria_produto"])
-    prod = prod.join(cat, "id_categoria_produto", "left").select(
-        F.col("id_produto").alias("produto_id"), "sk_produto", "sk_categoria_produto"
-    )
+    prod = prod.join(cat, "id_categoria_produto", "left")
+    if unknown_member:
+        unknown = cat.filter(F.col("id_categoria_produto") == 0).select(F.col("sk_categoria_produto").alias("_unknown"))
+        # one row: the id-0 member
+        prod = prod.join(F.broadcast(unknown), F.lit(True), "left").withColumn("sk_categoria_produto", F.coalesce("sk_categoria_produto", "_unknown"))
+    prod = prod.select(F.col("id_produto").alias("produto_id"), "sk_produto", "sk_categoria_produto")
     frames = {
-        "tempo": lookup_frame(dims["dim_tempo"], "data", "sk_tempo"),
-        "pais_origem": lookup_frame(dims["dim_pais_origem"], "id_pais_origem", "sk_pais_origem", "pais_origem"),
-        "pais_destino": lookup_frame(dims["dim_pais_destino"], "id_pais_destino", "sk_pais_destino", "pais_destino"),
-        "produto": prod,
-        "moeda_origem": lookup_frame(dims["dim_moeda_origem"], "id_moeda_origem", "sk_moeda_origem", "moeda_origem"),
-        "moeda_destino": lookup_frame(dims["dim_moeda_destino"], "id_moeda_destino", "sk_moeda_destino", "moeda_destino"),
-        "tipo": lookup_frame(dims["dim_tipo_transacao"], "id_tipo_transacao", "sk_tipo_transacao", "tipo_id"),
-        "transporte": lookup_frame(dims["dim_transporte"], "id_transporte", "sk_transporte", "transporte_id"),
-    }
-    dim_of = {
-        "tempo": "dim_tempo",
-        "pais_origem": "dim_pais_origem",
-        "pais_destino": "dim_pais_destino",
-        "produto": "dim_produto",
-        "moeda_origem": "dim_moeda_origem",
-        "moeda_destino": "dim_moeda_destino",
-        "tipo": "dim_tipo_transacao",
-        "transporte": "dim_transporte",
+        "pais_origem": (lookup_frame(dims["dim_pais_origem"], "id_pais_origem", "sk_pais_origem", "pais_origem"), "dim_pais_origem"),
+        "pais_destino": (lookup_frame(dims["dim_pais_destino"], "id_pais_destino", "sk_pais_destino", "pais_destino"), "dim_pais_destino"),
+        "produto": (prod, "dim_produto"),
+        "tipo": (lookup_frame(dims["dim_tipo_transacao"], "id_tipo_transacao", "sk_tipo_transacao", "tipo_id"), "dim_tipo_transacao"),
+        "transporte": (lookup_frame(dims["dim_transporte"], "id_transporte", "sk_transporte", "transporte_id"), "dim_transporte"),
     }
-    return {k: bounded_broadcast(v, max_broadcast_rows, rows=b.get(dim_of[k])) for k, v in frames.items()}
+    return {k: bounded_broadcast(df, max_broadcast_rows, rows=b.get(dim)) for k, (df, dim) in frames.items()}
 
 
 _LOOKUP_KEYS = {
-    "tempo": "data",
     "pais_origem": "pais_origem",
     "pais_destino": "pais_destino",
     "produto": "produto_id",
-    "moeda_origem": "moeda_origem",
-    "moeda_destino": "moeda_destino",
     "tipo": "tipo_id",
     "transporte": "transporte_id",
 }
 
 
 def stage_fact(joined: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
-    """Every cleaned transaction with its nine keys, storage-typed measures
+    """Every cleaned transaction (joined with the keyed FX table) with its nine keys, storage-typed measures
     and ``motivo`` (NULL when the row belongs in the fact)."""
     staged = joined
     for name, key in _LOOKUP_KEYS.items():
@@ -166,7 +174,7 @@ def audit_metrics() -> tuple[Observation, list]:
 
 
 def number_fact(staged: DataFrame, observe: tuple[Observation, list] | None = None) -> DataFrame:
-    """Materialise the staged rows once; number the kept ones 1..n.
+    """Run the staging once; number the kept rows 1..n.
 
     Returns the staged frame with ``sk_transacao`` (NULL for rejected rows),
     read from a Parquet table in the checkpoint folder that was written

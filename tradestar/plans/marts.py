@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradestar.functions import formatting as fmt
-from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS
+from tradestar.operators.keys import BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, most_bytes
 from tradestar.plans.star import Star
 
 SUM_TYPE = "decimal(38,2)"
@@ -36,9 +36,10 @@ def _by_key(fact: DataFrame, keys: list[str], with_qty: bool = False, with_rate:
     return fact.groupBy(*keys).agg(*aggs)
 
 
-def _small(star: Star, dim: str) -> bool:
-    """The dimension's measured row count is known and within the broadcast bound."""
-    return star.rows is not None and star.rows.get(dim, DEFAULT_BROADCAST_ROWS + 1) <= DEFAULT_BROADCAST_ROWS
+def _small(star: Star, dim: str, d: DataFrame) -> bool:
+    """The dimension's measured row count is known, and so many rows of ``d`` are within the broadcast bounds."""
+    rows = (star.rows or {}).get(dim)
+    return rows is not None and rows <= DEFAULT_BROADCAST_ROWS and most_bytes(d, rows) <= BROADCAST_BYTES
 
 
 def _measures(
@@ -55,7 +56,7 @@ def _measures(
     """
     d = getattr(star, dim).select(sk, *attrs)
     names = [c for c in d.columns if c != sk]
-    if _small(star, dim):
+    if _small(star, dim, d):
         aggs = [F.sum("valor_convertido_transacao").alias("_v"), F.count(F.lit(1)).alias("_n")]
         if with_qty:
             aggs.append(F.sum("quantidade_transacionada").alias("_q"))
@@ -150,7 +151,7 @@ def blocs(star: Star) -> DataFrame:
     """
     o = star.dim_pais_origem.select("sk_pais_origem", F.col("bloco_economico_pais_origem").alias("_bo"))
     d = star.dim_pais_destino.select("sk_pais_destino", F.col("bloco_economico_pais_destino").alias("_bd"))
-    if _small(star, "dim_pais_origem") and _small(star, "dim_pais_destino"):
+    if _small(star, "dim_pais_origem", o) and _small(star, "dim_pais_destino", d):
         f = star.fact.select("sk_pais_origem", "sk_pais_destino", F.col("valor_convertido_transacao").alias("_v"))
         roles = f.join(F.broadcast(o), "sk_pais_origem").join(F.broadcast(d), "sk_pais_destino")
     else:

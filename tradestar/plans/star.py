@@ -11,6 +11,7 @@ table.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, SMALL_KEY_ROWS, bou
 from tradestar.plans import dimensions as D
 from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
-from tradestar.session import ensure_checkpoint_dir, materialize
+from tradestar.session import ensure_checkpoint_dir, materialize, path_exists, remove_path
 from tradestar.sources.bronze import Bronze
 from tradestar.sources.writers import parquet_writer, write_all
 
@@ -63,9 +64,11 @@ class Star:
             df.createOrReplaceTempView(name)
 
 
-def dimension_bases(spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame) -> dict[str, DataFrame]:
+def dimension_bases(
+    spark: SparkSession, bronze: Bronze, fx_clean: DataFrame, transacoes_clean: DataFrame, unknown_member: bool = False
+) -> dict[str, DataFrame]:
     """Each dimension before keys: what :func:`count_rows` measures."""
-    cat = D.base_categoria(spark, bronze.categoria_produtos)
+    cat = D.base_categoria(spark, bronze.categoria_produtos, unknown_member)
     return {
         "tempo": D.base_tempo(fx_clean),
         "paises": D.base_paises(bronze.paises, bronze.blocos_economicos),
@@ -130,12 +133,15 @@ def build_star(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     small_key_rows: int = SMALL_KEY_ROWS,
     date_formats: list[str] | None = None,
+    unknown_member: bool = False,
 ) -> Star:
     """Bronze -> cleaned tables -> nine dimensions -> numbered fact.
 
     Jobs: FX table, one job counting the FX table and every dimension
-    base, then the fact numbering (range sample, Parquet table); large
+    base, then the fact (staged once, range sample, sorted table); large
     dimensions (above the measured small bound) add their own numbering.
+    With ``unknown_member`` the category dimension holds an id-0 member, to which products
+    without a known category fall back, so that their facts are kept.
     """
     ensure_checkpoint_dir(spark)
     transacoes = clean_transacoes(bronze.transacoes)
@@ -144,14 +150,15 @@ def build_star(
     # shuffles (a persisted plan would keep every shuffle partition)
     # product ids need no duplicate removal of whole rows
     sold = valid_transactions(bronze.transacoes)
-    bases = dimension_bases(spark, bronze, fx, sold)
+    bases = dimension_bases(spark, bronze, fx, sold, unknown_member)
     rows = count_rows({"fx": fx, **bases})
     # measured-small dimensions are numbered in one partition and kept in
     # memory by dense_key; larger ones go through a written table
     dims = build_dimensions(spark, bronze, fx, sold, rows, bases, small_key_rows)
     bounds = {name: rows[base] for name, base in _DIM_BASE.items()}
-    joined = FT.fx_join(transacoes, bounded_broadcast(fx, max_broadcast_rows, rows=rows["fx"]))
-    staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds))
+    keyed_fx = FT.key_fx(fx, dims, max_broadcast_rows, bounds)
+    joined = FT.fx_join(transacoes, bounded_broadcast(keyed_fx, max_broadcast_rows, rows=rows["fx"]))
+    staged = FT.stage_fact(joined, FT.key_lookups(dims, max_broadcast_rows, bounds, unknown_member))
     observation, metrics = FT.audit_metrics()
     numbered = FT.number_fact(staged, observe=(observation, metrics))
     return Star(
@@ -165,34 +172,73 @@ def build_star(
     )
 
 
-def write_star(star: Star, out_dir: str, mode: str = "overwrite", database: str | None = None) -> None:
-    """The nine dimensions (concurrently), then the fact; one Parquet folder per table.
+_PUBLISHED = "published"
+
+
+def published(spark: SparkSession, wh_dir: str) -> list[tuple[int, str]]:
+    """(version, folder below ``wh_dir``) of every published version, latest first."""
+    path = f"{wh_dir.rstrip('/')}/{_PUBLISHED}"
+    if not path_exists(spark, path):
+        return []
+    rows = spark.read.schema("version long, folder string").option("recursiveFileLookup", True).json(path).collect()
+    return sorted(((r.version, r.folder) for r in rows), reverse=True)
+
+
+def warehouse_folder(spark: SparkSession, wh_dir: str) -> str:
+    """Folder of the tables that readers see now: the latest published version, or ``wh_dir`` itself if nothing was ever published there."""
+    versions = published(spark, wh_dir)
+    base = wh_dir.rstrip("/")
+    return f"{base}/{versions[0][1]}" if versions else base
+
+
+def write_star(star: Star, out_dir: str, mode: str = "overwrite", database: str | None = None, keep_versions: int = 2) -> str:
+    """Write the star as a new version below ``out_dir`` and publish it; returns the version's folder.
+
+    The nine dimensions (concurrently), then the fact, one Parquet folder per table, go to
+    a folder of their own; then one small file names that version.  Readers
+    follow the latest such file, so until it is there they see the old star
+    whole, and a build that fails half-way is never seen.  Of two
+    concurrent builds one publishes, the other fails.  The latest ``keep_versions`` versions
+    stay, for readers that opened one before.  ``mode`` other than ``overwrite`` refuses a
+    folder that holds a published star.
 
     With ``database`` the folders are also registered as catalog tables
     ``<database>.<table>`` (external tables over the same files), so later jobs
     can query the warehouse by name.
     """
     tables = star.tables()
+    spark = tables[FACT].sparkSession
     base = out_dir.rstrip("/")
-    writer = parquet_writer(lambda n: f"{base}/{n}", mode)
+    before = published(spark, base)
+    if before and mode != "overwrite":
+        raise ValueError(f"{base} holds a published star")
+    number = before[0][0] + 1 if before else 1
+    folder = f"versions/{number:08d}-{uuid.uuid4().hex[:8]}"
+    writer = parquet_writer(lambda n: f"{base}/{folder}/{n}", "errorifexists")
     write_all({n: df for n, df in tables.items() if n != FACT}, writer)
     write_all({FACT: tables[FACT]}, writer)
+    # one row, one file: it is there whole or not at all
+    spark.range(1).coalesce(1).select(F.lit(number).alias("version"), F.lit(folder).alias("folder")).write.mode("errorifexists").json(f"{base}/{_PUBLISHED}/{number:08d}")
     if database:
-        spark = tables[FACT].sparkSession
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}'")
         for name in tables:
             spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-            spark.catalog.createTable(f"{database}.{name}", path=f"{base}/{name}", source="parquet")
+            spark.catalog.createTable(f"{database}.{name}", path=f"{base}/{folder}/{name}", source="parquet")
+    for version, old in before[max(keep_versions, 1) - 1 :]:
+        remove_path(spark, f"{base}/{_PUBLISHED}/{version:08d}")
+        remove_path(spark, f"{base}/{old}")
+    return f"{base}/{folder}"
 
 
 def read_star(spark: SparkSession, wh_dir: str | None = None, database: str | None = None) -> Star:
     """The stored warehouse as a :class:`Star` (column-pruned Parquet scans),
-    from its folder or from the catalog tables of ``database``, with the
+    from its folder (the latest published version) or from the catalog tables of ``database``, with the
     measured row count of every dimension."""
     if database:
         tables = {name: spark.table(f"{database}.{name}") for name in DIMENSIONS + [FACT]}
     else:
-        tables = {name: spark.read.parquet(f"{wh_dir.rstrip('/')}/{name}") for name in DIMENSIONS + [FACT]}
+        folder = warehouse_folder(spark, wh_dir)
+        tables = {name: spark.read.parquet(f"{folder}/{name}") for name in DIMENSIONS + [FACT]}
     # dimension sizes for the marts' join strategy: one job, answered from
     # Parquet metadata
     rows = count_rows({name: tables[name] for name in DIMENSIONS})

@@ -102,3 +102,26 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the engine's own, in whichever store it lies (no error if it is gone)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(*frames) -> None:
+    """Delete the stored tables behind frames that :func:`materialize` returned, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        own = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/"
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            # only what scratch_path named: never a caller's own files
+            if own.split("://")[-1].removeprefix("file:") in folder:
+                remove_path(spark, folder)
