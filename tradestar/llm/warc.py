@@ -14,6 +14,8 @@ equal records give equal identifiers; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +92,8 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     length = int(headers.get("content-length", ""))
     if len(rest) < length:
         raise ValueError("truncated block")
+    if rest[length:] not in (b"", END.encode()):
+        raise ValueError("block longer than stated")
     return headers, rest[:length]
 
 
@@ -113,39 +117,125 @@ def http_body(block: bytes) -> tuple[dict[str, str], bytes, bytes]:
             rest = rest[n + 2 :]
         body = b"".join(parts)
     if headers.get("content-encoding", "").lower() in ("gzip", "deflate", "x-gzip"):
-        unpacking = zlib.decompressobj(47)
-        body = unpacking.decompress(body)
-        if not unpacking.eof:
+        packed, parts = body, []
+        while packed:
+            try:
+                unpacking = zlib.decompressobj(47)
+                parts.append(unpacking.decompress(packed))
+            except zlib.error:
+                if parts or headers["content-encoding"].lower() != "deflate":
+                    raise
+                unpacking = zlib.decompressobj(-15)  # deflate without its wrapping
+                parts.append(unpacking.decompress(packed))
+            if not unpacking.eof:
+                raise ValueError("truncated body")
+            # further gzip members follow each other; anything else behind the end is padding
+            packed = unpacking.unused_data if unpacking.unused_data[:2] == b"\x1f\x8b" else b""
+        if not parts:
             raise ValueError("truncated body")
+        body = b"".join(parts)
     return headers, payload, body
 
 
+#: Elements whose content is no text, and those that begin a new line.
+HIDDEN = ("script", "style", "noscript", "template")
+LINES = frozenset("p div h1 h2 h3 h4 h5 h6 li ul ol tr table section article header footer nav main blockquote pre title body html".split())
+_NAME = re.compile(r"/?([a-z][a-z0-9]*)\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_ENDS = {n: re.compile(rf"</{n}\s*>", re.I) for n in (*HIDDEN, "title", "head")}
+_ROOT = re.compile(r"[a-z][a-z0-9+.-]*://[^/?#]+", re.I)
+
+
+def _absolute(href: str, base: str, root) -> str:
+    from urllib.parse import urljoin
+
+    if root and href[:1] == "/" and href[:2] != "//" and "/." not in href:
+        return root[0] + href  # an absolute path without dot segments needs no more
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return href
+
+
 def html_parts(page: str, base: str = "") -> tuple[str, str, str, list[dict[str, str]]]:
-    """Plain text, title, language and links of an HTML page."""
-    import re
+    """Plain text, title, language and links of an HTML page.
+
+    One pass from tag to tag; nothing is looked for from the same place twice, so a page of
+    unclosed tags takes time in proportion to its length.
+    """
     from html import unescape
-    from urllib.parse import urljoin
 
-    flags = re.S | re.I
-    bare = re.sub(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)", " ", page, flags=flags)
-    title = re.search(r"<title[^>]*>(.*?)</title\s*>", bare, flags)
-    lang = re.search(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", bare, flags)
-    links, root = [], re.match(r"[a-z][a-z0-9+.-]*://[^/?#]+", base)
-    for m in re.finditer(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)(?=</a\s*>|<a\b|\Z)", bare, flags):
-        href = unescape(m[1] or m[2] or m[3] or "").strip()
-        if root and href[:1] == "/" and href[:2] != "//" and "/." not in href:
-            href = root[0] + href  # an absolute path without dot segments needs no more
-        else:
-            try:
-                href = urljoin(base, href)
-            except ValueError:
-                pass
-        links.append({"url": href, "text": " ".join(unescape(re.sub(r"<[^>]*>", " ", m[4])).split())})
-    body = re.sub(r"<head\b.*?</head\s*>", " ", bare, flags=flags)
-    body = re.sub(r"<(?:/?(?:p|div|h[1-6]|li|ul|ol|tr|table|section|article|header|footer|nav|main|blockquote|pre|title|body|html)\b[^>]*|br\b[^>]*)>", "\n", body, flags=re.I)
-    lines = (" ".join(x.split()) for x in unescape(re.sub(r"<[^>]*>", "", body)).split("\n"))
-    clean = lambda m: " ".join(unescape(m[1]).split()) if m else ""
-    return "\n".join(x for x in lines if x), clean(title), lang[1].lower() if lang else "", links
+    body, links, link, title, lang, root = [], [], None, None, "", _ROOT.match(base)
+    at, shown_from, head_ends = 0, 0, True
+
+    def put(text: str, seen: str) -> None:
+        """``seen`` goes to the page's text, unless that is in its head, ``text`` to the open link."""
+        if at >= shown_from:
+            body.append(seen)
+        if link is not None:
+            link[1].append(text)
+
+    def close() -> None:
+        nonlocal link
+        if link is not None:
+            links.append({"url": _absolute(unescape(link[0]).strip(), base, root), "text": " ".join(unescape("".join(link[1])).split())})
+        link = None
+
+    while True:
+        begin = page.find("<", at)
+        text = page[at:] if begin < 0 else page[at:begin]
+        put(text, text)
+        if begin < 0:
+            break
+        at = begin
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            if end < 0:
+                break
+            put(" ", " ")
+            at = end + 3
+            continue
+        end = page.find(">", begin)
+        if end < 0:
+            # no tag ends any more; an element without text may still begin here
+            found = re.search(rf"<!--|<(?:{'|'.join(HIDDEN)})\b", page[begin:], re.I)
+            rest = page[begin : begin + found.start()] if found else page[begin:]
+            put(rest, rest)
+            break
+        tag = page[begin + 1 : end]
+        named = _NAME.match(tag)
+        name, closing = (named[1].lower() if named else ""), tag.startswith("/")
+        if name in HIDDEN and not closing:
+            found = _ENDS[name].search(page, begin)
+            if not found:
+                break
+            put(" ", " ")
+            at = found.end()
+            continue
+        if name == "a":
+            close()
+        if name == "br" and closing:
+            name = ""
+        put(" ", "\n" if name in LINES or name == "br" else "")
+        if not closing:
+            if name == "a" and (href := _HREF.search(tag)):
+                link = (href[1] or href[2] or href[3] or "", [])
+            elif name == "title" and title is None:
+                found = _ENDS[name].search(page, end)
+                title = page[end + 1 : found.start()] if found else ""
+            elif name == "html" and not lang and (found := _LANG.search(tag)):
+                lang = found[1].lower()
+            elif name == "head" and head_ends and begin >= shown_from:
+                found = _ENDS[name].search(page, end)
+                head_ends = bool(found)
+                if found:
+                    body.append(" ")
+                    shown_from = found.end()
+        at = end + 1
+    close()
+    lines = (" ".join(x.split()) for x in unescape("".join(body)).split("\n"))
+    return "\n".join(x for x in lines if x), " ".join(unescape(title or "").split()), lang, links
 
 
 def response_of(url: str | None, html: str | None, name: str, date: str = DATE) -> bytes:
@@ -239,25 +329,43 @@ def write_warc(records: DataFrame, path: str, record_col: str = "record") -> Non
     records.filter(F.col(record_col).isNotNull()).select(F.col(record_col).cast("string").alias("value")).write.option("lineSep", END).text(path)
 
 
-def split_records(data: bytes) -> list[tuple[int, bytes]]:
-    """(offset, record) of an uncompressed or gzipped WARC file; what follows a broken record is one last record."""
-    import gzip
+def unpacked(data: bytes) -> bytes:
+    """What the gzip members of a file hold; a broken member is left out from its fault on."""
+    import zlib
 
+    out, at, step = [], 0, 1 << 16
+    while 0 <= at < len(data):
+        member, begin = zlib.decompressobj(31), at
+        try:
+            while at < len(data) and not member.eof:
+                out.append(member.decompress(data[at : at + step]))
+                at += step
+            at = min(at, len(data)) - len(member.unused_data)
+        except zlib.error:
+            at = data.find(b"\x1f\x8b\x08", begin + 1)
+    return b"".join(out)
+
+
+def split_records(data: bytes) -> list[tuple[int, bytes]]:
+    """(offset, record) of an uncompressed or gzipped WARC file; a record whose length is wrong reaches to the next line that begins one."""
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    out, at = [], 0
+        data = unpacked(data)
+    mark, out, at = END.encode(), [], 0
     while at < len(data):
         head = data.find(b"\r\n\r\n", at)
         try:
-            length = int(parse_headers(data[at:head])["content-length"]) if head >= 0 else -1
+            end = head + 4 + int(parse_headers(data[at:head])["content-length"]) if head >= 0 else -1
         except (KeyError, ValueError):
-            length = -1
-        if length < 0:
-            out.append((at, data[at:]))
-            break
-        end = head + 4 + length
-        out.append((at, data[at:end]))
-        at = end + 4
+            end = -1
+        good = head + 4 <= end <= len(data) and (end == len(data) or data[end : end + 4] == mark and data[end + 4 : end + 9] in (b"", b"WARC/"))
+        if not good:
+            following = data.find(b"\nWARC/1.", at + 1)
+            end = following + 1 if following >= 0 else len(data)
+            out.append((at, data[at:end].removesuffix(mark)))
+            at = end
+        else:
+            out.append((at, data[at:end]))
+            at = end + 4
     return out
 
 
