@@ -1,0 +1,59 @@
+"""Fields with line breaks by default, malformed records to one side, and per-file key ranges of a target."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from tradestar.sources.bronze import read_bronze_csv, read_csv_table, write_csv
+from tradestar.streaming import incremental
+from tradestar.streaming.incremental import files_with_keys, insert_ignore
+from tests.test_sources import BRONZE_CSV, write_csv_dir
+
+
+def test_line_breaks_by_default(spark, tmp_dir):
+    rows = [(str(i), f'a "{i}"\nb\r\n\nc, {i}' if i % 7 == 0 else f"plain {i}", "1", "x") for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, descricao string, categoria_id string, codigo_ncm string").repartition(5)
+    write_csv(df, f"{tmp_dir}/p")
+    assert sorted(map(tuple, read_csv_table(spark, f"{tmp_dir}/p", "produtos").collect())) == sorted(rows)
+
+
+def test_only_files_with_open_quotes_are_read_whole(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/a b")
+    for name, text in (("one.csv", 'id,descricao\n1,"x\ny"\n'), ("two.csv", 'id,descricao\n2,5" pipe "q"\n'), ("three.csv", 'id,descricao\n3,"a ""b"""\n')):
+        with open(f"{tmp_dir}/a b/{name}", "w") as fh:
+            fh.write(text)
+    got = sorted(map(tuple, read_csv_table(spark, f"{tmp_dir}/a b", "produtos").collect()))
+    assert got == [("1", "x\ny"), ("2", '5" pipe "q"'), ("3", 'a "b"')]
+
+
+def test_malformed_records_go_aside(spark, tmp_dir):
+    d = write_csv_dir(f"{tmp_dir}/b", dict(BRONZE_CSV, moedas="id,descricao,pais\n1,Real,Brasil\n2,Euro\n3,Yen,Japao,extra,more\n4,Peso,Chile\n"))
+    rejects = []
+    b = read_bronze_csv(spark, d, rejects=rejects)
+    assert sorted(r.id for r in b.moedas.collect()) == [1, 4]
+    assert b.moedas.count() == 2 and sorted(r.pais for r in b.moedas.select("pais").collect()) == ["Brasil", "Chile"]
+    found = [r for f in rejects for r in f.collect()]
+    assert sorted((r.table, r.record) for r in found) == [("moedas", "2,Euro"), ("moedas", "3,Yen,Japao,extra,more")]
+    assert sorted(r.id for r in read_bronze_csv(spark, d).moedas.collect()) == [1, 2, 3, 4]
+
+
+def test_batch_reads_only_files_that_may_hold_its_keys(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    rows = spark.range(2000).select(F.col("id"), F.lit("old").alias("v"))
+    rows.repartitionByRange(20, "id").write.parquet(path)
+    total = len(spark.read.parquet(path).inputFiles())
+    assert total > incremental.SCANNED_FILES
+    batch = spark.createDataFrame([(5, "new"), (7, "new"), (5000, "new")], "id long, v string")
+    files = files_with_keys(spark, path, "id", batch)
+    assert 0 < len(files) <= 2
+    assert [tuple(r) for r in insert_ignore(spark, batch, path, ["id"]).collect()] == [(5000, "new")]
+    # the file just appended is found, too, and so is one from another writer
+    spark.createDataFrame([(9000, "other"), (None, "no key")], "id long, v string").coalesce(1).write.mode("append").parquet(path)
+    again = spark.createDataFrame([(5000, "x"), (9000, "x"), (1999, "x"), (-1, "x")], "id long, v string")
+    assert [tuple(r) for r in insert_ignore(spark, again, path, ["id"]).collect()] == [(-1, "x")]
+    assert spark.read.parquet(path).count() == 2000 + 1 + 2 + 1
+    far = spark.createDataFrame([(10**9, "y")], "id long, v string")
+    assert files_with_keys(spark, path, "id", far) == []
+    assert insert_ignore(spark, far, path, ["id"]).count() == 1

@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _session(args) -> SparkSession:
@@ -36,7 +37,12 @@ def _bronze(spark, args):
     from tradestar.sources import bronze as B
 
     if args.bronze_csv:
-        return B.read_bronze_csv(spark, args.bronze_csv, header=not args.no_header)
+        rejects = [] if args.rejects else None
+        multi_line = {"auto": None, "on": True, "off": False}[args.multi_line]
+        bronze = B.read_bronze_csv(spark, args.bronze_csv, header=not args.no_header, multi_line=multi_line, rejects=rejects)
+        if rejects:
+            reduce(DataFrame.unionByName, rejects).write.mode("overwrite").json(args.rejects)
+        return bronze
     if args.bronze_parquet:
         return B.read_bronze_parquet(spark, args.bronze_parquet)
     if args.jdbc_url:
@@ -56,6 +62,8 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--bronze-csv")
     p.add_argument("--bronze-parquet")
     p.add_argument("--no-header", action="store_true")
+    p.add_argument("--multi-line", choices=["auto", "on", "off"], default="auto", help="quoted CSV fields that span lines: found by a scan, or said")
+    p.add_argument("--rejects", help="folder for malformed CSV records, which are then not loaded")
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password")
@@ -66,6 +74,7 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--warehouse-database", help="also register the tables in this catalog database")
     p.add_argument("--audit", action="store_true", help="print the discard counts")
     p.add_argument("--date-format", action="append", help="extra FX date pattern, e.g. dd/MM/yyyy")
+    p.add_argument("--unknown-member", action="store_true", help="keep facts of products without a known category under an id-0 category")
     p.add_argument("--max-broadcast-rows", type=int, help="largest measured dimension / FX table broadcast")
     p.add_argument("--small-key-rows", type=int, help="largest measured dimension numbered in one task")
 
@@ -126,7 +135,7 @@ def main(argv: list[str] | None = None) -> int:
         write_bronze(_bronze(spark, args), args.bronze_out, fmt=args.format)
     elif args.cmd in ("build", "run"):
         sizes = {k: v for k, v in (("max_broadcast_rows", args.max_broadcast_rows), ("small_key_rows", args.small_key_rows)) if v is not None}
-        star = build_star(spark, _bronze(spark, args), date_formats=args.date_format, **sizes)
+        star = build_star(spark, _bronze(spark, args), date_formats=args.date_format, unknown_member=args.unknown_member, **sizes)
         write_star(star, args.warehouse, database=args.warehouse_database)
         if args.warehouse_jdbc_url:
             from tradestar.sources.jdbc import write_star_jdbc

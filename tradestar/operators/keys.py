@@ -50,6 +50,16 @@ BROADCAST_BYTES = 128 << 20
 _TEXT_BYTES = 4 * 255
 
 
+_cached: list[DataFrame] = []
+
+
+def taken_caches() -> list[DataFrame]:
+    """The frames that :func:`dense_key` has persisted since the last call; whoever takes them unpersists them."""
+    out = list(_cached)
+    _cached.clear()
+    return out
+
+
 def _sort_cols(order: list[str | Column]) -> list[Column]:
     return [(F.col(c) if isinstance(c, str) else c).asc_nulls_first() for c in order]
 
@@ -78,7 +88,8 @@ def dense_key(
         # one partition of at most small_rows rows, read by several consumers
         # (lookups, role-playing twins, writes): kept in memory, and recomputed
         # with the same keys if lost, since the order is total
-        return df.withColumn(key_name, F.row_number().over(window).cast("long")).persist()
+        _cached.append(df.withColumn(key_name, F.row_number().over(window).cast("long")).persist())
+        return _cached[-1]
     keep_expr = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with_keep = df.withColumn(_KEEP, keep_expr)
     if observe is not None:

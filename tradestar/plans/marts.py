@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tradestar.functions import formatting as fmt
 from tradestar.operators.keys import BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, most_bytes
 from tradestar.plans.star import Star
+from tradestar.session import materialize
 
 SUM_TYPE = "decimal(38,2)"
 
@@ -104,18 +105,43 @@ def annual(star: Star) -> DataFrame:
     return m.select("ano", _money("_v").alias("valor_total")).orderBy("ano")
 
 
-def temporal_view(star: Star) -> dict[str, DataFrame]:
-    """The three series of view 1 from one fact scan: quarter and year are
-    re-aggregations of the (cached, tiny) per-month aggregate."""
-    # one row per month: bounded, kept as one cached partition for its three readers
-    per_month = _measures(star, "dim_tempo", "sk_tempo", ["ano", "trimestre", "mes"]).coalesce(1).persist()
-    return {
-        "mensal": per_month.groupBy("ano", "mes").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano", "mes"),
-        "trimestral": per_month.groupBy("ano", "trimestre")
-        .agg(_money(F.sum("_v")).alias("valor_total"))
-        .orderBy("ano", "trimestre"),
-        "anual": per_month.groupBy("ano").agg(_money(F.sum("_v")).alias("valor_total")).orderBy("ano"),
-    }
+def time_lattice(star: Star) -> DataFrame:
+    """Every time total of the fact from one scan: by month, quarter, year, and all of it.
+
+    Columns: nivel (mes, trimestre, ano, total), ano, trimestre, mes (null above their
+    level), rotulo (``2024-03``, ``2024-T1``, ``2024``, ``total``), valor_total,
+    quantidade_total, soma_taxas, transacoes.  The fact is aggregated by month, and the
+    grouping sets run over those few rows.
+    """
+    months = _measures(star, "dim_tempo", "sk_tempo", ["ano", "trimestre", "mes"], with_qty=True, with_rate=True)
+    keys = [F.col("ano"), F.col("trimestre"), F.col("mes")]
+    totals = months.groupingSets([[], keys[:1], keys[:2], keys], *keys).agg(
+        F.grouping_id().alias("_g"),
+        _money(F.sum("_v")).alias("valor_total"),
+        F.sum("_q").cast("bigint").alias("quantidade_total"),
+        F.sum("_r").cast("decimal(38,4)").alias("soma_taxas"),
+        F.sum("_n").cast("bigint").alias("transacoes"),
+    )
+    level = F.when(F.col("_g") == 0, "mes").when(F.col("_g") == 1, "trimestre").when(F.col("_g") == 3, "ano").otherwise("total")
+    label = (
+        F.when(F.col("_g") == 0, fmt.period_label(F.col("ano"), F.col("mes")))
+        .when(F.col("_g") == 1, fmt.quarter_label(F.col("ano"), F.col("trimestre")))
+        .when(F.col("_g") == 3, F.col("ano").cast("string"))
+        .otherwise("total")
+    )
+    return totals.select(level.alias("nivel"), "ano", "trimestre", "mes", label.alias("rotulo"), "valor_total", "quantidade_total", "soma_taxas", "transacoes")
+
+
+def _stored_lattice(star: Star) -> DataFrame:
+    """The lattice as a small table, for several readers."""
+    return materialize(time_lattice(star).coalesce(1), "lattice")
+
+
+def temporal_view(star: Star, lattice: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The three series of view 1, with their labels, from one fact scan."""
+    found = _stored_lattice(star) if lattice is None else lattice
+    series = {"mensal": ("mes", ["ano", "mes"]), "trimestral": ("trimestre", ["ano", "trimestre"]), "anual": ("ano", ["ano"])}
+    return {name: found.filter(F.col("nivel") == level).select(*keys, "valor_total", "rotulo").orderBy(*keys) for name, (level, keys) in series.items()}
 
 
 # --- view 2: countries ------------------------------------------------------
@@ -230,8 +256,11 @@ def monthly_rate(star: Star) -> DataFrame:
 # --- view 6: executive summary ---------------------------------------------
 
 
-def kpis(star: Star) -> DataFrame:
+def kpis(star: Star, lattice: DataFrame | None = None) -> DataFrame:
     """One row always (count 0 and NULL sums on an empty fact)."""
+    if lattice is not None:
+        total = lattice.filter("nivel = 'total'").agg(*[F.max(c).alias(c) for c in ("valor_total", "quantidade_total", "transacoes")])
+        return total.select("valor_total", "quantidade_total", _mean("valor_total", "transacoes").alias("ticket_medio"), F.coalesce("transacoes", F.lit(0).cast("bigint")).alias("total_transacoes"))
     f = star.fact
     return f.agg(
         _money(F.sum("valor_convertido_transacao")).alias("valor_total"),
@@ -241,9 +270,17 @@ def kpis(star: Star) -> DataFrame:
     )
 
 
-def executive_series(star: Star) -> DataFrame:
+def _months(star: Star, lattice: DataFrame | None) -> DataFrame:
+    """ano, mes and the monthly measures ``_v``, ``_q``, ``_n``."""
+    if lattice is None:
+        return _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes"], with_qty=True)
+    return lattice.filter("nivel = 'mes'").select("ano", "mes", F.col("valor_total").alias("_v"), F.col("quantidade_total").alias("_q"), F.col("transacoes").alias("_n"))
+
+
+def executive_series(star: Star, lattice: DataFrame | None = None) -> DataFrame:
     """Monthly series with its first-of-month date (``periodo``)."""
-    return monthly(star).select("ano", "mes", "valor_total", fmt.first_of_month(F.col("ano"), F.col("mes")).alias("periodo"))
+    series = monthly(star) if lattice is None else _months(star, lattice).select("ano", "mes", _money("_v").alias("valor_total")).orderBy("ano", "mes")
+    return series.select("ano", "mes", "valor_total", fmt.first_of_month(F.col("ano"), F.col("mes")).alias("periodo"))
 
 
 def executive_top5(star: Star, n: int = 5, replace: dict[str, str] | None = None) -> DataFrame:
@@ -261,13 +298,13 @@ def executive_rank_labels(star: Star, n: int = 5) -> DataFrame:
     return top.select("pais", "valor_total", "participacao_pct", fmt.rank_label(F.col("valor_total"), F.col("participacao_pct")).alias("rotulo"))
 
 
-def month_over_month(star: Star) -> DataFrame:
+def month_over_month(star: Star, lattice: DataFrame | None = None) -> DataFrame:
     """Last month present vs the previous month present (one row).
 
     ``variacao_pct`` is 0 with fewer than two months or a zero previous
     value; ``ultimo_valor`` is 0 on an empty fact.
     """
-    m = monthly(star)
+    m = monthly(star) if lattice is None else _months(star, lattice).select("ano", "mes", _money("_v").alias("valor_total"))
     ranked = m.withColumn("_prev", F.lag("valor_total").over(Window.orderBy("ano", "mes")))
     last = ranked.agg(
         F.max_by(F.struct("ano", "mes", "valor_total", "_prev"), F.struct("ano", "mes")).alias("_u")
@@ -300,16 +337,14 @@ def period_labels(star: Star) -> DataFrame:
     ).orderBy("ano", "mes")
 
 
-def executive_cards(star: Star) -> DataFrame:
+def executive_cards(star: Star, lattice: DataFrame | None = None) -> DataFrame:
     """Text of the four KPI cards and of the last-month box (one row).
 
     Everything comes from one monthly aggregate (tiny): totals are sums of
     months, the last month and its predecessor come from a lag over months.
     The mean ticket is rounded half-up to cents in decimal arithmetic.
     """
-    months = _measures(star, "dim_tempo", "sk_tempo", ["ano", "mes"], with_qty=True).withColumn(
-        "_prev", F.lag("_v").over(Window.orderBy("ano", "mes"))
-    )
+    months = _months(star, lattice).withColumn("_prev", F.lag("_v").over(Window.orderBy("ano", "mes")))
     row = months.agg(
         _money(F.sum("_v")).alias("_vt"),
         F.coalesce(F.sum("_q"), F.lit(0)).alias("_qt"),
@@ -356,13 +391,18 @@ def view(star: Star, number: int) -> dict[str, DataFrame]:
     if number == 4:
         return {"produtos": top_products(star), "categorias": categories(star)}
     if number == 5:
-        return {"moedas": top_currencies(star), "mensal": monthly_rate(star)}
+        mensal = monthly_rate(star)
+        return {"moedas": top_currencies(star), "mensal": mensal.withColumn("rotulo", fmt.period_label(F.col("ano"), F.col("mes")))}
     if number == 6:
+        # one fact scan for everything by time, one for the countries
+        lattice = _stored_lattice(star)
+        top5 = materialize(executive_rank_labels(star).coalesce(1), "top5")
         return {
-            "kpis": kpis(star),
-            "serie": executive_series(star),
-            "top5": executive_top5(star),
-            "variacao": month_over_month(star),
-            "cartoes": executive_cards(star),
+            "kpis": kpis(star, lattice),
+            "serie": executive_series(star, lattice),
+            "top5": top5.drop("rotulo"),
+            "rotulos": top5,
+            "variacao": month_over_month(star, lattice),
+            "cartoes": executive_cards(star, lattice),
         }
     raise ValueError(f"view must be 1-6, got {number}")

@@ -26,15 +26,19 @@ class Built:
     path: str
 
 
-_MEMO: dict[tuple[str, str], Built] = {}
+_MEMO: dict[tuple, Built] = {}
+# Builds that keep their dimensions cached; frames of an older one stay valid, and recompute what they need.
+KEPT = 2
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str) -> Built:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def warehouse_for(spark: SparkSession, sf_dir: str, unknown_member: bool = False) -> Built:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), *([unknown_member] if unknown_member else []))
     built = _MEMO.get(key)
     if built is None:
+        while len(_MEMO) >= KEPT:
+            _MEMO.pop(next(iter(_MEMO))).star.release()
         bronze = extract_bronze(spark, sf_dir, scratch_path(spark, "bronze"))
-        star = build_star(spark, bronze)
+        star = build_star(spark, bronze, unknown_member=unknown_member)
         path = scratch_path(spark, "warehouse")
         write_star(star, path)
         built = Built(bronze, star, read_star(spark, path), path)

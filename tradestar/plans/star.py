@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradestar.operators.clean import clean_cambios, clean_transacoes, valid_transactions
-from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, SMALL_KEY_ROWS, bounded_broadcast, count_rows
+from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS, SMALL_KEY_ROWS, bounded_broadcast, count_rows, taken_caches
 from tradestar.plans import dimensions as D
 from tradestar.plans import fact as FT
 from tradestar.schemas import DIMENSIONS, FACT, WAREHOUSE
@@ -44,6 +44,13 @@ class Star:
     staged: DataFrame | None = None
     audit_metrics: dict | None = None
     rows: dict[str, int] | None = None  # measured row counts of the dimensions
+    cached: list[DataFrame] | None = None  # small dimensions held in memory
+
+    def release(self) -> None:
+        """Free the cached dimensions; the frames stay valid and recompute them."""
+        for df in self.cached or []:
+            df.unpersist()
+        self.cached = None
 
     def tables(self) -> dict[str, DataFrame]:
         """The ten warehouse tables (stored columns, fixed order and types)."""
@@ -169,6 +176,7 @@ def build_star(
         staged=numbered,
         audit_metrics=observation.get,
         rows={name: rows[base] for name, base in _DIM_BASE.items()},
+        cached=taken_caches(),
     )
 
 

@@ -8,6 +8,7 @@ cleaning step.  ``produtos`` and ``categoria_produtos`` are optional.
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,22 +80,71 @@ def is_missing_path(exc: AnalysisException) -> bool:
 CSV_QUOTING = {"quote": '"', "escape": '"'}
 
 
-def read_csv_table(spark: SparkSession, path: str, table: str, header: bool = True, multi_line: bool = False) -> DataFrame:
-    """One bronze CSV file (UTF-8, a BOM is tolerated).
+_CORRUPT = "_corrupt_record"
 
-    ``multi_line`` lets a quoted field span lines; such a file is read by one
-    task, so it is off by default and files stay splittable.
+
+def _files_with_open_quotes(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """(files that hold a line with an odd number of quotes, all files that hold a line).
+
+    Only there can a quoted field go on in the next line.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("odd"))
+    # one row for each file
+    found = lines.groupBy("file").agg(F.bool_or("odd").alias("odd")).collect()
+    return [unquote(r.file) for r in found if r.odd], [unquote(r.file) for r in found]
+
+
+def _read_csv(spark: SparkSession, paths: str | list[str], table: str, header: bool, multi_line: bool, rejects: list[DataFrame] | None) -> DataFrame:
+    reader = spark.read.options(**CSV_QUOTING).option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("multiLine", multi_line)
+    if header:
+        df = reader.option("header", True).option("inferSchema", False).csv(paths)
+        names = [c.lstrip("﻿").strip() for c in df.columns]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
+    else:
+        schema = raw_schema(table)
+        df, names = reader.schema(schema).csv(paths), list(schema.names)
+    if rejects is not None:
+        # Spark marks a record whose fields are more or fewer than the columns, or whose quotes stay
+        # open, if it parses all of them, whichever columns are asked for
+        marked = reader.option("header", header).option("columnPruning", False).option("columnNameOfCorruptRecord", _CORRUPT).schema(T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])).csv(paths)
+        whole = marked.toDF(*names, _CORRUPT)
+        # a plain null test would be pushed into the parser, where the mark is not set yet, and a
+        # query must read more than the mark: the first field decides nothing here
+        bad = F.coalesce(F.length(_CORRUPT), -1 - F.coalesce(F.length(names[0]), F.lit(0))) >= 0
+        rejects.append(whole.filter(bad).select(F.lit(table).alias("table"), F.col(names[0]).alias("first_field"), F.col(_CORRUPT).alias("record")))
+        return whole.filter(~bad).drop(_CORRUPT)
+    return df.toDF(*names)
+
+
+def read_csv_table(
+    spark: SparkSession, path: str, table: str, header: bool = True, multi_line: bool | None = None, rejects: list[DataFrame] | None = None
+) -> DataFrame:
+    """One bronze CSV file or folder of files (UTF-8, a BOM is tolerated).
+
+    A quoted field may span lines.  A file read that way is read by one task, so by
+    default (``None``) one scan of the lines finds the files that have an open quote at the end of
+    a line, and only those are; the others stay splittable.  True or False says it for
+    all files and saves that scan.
 
     With a header the file's own column names are used, so columns may come
     in any order and optional ones may be absent; without a header the fixed
     column order of the table applies.  Missing-value tokens become NULL.
+
+    With ``rejects``, malformed records (more or fewer fields than columns) are not loaded: a
+    frame (table, first_field, record) of them is appended there.  Without, missing
+    fields are NULL and surplus ones are left out.
     """
-    reader = spark.read.options(**CSV_QUOTING).option("mode", "PERMISSIVE").option("encoding", "UTF-8").option("multiLine", multi_line)
-    if header:
-        df = reader.option("header", True).option("inferSchema", False).csv(path)
-        df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
+    if multi_line is None:
+        odd, files = _files_with_open_quotes(spark, path)
+        rest = [f for f in files if f not in set(odd)]
+        if odd and rest:
+            parts = [_read_csv(spark, p, table, header, m, rejects) for p, m in ((rest, False), (odd, True))]
+            df = parts[0].unionByName(parts[1], allowMissingColumns=True)
+        else:
+            df = _read_csv(spark, path, table, header, bool(odd), rejects)
     else:
-        df = reader.option("header", False).schema(raw_schema(table)).csv(path)
+        df = _read_csv(spark, path, table, header, multi_line, rejects)
     return df.select(*[null_tokens_to_null(F.col(c)).alias(c) for c in df.columns])
 
 
@@ -103,18 +153,20 @@ def read_bronze_csv(
     csv_dir: str,
     tables: list[str] | None = None,
     header: bool = True,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
+    rejects: list[DataFrame] | None = None,
 ) -> Bronze:
     """Read ``<csv_dir>/<table>.csv`` for the nine tables.
 
     An optional table whose file does not exist is ``None``; a missing
     required file raises, as does leaving a required table out of ``tables``.
+    ``multi_line`` and ``rejects`` as in :func:`read_csv_table`.
     """
     frames: dict[str, DataFrame | None] = {}
     for table in tables or (REQUIRED_TABLES + OPTIONAL_TABLES):
         path = f"{csv_dir.rstrip('/')}/{table}.csv"
         try:
-            df = read_csv_table(spark, path, table, header=header, multi_line=multi_line)
+            df = read_csv_table(spark, path, table, header=header, multi_line=multi_line, rejects=rejects)
             df.schema  # resolve now so a missing file surfaces here
             frames[table] = df
         except AnalysisException as exc:

@@ -8,7 +8,8 @@ target is never shuffled; a large batch uses a plain anti join); the
 remainder is materialised as a table next to the checkpoints (so the target
 is never read while it is being written, and a lost executor does not
 recompute against a target that already changed) and appended.  Running it twice with the same input appends
-nothing the second time.
+nothing the second time.  Of a target of many files only those are read whose range of keys
+meets the batch's (:func:`files_with_keys`).
 
 ``stream_insert_ignore`` runs the same operator over a folder of arriving
 CSV files with Structured Streaming (``trigger(availableNow=True)`` +
@@ -22,17 +23,30 @@ read-check-append across concurrent writers.
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradestar.operators.keys import DEFAULT_BROADCAST_ROWS
 from tradestar.schemas import BRONZE_COLUMNS, raw_schema
-from tradestar.session import ensure_checkpoint_dir, materialize
+from tradestar.session import ensure_checkpoint_dir, materialize, path_exists, release
 from tradestar.sources.bronze import CSV_QUOTING, is_missing_path, null_tokens_to_null, read_csv_table, standardize_table
 
 
+#: A target of more files than this has the range of keys of each file looked up first.
+SCANNED_FILES = 8
+#: Ranges that the keys of a batch are summed up in.
+BATCH_RANGES = 64
+_KEY_RANGES = "_key_ranges"
+
+
 def _read_target(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
     try:
         df = spark.read.format(fmt).load(path)
         df.schema
@@ -44,6 +58,38 @@ def _read_target(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
         raise
 
 
+def _plain(path: str) -> str:
+    """A file's name as listings and metadata agree on it."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+def files_with_keys(spark: SparkSession, target_path: str, key: str, batch: DataFrame) -> list[str]:
+    """Files of a Parquet target that may hold a ``key`` of ``batch``.
+
+    A small table in the target's folder (hidden from its readers) has the smallest and
+    largest key of each file.  Files that it does not know yet, from whichever writer,
+    are read once, their key column only, and added.  The batch's keys are summed up in at most
+    ``BATCH_RANGES`` ranges; a file whose range meets none of them is not read.
+    """
+    index_path = f"{target_path.rstrip('/')}/{_KEY_RANGES}/{key}"
+    target = spark.read.parquet(target_path)
+    files = {_plain(f): f for f in target.inputFiles()}
+    empty = spark.createDataFrame([], T.StructType([T.StructField("file", T.StringType()), T.StructField("low", target.schema[key].dataType), T.StructField("high", target.schema[key].dataType)]))
+    index = spark.read.parquet(index_path) if path_exists(spark, index_path) else empty
+    known = {r.file for r in index.select("file").collect()}
+    missing = [f for name, f in files.items() if name not in known]
+    if missing:
+        # a file without keys has null bounds, and is known from then on
+        found = spark.read.schema(target.schema).parquet(*[unquote(f) for f in missing]).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        found.select(F.regexp_replace("path", "^file:/+", "/").alias("file"), "low", "high").coalesce(1).write.mode("append").parquet(index_path)
+        index = spark.read.parquet(index_path)
+    ranges = batch.select(key).repartitionByRange(BATCH_RANGES, key).groupBy(F.spark_partition_id()).agg(F.min(key).alias("low"), F.max(key).alias("high")).collect()
+    meets = F.lit(False)
+    for r in ranges:
+        meets = meets | ((F.col("low") <= F.lit(r.high)) & (F.col("high") >= F.lit(r.low)))
+    return sorted({files[r.file] for r in index.filter(meets).select("file").collect() if r.file in files})
+
+
 def dedup_on_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: the smallest by the remaining columns (in order)."""
     rest = [c for c in df.columns if c not in keys]
@@ -100,8 +146,12 @@ def insert_ignore(
     if rejects is not None:
         rejects.append(incoming.filter(~keyed))
     deduped = materialize(dedup_on_keys(incoming.filter(keyed), keys), "insert_ignore_batch")
+    if target is not None and fmt == "parquet" and len(target.inputFiles()) > SCANNED_FILES:
+        files = files_with_keys(spark, target_path, keys[0], deduped)
+        target = spark.read.schema(target.schema).parquet(*map(unquote, files)) if files else None
     delta = materialize(new_rows(deduped, target, keys, deduped.count()), "insert_ignore_delta")
     delta.write.mode("append").format(fmt).save(target_path)
+    release(deduped)
     return delta
 
 
@@ -149,7 +199,7 @@ def stream_insert_ignore(
     stream = standardize_table(table, stream.select(*[null_tokens_to_null(F.col(c)).alias(c) for c in stream.columns]))
 
     def _batch(df: DataFrame, _epoch: int) -> None:
-        insert_ignore(df.sparkSession, df, target_path, ["id"])
+        release(insert_ignore(df.sparkSession, df, target_path, ["id"]))
 
     writer = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:
