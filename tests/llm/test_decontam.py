@@ -103,3 +103,15 @@ def test_empty_tables(spark):
     assert [r.contaminated for r in D.annotate(docs, none).collect()] == [False, False]
     assert D.annotate(docs.limit(0), spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
     assert D.remove_contaminated(docs, none).count() == 2
+
+
+def test_equal_windows_of_many_items_are_searched_once(spark):
+    items = [(i, "again " * (13 + i % 5)) for i in range(160)] + [(1000, "quite another thing to look for here and there and everywhere in the text")]
+    rows = [(1, "again " * 20_000), (2, "nothing of it"), (3, "again " * 12), (4, "so quite another thing to look for here and there and everywhere in the text again")]
+    got = D.annotate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"])
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute(rows, items))
+    block = next(iter(D.item_blocks(spark.createDataFrame(items, "item_id long, text string"), 13, "item_id", "text")))[2]
+    import numpy as np
+
+    starts, owned, owners = D.distinct_windows(block, np.flatnonzero(block.span))
+    assert len(starts) == 3 and sorted(np.diff(owned).tolist()) == [1, 1, 160]

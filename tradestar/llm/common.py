@@ -43,3 +43,10 @@ def space_words(text: Column) -> Column:
     """Words between runs of ASCII white space, as an array (null text: empty)."""
     bare = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return let(bare, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, f"[{SPACES}]+")))
+
+
+def numbered(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns named ``in_0``, ``in_1``, ..., whatever their names hold, and the names that the ``wanted`` ones have there."""
+    names = {c: f"in_{i}" for i, c in enumerate(df.columns)}
+    lower = {c.lower(): n for c, n in names.items()}
+    return df.toDF(*names.values()), [names.get(w) or lower[w.lower()] for w in wanted]

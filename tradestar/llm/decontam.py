@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradestar.llm.common import bytes_of, without
+from tradestar.llm.common import bytes_of, numbered, without
 
 #: Words of a lower-cased text as UTF-8: digits, letters and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -165,6 +165,25 @@ def places_of(words, array, block, suffixes, lengths):
     return np.concatenate(which), np.concatenate(where)
 
 
+def distinct_windows(block, starts):
+    """The different windows among those that begin at ``starts``: a start of each, and its items as (from, to, item numbers).
+
+    Items may share a window (or repeat one); it is searched for once, so the places
+    found are bounded by the words of the shard, not by the items.
+    """
+    import numpy as np
+
+    if not len(starts):
+        return starts, np.zeros(1, np.int64), np.zeros(0, np.int64)
+    span = block.span[starts]
+    at = np.arange(int(span.max()))
+    inside = at < span[:, None]
+    words = np.where(inside, block.words[np.minimum(starts[:, None] + at, len(block.words) - 1)], -1)
+    _, first, window = np.unique(words, axis=0, return_index=True, return_inverse=True)
+    owned = np.unique(np.stack([window.ravel(), block.item[starts]], axis=1), axis=0)
+    return starts[first], np.searchsorted(owned[:, 0], np.arange(len(first) + 1)), owned[:, 1]
+
+
 def shards_of(texts, vocabulary):
     """Shards of the texts in order: (first text, words as ids with a 0 after each text, start of each text)."""
     from itertools import repeat
@@ -243,7 +262,7 @@ def _searching(shared, first: bool, last: bool, one_in: int, names: list[str]):
 
         block = shared.value
         bits = max(1, len(block.vocabulary).bit_length())
-        starts = np.flatnonzero(block.span)
+        starts, owned, owners = distinct_windows(block, np.flatnonzero(block.span))
         for batch in batches:
             n = len(batch)
             if not n:
@@ -253,14 +272,19 @@ def _searching(shared, first: bool, last: bool, one_in: int, names: list[str]):
             for lead, words, begin, sizes in shards_of(bytes_of(batch.column(0)), block.vocabulary):
                 array = suffix_array(words, block.depth, bits)
                 best = search(words, array, block, starts)
-                found = starts[best >= block.span[starts]]
+                windows = np.flatnonzero(best >= block.span[starts])
+                found = starts[windows]
                 which, where = places_of(words, array, block, found, block.span[found])
                 change = np.zeros(len(words) + 1, np.int64)
                 np.add.at(change, where, 1)
                 np.add.at(change, where + block.span[found[which]], -1)
                 hit = np.cumsum(change[:-1]) > 0
                 of = np.searchsorted(begin, where, side="right") - 1
-                pairs = np.unique(of * (len(block.names) + 1) + block.item[found[which]])
+                # each document's different windows, then their items
+                doc, window = np.divmod(np.unique(of * len(owned) + windows[which]), len(owned))
+                n_owners = owned[window + 1] - owned[window]
+                item = owners[np.repeat(owned[window] - np.cumsum(n_owners) + n_owners, n_owners) + np.arange(n_owners.sum())]
+                pairs = np.unique(np.repeat(doc, n_owners) * (len(block.names) + 1) + item)
                 own = [set() for _ in begin]
                 for doc, item in zip(*(x.tolist() for x in np.divmod(pairs, len(block.names) + 1))):
                     if block.names[item] is not None:
@@ -294,10 +318,11 @@ def _searching(shared, first: bool, last: bool, one_in: int, names: list[str]):
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the contaminated ones (columns as they are)."""
+    """``docs`` without the contaminated ones (columns as they are, of any name)."""
     prefix = "_decontam_"
-    marked = annotate(docs, items, prefix=prefix, **options)
-    return marked.filter(~F.col(f"{prefix}contaminated")).select(*docs.columns)
+    rows, (text_col,) = numbered(docs, options.pop("text_col", "text"))
+    marked = annotate(rows, items, prefix=prefix, text_col=text_col, **options)
+    return marked.filter(~F.col(f"{prefix}contaminated")).select(*rows.columns).toDF(*docs.columns)
 
 
 def longest_matches(docs: DataFrame, items: DataFrame, min_words: int = WINDOW, id_cols: tuple[str, str] = ("item_id", "text"), id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradestar.llm.common import without
+from tradestar.llm.common import numbered, without
 from tradestar.session import materialize
 
 SEED = 42
@@ -64,12 +64,14 @@ def _hash(*parts: Column) -> Column:
 
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, seed: int = SEED, epochs: float = EPOCHS, flatten: float = FLATTEN, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` with each row repeated, and copy (from 1), n_copies and mix_key; dealt out and sorted by mix_key."""
-    plan = rates(docs, weights, epochs, flatten, source_col, text_col)
+    rest = without(docs, "copy", "n_copies", "mix_key")
+    names = rest.columns
+    rest, (id_col, source_col, text_col) = numbered(rest, id_col, source_col, text_col)
+    plan = rates(rest, weights, epochs, flatten, source_col, text_col)
     draws = F.greatest(F.ceil(F.col("rate") / SPLIT_RATE), F.lit(1)).cast("int")
     plan = plan.withColumn("draws", draws).select(F.col(source_col).alias("_source"), "draws", _distribution(F.col("rate") / F.col("draws")).alias("below"))
     # one row for each source: stored, so that its size decides whether it is broadcast
     plan = materialize(plan, "mix_rates").select("_source", F.col("draws").alias("_draws"), F.col("below").alias("_below"))
-    rest = without(docs, "copy", "n_copies", "mix_key")
     name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
 
     def draw(j: Column) -> Column:
@@ -80,4 +82,5 @@ def replicate(docs: DataFrame, weights: dict[str, float] | None = None, seed: in
     counted = rest.join(plan, F.col(source_col).eqNullSafe(F.col("_source"))).withColumn("n_copies", n)
     copies = F.when(F.col("n_copies") > 0, F.sequence(F.lit(1), F.col("n_copies"))).otherwise(F.array().cast("array<int>"))
     spread = counted.withColumn("copy", F.explode(copies)).withColumn("mix_key", _hash(F.lit(f"{seed} order"), name, F.col("copy").cast("string")))
-    return spread.select(*rest.columns, "copy", "n_copies", "mix_key").repartition("mix_key").sortWithinPartitions("mix_key")
+    dealt = spread.select(*rest.columns, "copy", "n_copies", "mix_key").repartition("mix_key").sortWithinPartitions("mix_key")
+    return dealt.toDF(*names, "copy", "n_copies", "mix_key")

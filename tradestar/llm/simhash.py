@@ -22,7 +22,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradestar.llm.common import bytes_of
+from tradestar.llm.common import bytes_of, numbered
 from tradestar.session import materialize
 
 SHINGLE = 3
@@ -229,6 +229,8 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, s
     kept.  Rows with a null id are told apart by their text, and are kept only if
     no row of their group has an id; the smallest text is kept then.
     """
+    names = docs.columns
+    docs, (id_col, text_col) = numbered(docs, id_col, text_col)
     groups = near_duplicates(docs.select(id_col, text_col), shingle, radius, seed, id_col, text_col)
     ids = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct()
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
@@ -238,10 +240,11 @@ def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, s
     kept = kept.select(*[F.col(id_col) if c == id_col else F.col(f"_row.`{c}`") for c in docs.columns])
     unnamed = docs.filter(F.col(id_col).isNull())
     if unnamed.isEmpty():
-        return kept
+        return kept.toDF(*names)
     lost = fingerprints(unnamed.withColumn(id_col, F.struct(text_col, *rest)).select(id_col, text_col), shingle, seed, id_col, text_col)
     free = groups.filter(F.col("component_id").isNull()).select("fp").distinct()
     alone = lost.join(free, "fp", "left_semi")
     nodes = components(links(free, radius)).withColumnRenamed("node", "fp")
     alone = alone.join(nodes, "fp", "left").groupBy(F.coalesce("root", "fp").alias("_root")).agg(F.min_by(id_col, _row_order(text_col, id_col)).alias("_row"))
-    return kept.unionByName(alone.select(*[F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == id_col else F.col(f"_row.`{c}`") for c in docs.columns]))
+    both = kept.unionByName(alone.select(*[F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == id_col else F.col(f"_row.`{c}`") for c in docs.columns]))
+    return both.toDF(*names)

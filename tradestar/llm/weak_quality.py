@@ -21,7 +21,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradestar.llm.common import SPACES, let, space_words, without
+from tradestar.llm.common import SPACES, let, numbered, space_words, without
 from tradestar.session import materialize
 
 SYMBOLS = "#*$%&|<>"
@@ -157,6 +157,7 @@ def judge(docs: DataFrame, keep: list[str] | None = None, rules: tuple[Rule, ...
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rejected ones (columns as they are)."""
-    marked = judge(docs.select(F.struct(*docs.columns).alias("_doc"), F.col(options.pop("text_col", "text")).alias("_text")), ["_doc"], text_col="_text", **options)
-    return marked.filter("kept").select("_doc.*")
+    """``docs`` without the rejected ones (columns as they are, of any name)."""
+    rows, (text_col,) = numbered(docs, options.pop("text_col", "text"))
+    marked = judge(rows.select(F.struct(*rows.columns).alias("_doc"), F.col(text_col).alias("_text")), ["_doc"], text_col="_text", **options)
+    return marked.filter("kept").select("_doc.*").toDF(*docs.columns)
