@@ -1,0 +1,36 @@
+"""Views 1 and 6 from the stored lattice equal the single marts; labels; an empty fact."""
+
+from __future__ import annotations
+
+import pytest
+from test_semantics import make_bronze
+
+from tests.conftest import SF_SMALL
+from tradestar.plans import marts as M
+from tradestar.plans.pipeline import warehouse_for
+from tradestar.plans.star import build_star
+
+
+@pytest.fixture(scope="module", params=["sf", "small", "empty"])
+def star(request, spark):
+    if request.param == "sf":
+        return warehouse_for(spark, SF_SMALL).warehouse
+    return build_star(spark, make_bronze(spark, {"transacoes": []} if request.param == "empty" else None))
+
+
+def test_views_equal_the_single_marts(star):
+    rows = lambda df: sorted(map(str, df.collect()))
+    one, six = M.view(star, 1), M.view(star, 6)
+    for view, name, mart in ((one, "mensal", M.monthly), (one, "trimestral", M.quarterly), (one, "anual", M.annual), (six, "kpis", M.kpis), (six, "serie", M.executive_series), (six, "variacao", M.month_over_month), (six, "cartoes", M.executive_cards)):
+        assert view[name].columns == mart(star).columns
+        assert rows(view[name]) == rows(mart(star))
+
+
+def test_labels(star):
+    months = M.monthly(star).count()
+    found = [r.nivel for r in M.view_labels(star, 1).collect()]
+    assert found.count("mes") == months == M.view_labels(star, 5).count()
+    assert found.count("trimestre") == M.quarterly(star).count()
+    assert M.view_labels(star, 6).columns[-1] == "rotulo"
+    with pytest.raises(ValueError):
+        M.view_labels(star, 3)

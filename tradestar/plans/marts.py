@@ -138,10 +138,10 @@ def _stored_lattice(star: Star) -> DataFrame:
 
 
 def temporal_view(star: Star, lattice: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The three series of view 1, with their labels, from one fact scan."""
+    """The three series of view 1 from one fact scan (their labels: :func:`view_labels`)."""
     found = _stored_lattice(star) if lattice is None else lattice
     series = {"mensal": ("mes", ["ano", "mes"]), "trimestral": ("trimestre", ["ano", "trimestre"]), "anual": ("ano", ["ano"])}
-    return {name: found.filter(F.col("nivel") == level).select(*keys, "valor_total", "rotulo").orderBy(*keys) for name, (level, keys) in series.items()}
+    return {name: found.filter(F.col("nivel") == level).select(*keys, "valor_total").orderBy(*keys) for name, (level, keys) in series.items()}
 
 
 # --- view 2: countries ------------------------------------------------------
@@ -391,18 +391,26 @@ def view(star: Star, number: int) -> dict[str, DataFrame]:
     if number == 4:
         return {"produtos": top_products(star), "categorias": categories(star)}
     if number == 5:
-        mensal = monthly_rate(star)
-        return {"moedas": top_currencies(star), "mensal": mensal.withColumn("rotulo", fmt.period_label(F.col("ano"), F.col("mes")))}
+        return {"moedas": top_currencies(star), "mensal": monthly_rate(star)}
     if number == 6:
-        # one fact scan for everything by time, one for the countries
+        # one fact scan for everything by time, one more for the countries
         lattice = _stored_lattice(star)
-        top5 = materialize(executive_rank_labels(star).coalesce(1), "top5")
         return {
             "kpis": kpis(star, lattice),
             "serie": executive_series(star, lattice),
-            "top5": top5.drop("rotulo"),
-            "rotulos": top5,
+            "top5": executive_top5(star),
             "variacao": month_over_month(star, lattice),
             "cartoes": executive_cards(star, lattice),
         }
     raise ValueError(f"view must be 1-6, got {number}")
+
+
+def view_labels(star: Star, number: int) -> DataFrame:
+    """The text labels of BI view 1 (month, quarter, year), 5 (month) or 6 (countries), each beside its value."""
+    if number == 1:
+        return time_lattice(star).filter("nivel <> 'total'").select("nivel", "rotulo", "valor_total").orderBy("nivel", "rotulo")
+    if number == 5:
+        return monthly_rate(star).select(fmt.period_label(F.col("ano"), F.col("mes")).alias("rotulo"), "taxa_media", "valor_total")
+    if number == 6:
+        return executive_rank_labels(star)
+    raise ValueError(f"view {number} has no labels")
