@@ -80,7 +80,7 @@ union all
 select id, tipo_id, pais_origem, pais_destino, produto_id, valor_monetario, quantidade, transporte_id, cambio_id from base
 where k % 20 = 0
 union all
-select id, tipo_id, pais_origem, pais_destino, produto_id, concat(valor_monetario, '0'), concat(quantidade, '.0'), transporte_id, cambio_id from base
+select id, tipo_id, pais_origem, pais_destino, produto_id, valor_monetario || '0', quantidade || '.0', transporte_id, cambio_id from base
 where k % 20 = 10 and valor_monetario <> 'x'
 union all
 select id, tipo_id, pais_origem, pais_destino, produto_id, v, q, transporte_id, case when v = '99999999999999.50' then cambio_id else -cambio_id end
