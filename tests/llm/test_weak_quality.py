@@ -68,3 +68,42 @@ def test_removal_keeps_columns_and_clashing_names(spark):
     judged = Q.judge(df)
     assert judged.columns.count("n_words") == 1 and judged.filter("n_words = 1").count() == 1
     assert Q.judge(df.limit(0)).count() == 0 and Q.keep_good(df.limit(0)).count() == 0
+
+
+def test_posterior_replaces_passing_every_rule(spark):
+    prose = "the river runs past the old mill and then turns towards the sea where boats wait for wind and rain all through autumn".split()
+
+    def text(i, n):
+        rnd = random.Random(i)
+        return " ".join(rnd.choice(prose) + str(rnd.randrange(100)) for _ in range(n))
+
+    page = "\n".join(x for i in range(12) for x in ([text(900 + i, 12), "next page"] if i < 8 else [text(900 + i, 12)]))
+    rows = [(i, text(i, 150)) for i in range(60)]
+    rows += [(100 + i, " ".join(w + " ##" for w in text(i, 120).split())) for i in range(6)]  # symbols
+    rows += [(200 + i, "again and again the same few words " * 20) for i in range(4)]  # copied words: base check
+    rows += [(300, text(300, 30)), (301, page), (302, text(302, 12))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    votes = [f"vote_{r.name}" for r in Q.RULES]
+    got = {r.doc_id: r for r in Q.judge(df, ["doc_id"]).collect()}
+    bad = {d for d, r in got.items() if any(r[v] < 0 for v in votes)}
+    assert got[300].vote_length == got[301].vote_lines == got[302].vote_length == -1 and {300, 301, 302} <= bad
+    assert {d for d, r in got.items() if r.kept} == {*range(60), 300, 301, 302}
+    assert all(got[d].quality > 0.9 for d in (300, 301, 302))
+    assert all(r.quality < 0.2 and not r.base_failed for d, r in got.items() if 100 <= d < 200)
+
+
+def test_query_verdicts_differ_from_all_must_pass(spark):
+    got = Q.judge(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), ["doc_id"]).filter("not base_failed")
+    worst = " or ".join(f"vote_{r.name} < 0" for r in Q.RULES)
+    gross = " or ".join(f"vote_{r.name} < 0" for r in Q.RULES if r.sure == Q.GROSS)
+    n = got.selectExpr(f"count_if(kept and ({worst})) AS saved", f"count_if(kept and ({gross})) AS let_through", "count_if(not kept) AS lost").first()
+    print(n)
+    assert n.saved > 100 and n.let_through == 0 and n.lost > 100
+
+
+def test_model_without_documents():
+    belief = {"a": 0.9, "b": 0.6}
+    model = Q.fit_votes([], belief, 0.8, finds=0.3)
+    assert model.balance == 0.8 and model.passes == belief and set(model.finds.values()) == {0.3}
+    never = Q.fit_votes([({"a": 1, "b": 0}, 10)], belief, 0.8, finds=0.3)
+    assert never.passes["b"] == 0.6 and never.finds["b"] == 0.3

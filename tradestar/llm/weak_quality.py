@@ -1,12 +1,19 @@
 """Quality rules combined by weak supervision.
 
 Each rule looks at one measure of a text and votes good (1), bad (-1) or abstains
-(0).  Expectation-maximisation over the vote patterns (3 ** rules of them at most,
-whatever the input) estimates how often each rule is right when it votes; the
-posterior probability of "good" takes the place of passing every rule.  Defects
-that never occur together say nothing about each other, so each accuracy is held
-by a stated belief that weighs as much as the rule's own votes (``trust``).  All document work is built-in functions without a shuffle; the only
-aggregate counts the patterns.
+(0).  Expectation-maximisation over the vote patterns (as many as the rules allow at
+most, whatever the input) estimates the share of good documents and, for each rule
+when it votes, how often it is right about good documents and about bad ones.  The
+posterior probability of "good" takes the place of passing every rule: a short text,
+or one with some repeated lines, is kept if the other rules find it fine.
+
+Each measure has a strict rule, which errs now and then, and a lenient one that finds
+only gross defects.  Defects that never occur together say nothing about each other,
+and two classes alone would let the rarer kind pass as good; so each rule starts from
+a stated belief, which weighs as much as the rule's own votes (``trust``).
+
+All document work is built-in functions without a shuffle; the only aggregate counts
+the patterns.  Votes are stored with the kept columns, because rows need no key.
 
 Defined cases: a null, empty or wordless text has zero for every measure and fails
 the base check; repeated rows get a row each; an empty table gives an empty result
@@ -75,9 +82,9 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes on ``top / bottom`` (0 if bottom is 0): bad outside ``fair``; good inside ``fine``, if given; no vote else.
+    """Votes on ``top / bottom`` (0 if bottom is 0): bad outside ``fair``, good inside ``fine`` (default: ``fair``), no vote between them.
 
-    Most rules look for one defect.  Their silence says little, so they do not vote good.
+    ``sure`` is the belief, before any document is seen, that a good document gets a good vote.
     """
 
     name: str
@@ -85,60 +92,94 @@ class Rule:
     bottom: str
     fair: tuple[float, float]
     fine: tuple[float, float] | None = None
+    sure: float = 0.9
 
     def vote(self) -> Column:
         x = F.when(F.col(self.bottom) > 0, F.col(self.top) / F.col(self.bottom)).otherwise(0.0) if self.bottom else F.col(self.top)
-        good = x.between(*self.fine) if self.fine else F.lit(False)
-        return F.when(~x.between(*self.fair), -1).when(good, 1).otherwise(0).cast("int")
+        return F.when(~x.between(*self.fair), -1).when(x.between(*(self.fine or self.fair)), 1).otherwise(0).cast("int")
 
 
+#: Belief of a lenient rule, and that any rule finds a bad document (most have one defect of many).
+GROSS, FINDS = 0.999, 0.3
+#: Share of good documents before any is seen.
+BALANCE = 0.8
+
 RULES = (
-    Rule("length", "n_words", "", (10, 2_000_000), (25, 200_000)),
-    Rule("word_length", "word_chars", "n_words", (2, 14)),
-    Rule("symbols", "n_symbols", "n_words", (0, 0.15)),
-    Rule("lines", "n_dup_lines", "n_lines", (0, 0.4)),
-    Rule("repetition", "n_repeat_words", "n_words", (0, 0.2)),
-    Rule("capitals", "n_upper", "word_chars", (0, 0.3)),
+    Rule("length", "n_words", "", (50, 100_000), (100, 100_000)),
+    Rule("word_length", "word_chars", "n_words", (3, 10), (3.5, 8)),
+    Rule("symbols", "n_symbols", "n_words", (0, 0.1), (0, 0.02)),
+    Rule("lines", "n_dup_lines", "n_lines", (0, 0.2), (0, 0.05)),
+    Rule("repetition", "n_repeat_words", "n_words", (0, 0.1), (0, 0.03)),
+    Rule("capitals", "n_upper", "word_chars", (0, 0.2), (0, 0.1)),
+    Rule("odd_words", "word_chars", "n_words", (2, 14), sure=GROSS),
+    Rule("noise", "n_symbols", "n_words", (0, 0.3), sure=GROSS),
+    Rule("copied_lines", "n_dup_lines", "n_lines", (0, 0.5), sure=GROSS),
+    Rule("copied_words", "n_repeat_words", "n_words", (0, 0.3), sure=GROSS),
+    Rule("shouting", "n_upper", "word_chars", (0, 0.4), sure=GROSS),
 )
 
-#: Belief in a rule before any document is seen: one that finds a defect, and one that also votes good.
-DEFECT, EITHER = 0.9, 0.6
-
 
 @dataclass(frozen=True)
 class VoteModel:
-    """P(good) without votes, and the share of each rule's votes that are right."""
+    """P(good) without votes; for each rule, when it votes, P(good vote) of a good document and P(bad vote) of a bad one."""
 
     balance: float
-    accuracy: dict[str, float]
+    passes: dict[str, float]
+    finds: dict[str, float]
 
-    def weight(self, rule: str) -> float:
-        return log(self.accuracy[rule] / (1 - self.accuracy[rule]))
+    @property
+    def accuracy(self) -> dict[str, float]:
+        """Share of each rule's votes that are right."""
+        return {r: self.balance * p + (1 - self.balance) * self.finds[r] for r, p in self.passes.items()}
+
+    def odds(self) -> float:
+        return log(self.balance / (1 - self.balance))
+
+    def weight(self, rule: str, vote: int) -> float:
+        """Log odds of good that one vote adds."""
+        p, f = self.passes[rule], self.finds[rule]
+        return {1: log(p / (1 - f)), -1: log((1 - p) / f), 0: 0.0}[vote]
 
     def posterior(self, votes: dict[str, Column]) -> Column:
-        odds = F.lit(log(self.balance / (1 - self.balance)))
+        odds = F.lit(self.odds())
         for rule, vote in votes.items():
-            odds = odds + vote * self.weight(rule)
+            odds = odds + F.when(vote > 0, self.weight(rule, 1)).when(vote < 0, self.weight(rule, -1)).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 
-def fit_votes(patterns: list[tuple[dict[str, int], int]], belief: dict[str, float], balance: float = 0.5, trust: float = 1.0, rounds: int = 100) -> VoteModel:
-    """EM over (votes, number of documents), from the ``belief`` in each rule.
+def fit_votes(
+    patterns: list[tuple[dict[str, int], int]],
+    belief: dict[str, float],
+    balance: float = 0.5,
+    trust: float = 1.0,
+    rounds: int = 100,
+    finds: float | None = None,
+) -> VoteModel:
+    """EM over (votes, number of documents), from the ``belief`` in each rule and ``balance``.
 
-    The belief keeps the weight of ``trust`` votes for each vote a rule casts.
+    ``belief`` holds for good documents, and for bad ones unless ``finds`` is given.
+    The beliefs keep the weight of ``trust`` votes for each vote a rule casts, and of ``trust`` documents for each document.
     """
-    model = VoteModel(balance, dict(belief))
+    sees = {r: b if finds is None else finds for r, b in belief.items()}
+    model = VoteModel(balance, dict(belief), sees)
+    total = sum(n for _, n in patterns)
     cast = {r: sum(n for votes, n in patterns if votes[r]) for r in belief}
+
+    def share(right: float, of: float, start: float, weight: float) -> float:
+        return min(0.999, max(0.001, (right + start * weight) / (of + weight))) if of + weight else start
+
     for _ in range(rounds):
         good = []
         for votes, _ in patterns:
-            odds = log(balance / (1 - balance)) + sum(v * model.weight(r) for r, v in votes.items())
+            odds = model.odds() + sum(model.weight(r, v) for r, v in votes.items())
             good.append(1 / (1 + exp(-max(-500.0, min(500.0, odds)))))
-        accuracy = {}
+        passed, found = {}, {}
         for r, start in belief.items():
-            right = sum(n * (p if votes[r] > 0 else 1 - p) for p, (votes, n) in zip(good, patterns) if votes[r])
-            accuracy[r] = min(0.999, max(0.001, (right + start * trust * cast[r]) / ((1 + trust) * cast[r]))) if cast[r] else start
-        model = VoteModel(balance, accuracy)
+            mine = [(votes[r], n * p, n * (1 - p)) for p, (votes, n) in zip(good, patterns) if votes[r]]
+            held = trust * cast[r]
+            passed[r] = share(sum(g for v, g, _ in mine if v > 0), sum(g for _, g, _ in mine), start, held * balance)
+            found[r] = share(sum(b for v, _, b in mine if v < 0), sum(b for _, _, b in mine), sees[r], held * (1 - balance))
+        model = VoteModel(share(sum(n * p for p, (_, n) in zip(good, patterns)), total, balance, trust * total), passed, found)
     return model
 
 
@@ -148,9 +189,9 @@ def judge(docs: DataFrame, keep: list[str] | None = None, rules: tuple[Rule, ...
     added = (*MEASURES, *votes, "base_failed", "quality", "kept")
     measured = measure(docs.select(F.col(text_col).alias("_judged"), *(without(docs, *added).columns if keep is None else keep)), "_judged").drop("_judged")
     voted = materialize(measured.withColumns({v: r.vote() for v, r in zip(votes, rules)}), "quality_votes")
-    belief = {r.name: EITHER if r.fine else DEFECT for r in rules}
-    seen = voted.groupBy(*votes).count().collect()  # 3 ** len(rules) rows at most
-    model = fit_votes([(dict(zip(belief, row[:-1])), row[-1]) for row in sorted(map(tuple, seen))], belief)
+    belief = {r.name: r.sure for r in rules}
+    seen = voted.groupBy(*votes).count().collect()  # as many rows as votes can be combined, at most (RULES: 23,328)
+    model = fit_votes([(dict(zip(belief, row[:-1])), row[-1]) for row in sorted(map(tuple, seen))], belief, BALANCE, finds=FINDS)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     judged = voted.withColumn("base_failed", failed).withColumn("quality", model.posterior({n: F.col(v) for n, v in zip(belief, votes)}))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= at_least))
