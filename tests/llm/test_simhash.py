@@ -96,11 +96,25 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     kept = S.deduplicate(df)
     assert kept.columns == df.columns
     got = [(r.doc_id, r.text) for r in kept.collect()]
-    _, comps = brute_components(rows)
-    assert sorted(d for d, _ in got if d is not None) == sorted({c for c in comps if c is not None})
+    # every row takes the place of its own number, so that a repeated id names no group
+    fps, groups = brute_components([(i, t) for i, (_, t) in enumerate(rows)])
+    lowest = {}
+    for g, (d, t) in zip(groups, rows):
+        lowest[g] = min(lowest.get(g, (True, 0)), (d is None, d or 0))
+    assert sorted((d is None, d or 0) for d, _ in got) == sorted(lowest.values())
+    assert set(got) <= set(rows) and len({t for d, t in got if d == 7}) == 2
     assert [t for d, t in got if d is None] == ["only here, without id"]
 
 
+def test_texts_of_a_repeated_id_stay_unless_they_are_copies(spark):
+    a, b, c = ("the first of three texts is about rain and rivers in the north", "a second one counts ships and bricks and lists of names", "nobody knows why this other text has no number at all")
+    rows = [(5, a, 1), (5, a, 0), (5, b, 2), (7, b, 3), (None, c, 4), (None, c, 5), (None, a, 6), (8, None, 7), (8, "", 8), (9, " ", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    got = [tuple(r) for r in S.deduplicate(df).collect()]
+    assert {r for r in got if r[0] != 8} == {(5, a, 0), (5, b, 2), (None, c, 4)}
+    assert [r[0] for r in got].count(8) == 1 and len(got) == 4
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, None)]])
 def test_tiny_tables(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")

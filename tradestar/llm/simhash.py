@@ -223,28 +223,23 @@ def _row_order(text_col: str, row: str = "_row") -> Column:
 
 
 def deduplicate(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id.
+    """``docs`` with one row of each group: one with the smallest id, a null id being larger than all.
 
-    Rows of one id are one document; of those the smallest row (text first) is
-    kept.  Rows with a null id are told apart by their text, and are kept only if
-    no row of their group has an id; the smallest text is kept then.
+    Of several texts with that id in a group, one is kept (the smallest SHA-256 of id
+    and text); of rows equal in id and text, the smallest of the other columns.  A text
+    that resembles no other one stays, also if its id is repeated.
     """
     names = docs.columns
     docs, (id_col, text_col) = numbered(docs, id_col, text_col)
-    groups = near_duplicates(docs.select(id_col, text_col), shingle, radius, seed, id_col, text_col)
-    ids = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct()
+    named = F.col(id_col).cast("string")
+    key = F.sha2(F.concat_ws(":", F.col(id_col).isNull().cast("string"), F.length(named).cast("string"), named, text_col), 256)
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    known = docs.filter(F.col(id_col).isNotNull()).select(id_col, F.struct(text_col, *rest).alias("_row"))
-    known = known.groupBy(id_col).agg(F.min_by("_row", _row_order(text_col)).alias("_row"))
-    kept = known.join(ids, known[id_col] == ids["_keep"], "left_semi")
-    kept = kept.select(*[F.col(id_col) if c == id_col else F.col(f"_row.`{c}`") for c in docs.columns])
-    unnamed = docs.filter(F.col(id_col).isNull())
-    if unnamed.isEmpty():
-        return kept.toDF(*names)
-    lost = fingerprints(unnamed.withColumn(id_col, F.struct(text_col, *rest)).select(id_col, text_col), shingle, seed, id_col, text_col)
-    free = groups.filter(F.col("component_id").isNull()).select("fp").distinct()
-    alone = lost.join(free, "fp", "left_semi")
-    nodes = components(links(free, radius)).withColumnRenamed("node", "fp")
-    alone = alone.join(nodes, "fp", "left").groupBy(F.coalesce("root", "fp").alias("_root")).agg(F.min_by(id_col, _row_order(text_col, id_col)).alias("_row"))
-    both = kept.unionByName(alone.select(*[F.lit(None).cast(docs.schema[c].dataType).alias(c) if c == id_col else F.col(f"_row.`{c}`") for c in docs.columns]))
-    return both.toDF(*names)
+    rows = docs.select(key.alias("_key"), id_col, F.struct(text_col, *rest).alias("_row"))
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), key.alias("key"))
+    marked = materialize(fingerprints(docs.select(order.alias("_rank"), text_col), shingle, seed, "_rank", text_col), "simhash_rows")
+    distinct = materialize(marked.groupBy("fp").agg(F.min("_rank").alias("low")), "simhash_lowest")
+    roots = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
+    lowest = distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("low").alias("low"))
+    kept = rows.groupBy("_key").agg(F.min(id_col).alias(id_col), F.min_by("_row", _row_order(text_col)).alias("_row"))
+    kept = kept.join(materialize(lowest.select(F.col("low.key").alias("_key")), "simhash_kept"), "_key", "left_semi")
+    return kept.select(*[F.col(id_col) if c == id_col else F.col(f"_row.`{c}`") for c in docs.columns]).toDF(*names)
