@@ -102,3 +102,8 @@ def test_columns_added_behind_the_shuffle_are_judged_once(spark):
     assert "rangepartitioning" in seen[0]
     got = {r.a: r.sk for r in out.collect()}
     assert got == {a: a // 2 + 1 if a % 2 == 0 else None for a in range(2000)}
+
+
+def test_stored_tables_of_the_build_are_zstd(spark, built):
+    files = built[1].staged.inputFiles()
+    assert files and all(".zstd." in f for f in files)
