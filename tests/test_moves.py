@@ -1,5 +1,5 @@
 """What the build moves and writes: keys above the broadcast bound, frequent keys, columns that
-are not stored."""
+are not stored, bronze tables that a query does not need."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tradestar.operators.clean import clean_transacoes
 from tradestar.operators.keys import dense_key, frequent_values
 from tradestar.plans import fact as FT
+from tradestar.plans import pipeline
 from tradestar.plans.star import build_star
 from tradestar.schemas import FACT
 from tradestar.sources.bronze import standardize_bronze
@@ -107,3 +109,36 @@ def test_columns_added_behind_the_shuffle_are_judged_once(spark):
 def test_stored_tables_of_the_build_are_zstd(spark, built):
     files = built[1].staged.inputFiles()
     assert files and all(".zstd." in f for f in files)
+
+
+def _sources(spark, folder):
+    ts = "cast(concat('1995-01-', lpad(cast(id % 28 + 1 as string), 2, '0')) as timestamp_ntz)"
+    tables = {
+        "region": spark.range(3).selectExpr("cast(id as int) r_regionkey", "concat('R', id) r_name"),
+        "nation": spark.range(6).selectExpr("cast(id as int) n_nationkey", "concat('N', id) n_name", "cast(id % 3 as int) n_regionkey"),
+        "customer": spark.range(5).selectExpr("id c_custkey", "cast(id as int) c_nationkey"),
+        "supplier": spark.range(4).selectExpr("id s_suppkey", "cast(id as int) s_nationkey"),
+        "part": spark.range(7).selectExpr("id p_partkey", "concat('p', id) p_name", "concat('t', id % 2) p_type", "cast(id as int) p_size"),
+        "orders": spark.range(30).selectExpr("id o_orderkey", "id % 5 o_custkey", f"{ts} o_orderdate", "'1-URGENT' o_orderpriority"),
+        "lineitem": spark.range(60).selectExpr(
+            "id % 30 l_orderkey", "cast(id div 30 as int) l_linenumber", "id % 7 l_partkey", "id % 4 l_suppkey", "cast(id + 1 as double) l_quantity",
+            "cast(id * 2.5 + 1 as double) l_extendedprice", "'A' l_returnflag", "if(id % 2 = 0, 'F', 'O') l_linestatus",
+        ),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def _never(*args, **kwargs):
+    raise AssertionError("the star is built")
+
+
+def test_headerless_csv_extracts_the_transactions_alone(spark, tmp_dir, monkeypatch):
+    _sources(spark, tmp_dir)
+    monkeypatch.setattr(pipeline, "build_star", _never)
+    raw = E.queries()["csv_headerless"](spark, tmp_dir)
+    found = pipeline._BRONZE[(spark.sparkContext.applicationId, tmp_dir)]
+    # the transactions' view reads the types, which are stored first
+    assert set(found) == {"tipos_transacoes", "transacoes"}
+    want = found["transacoes"].select(*[F.col(c).cast("string") for c in found["transacoes"].columns])
+    assert _rows(raw) == _rows(want) and raw.count() > 60
