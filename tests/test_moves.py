@@ -142,3 +142,12 @@ def test_headerless_csv_extracts_the_transactions_alone(spark, tmp_dir, monkeypa
     assert set(found) == {"tipos_transacoes", "transacoes"}
     want = found["transacoes"].select(*[F.col(c).cast("string") for c in found["transacoes"].columns])
     assert _rows(raw) == _rows(want) and raw.count() > 60
+
+
+def test_cleaned_rates_extract_the_rates_alone(spark, tmp_dir, monkeypatch):
+    _sources(spark, tmp_dir)
+    monkeypatch.setattr(pipeline, "build_star", _never)
+    fx = E.queries()["clean_cambios"](spark, tmp_dir)
+    # the rate of id 1 is a text; id 0 has a second row, with a date
+    assert sorted(r.id for r in fx.collect()) == [0, *range(2, 30)]
+    assert set(pipeline._BRONZE[(spark.sparkContext.applicationId, tmp_dir)]) == {"cambios"}
