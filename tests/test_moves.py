@@ -106,6 +106,17 @@ def test_columns_added_behind_the_shuffle_are_judged_once(spark):
     assert got == {a: a // 2 + 1 if a % 2 == 0 else None for a in range(2000)}
 
 
+def test_unknown_member_above_the_broadcast_bound(spark, built):
+    bronze, _ = built
+    strays = bronze.produtos.withColumn("categoria_id", F.when(F.col("id") % 3 > 0, F.col("categoria_id")))
+    other = type(bronze)(**{**bronze.tables(), "produtos": strays})
+    plain = build_star(spark, other, unknown_member=True)
+    star = build_star(spark, other, unknown_member=True, max_broadcast_rows=10, small_key_rows=10)
+    assert _rows(star.tables()[FACT]) == _rows(plain.tables()[FACT])
+    assert star.audit_metrics == plain.audit_metrics and star.audit_metrics["sem_sk_categoria_produto"] == 0
+    assert not set(FT.MEASURES) & set(spark.read.parquet(*star.staged.inputFiles()).columns)
+
+
 def test_stored_tables_of_the_build_are_zstd(spark, built):
     files = built[1].staged.inputFiles()
     assert files and all(".zstd." in f for f in files)
