@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tradestar.llm import mph
@@ -70,3 +71,12 @@ def test_round_trip_and_keyed_access(spark, tmp_dir, tokenizer, shard, segment):
 def test_empty_table(spark, tmp_dir):
     S.write_store(spark.createDataFrame([], "doc_id long, text string"), f"{tmp_dir}/store", PATH)
     assert S.scan(spark, f"{tmp_dir}/store").count() == 0
+
+
+@pytest.mark.parametrize("rows,words", [(3000, 2000), (300_000, 0)])
+def test_files_are_small_enough_to_be_read_back_whole(spark, tmp_dir, rows, words):
+    docs = spark.range(rows).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), words).alias("text"))
+    found = S.write_store(docs, f"{tmp_dir}/store", PATH)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{tmp_dir}/store/ids")
+    assert files.agg(F.max("length")).first()[0] < 8_000_000
+    assert found.count() == rows

@@ -32,10 +32,11 @@ from tradestar.llm.encoding import PieceEncoder
 from tradestar.session import materialize
 
 END_ID = 2
-#: Text in one file, and raw ids in one segment, in bytes; documents in one file.
-SHARD_BYTES = 32_000_000
+#: Text in one file, and raw ids in one segment, in bytes; documents in one file.  Spark reads a file
+#: back as one value, copied several times on its way to the worker, so files are kept small.
+SHARD_BYTES = 8_000_000
 SEGMENT_BYTES = 8_000_000
-SHARD_DOCS = 1_000_000
+SHARD_DOCS = 200_000
 #: Documents encoded at a time.
 AT_ONCE = 2_000
 MAGIC = b"TSIDS001"
