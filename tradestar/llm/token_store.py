@@ -38,7 +38,7 @@ SHARD_BYTES = 8_000_000
 SEGMENT_BYTES = 8_000_000
 SHARD_DOCS = 200_000
 #: Documents encoded at a time.
-AT_ONCE = 2_000
+AT_ONCE = 4_000
 MAGIC = b"TSIDS001"
 FOOTER = 32
 
